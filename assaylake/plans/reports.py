@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from assaylake.functions.columns import or_zero, post_type_label, ts_lit
 from assaylake.plans import marts
 from assaylake.plans.marts import Silver
+from assaylake.session import settled
 
 
 def top_k(df: DataFrame, measure: str, keys: str | Sequence[str], k: int) -> DataFrame:
@@ -26,11 +27,13 @@ def top_k(df: DataFrame, measure: str, keys: str | Sequence[str], k: int) -> Dat
 
 
 def _names_for(top: DataFrame, users: DataFrame) -> DataFrame:
-    """Left join of a bounded top-k with the users it mentions.
+    """Left join of a top-k with the users it mentions.
 
-    ``top`` has at most k rows, so it and the users found for it are broadcast;
-    the users table is filtered where it lies instead of being shuffled.
+    ``top`` has at most k rows and is computed once. It and the users found for
+    it are broadcast, so neither the activity nor the users table is shuffled
+    for the sake of k names.
     """
+    top = settled(top, "top")
     wanted = F.broadcast(top.select("user_id").distinct())
     found = users.select(F.col("id").alias("user_id"), "display_name").join(
         wanted, "user_id", "left_semi"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -27,3 +27,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/assaylake-{purpose}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame, computed once and read back from the scratch folder.
+
+    For small intermediate results that a plan uses several times. Nothing is
+    recomputed if an executor is lost, and the size is known to the planner.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
