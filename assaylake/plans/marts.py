@@ -97,10 +97,23 @@ def votes_by_post(votes: DataFrame) -> DataFrame:
     )
 
 
+def _null_keys_once(rows: DataFrame, key: str) -> DataFrame:
+    """Rows without a key match nothing and group by their other columns.
+
+    A history table can hold the same such row several times. They are a branch
+    of their own so that the keyed rows keep their partitioning.
+    """
+    return rows.filter(F.col(key).isNull()).distinct()
+
+
 def vote_stats_per_post(silver: Silver, load_ts) -> DataFrame:
     per_post = votes_by_post(silver.votes)
-    p = silver.posts
-    return p.join(per_post, p["Id"] == per_post["PostId"], "left").select(
+    p = silver.posts.select("Id", "Title", "PostTypeId", "OwnerUserId", "anio", "Score", "ViewCount")
+    counted = p.filter(F.col("Id").isNotNull()).join(
+        per_post, p["Id"] == per_post["PostId"], "left"
+    ).drop("PostId")
+    rows = counted.unionByName(_null_keys_once(p, "Id"), allowMissingColumns=True)
+    return rows.select(
         F.col("Id").alias("post_id"),
         F.coalesce("Title", F.lit("")).alias("title"),
         F.col("PostTypeId").alias("post_type_id"),
@@ -186,9 +199,14 @@ def user_engagement(silver: Silver, load_ts, fanout: bool = True) -> DataFrame:
         )
     )
     u = silver.users.select("id", "display_name", "reputation", "location")
-    return (
-        u.join(posts, u["id"] == posts["OwnerUserId"], "left")
+    active = (
+        u.filter(F.col("id").isNotNull())
+        .join(posts, u["id"] == posts["OwnerUserId"], "left")
         .join(badges, u["id"] == badges["UserId"], "left")
+        .drop("OwnerUserId", "UserId")
+    )
+    return (
+        active.unionByName(_null_keys_once(u, "id"), allowMissingColumns=True)
         .select(
             F.col("id").alias("user_id"),
             _or_unknown("display_name").alias("display_name"),

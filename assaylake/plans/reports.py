@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -143,15 +143,19 @@ def reconcile(
     stored: DataFrame, recomputed: DataFrame, keys: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:
     """Keys whose stored and recomputed measures differ, or that one side lacks."""
-    s = stored.select(*keys, *[F.col(m).alias(f"stored_{m}") for m in measures], F.lit(1).alias("_a"))
-    r = recomputed.select(
-        *keys, *[F.col(m).alias(f"recomputed_{m}") for m in measures], F.lit(1).alias("_b")
-    )
+    s = stored.select(*keys, *[F.col(m).alias(f"stored_{m}") for m in measures])
+    r = recomputed.select(*keys, *[F.col(m).alias(f"recomputed_{m}") for m in measures])
+    s, r = s.withColumn("_s", F.lit(True)), r.withColumn("_r", F.lit(True))
+    # null parts of a key are equal, as in the grouping that made them
+    same_key = reduce(and_, [F.col(f"s.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    lacking = F.col("_s").isNull() | F.col("_r").isNull()
     differs = reduce(
         or_, [~F.col(f"stored_{m}").eqNullSafe(F.col(f"recomputed_{m}")) for m in measures]
     )
-    lacking = F.col("_a").isNull() | F.col("_b").isNull()
-    return s.join(r, list(keys), "full_outer").filter(lacking | differs).drop("_a", "_b")
+    return s.alias("s").join(r.alias("r"), same_key, "full_outer").filter(lacking | differs).select(
+        *[F.coalesce(f"s.{k}", f"r.{k}").alias(k) for k in keys],
+        *[f"{side}_{m}" for m in measures for side in ("stored", "recomputed")],
+    )
 
 
 def reconcile_posts_mart(mart: DataFrame, posts: DataFrame) -> DataFrame:

@@ -110,11 +110,20 @@ def write_bronze(df: DataFrame, path: str, overwrite: bool = True, skip_empty: b
     return True
 
 
-def write_year_partitions(df: DataFrame, base: str, entity: str, year_col: str = "anio") -> None:
-    """All years in one pass over the input, one folder per year."""
-    df.withColumnRenamed(year_col, "anio").write.mode("overwrite").partitionBy("anio").parquet(
-        f"{base.rstrip('/')}/{entity}"
-    )
+def write_year_partitions(
+    df: DataFrame, base: str, entity: str, year_col: str = "anio", rebalance: bool = False
+) -> None:
+    """All years in one pass over the input, one folder per year.
+
+    Input that is already ordered by time is written as it lies. With
+    ``rebalance`` rows of one year are brought together first, which keeps the
+    files few when years are mixed; a year that holds much of the data is split
+    over several tasks.
+    """
+    df = df.withColumnRenamed(year_col, "anio")
+    if rebalance:
+        df = df.hint("rebalance", F.col("anio"))
+    df.write.mode("overwrite").partitionBy("anio").parquet(f"{base.rstrip('/')}/{entity}")
 
 
 def read_back(spark: SparkSession, path: str, head: int = 5) -> tuple[int, list[str], DataFrame]:

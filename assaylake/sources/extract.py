@@ -1,8 +1,7 @@
 """Extracts from raw source files or a database: head, one year, projection.
 
 Row caps are optional and off by default. A capped extract is the first ``n``
-rows in key order, so that it does not depend on file layout: each task keeps
-its own ``n`` best rows and only those meet in the final task.
+rows in key order, so that it does not depend on file layout.
 """
 
 from __future__ import annotations
@@ -11,16 +10,46 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assaylake.functions.columns import coerce, in_year
 from assaylake.operators.dedupe import latest_order
 
 
+# up to this cap, every task may keep its own n best rows for the final merge
+SMALL_CAP = 1000
+# rank error of the approximate percentile, as a share of all rows: 1 / accuracy
+_ACCURACY = 10_000
+
+
+def _key_bound(df: DataFrame, key: str, n: int):
+    """A key value that at least ``n`` rows do not exceed, or None.
+
+    Reads the key column only. The percentile just proposes the bound; counting
+    decides, so the result is exact whatever the key's distribution.
+    """
+    total = df.agg(F.count(key)).first()[0]
+    if total <= n:
+        return None
+    share = min(1.0, n / total + 2 / _ACCURACY)
+    bound = df.agg(F.percentile_approx(key, share, _ACCURACY)).first()[0]
+    within = df.filter(F.col(key) <= F.lit(bound)).count()
+    return bound if within >= n else None
+
+
 def first_rows(df: DataFrame, n: int | None, order_by: str | Sequence[str]) -> DataFrame:
-    """First ``n`` rows by the key columns; other columns break ties."""
+    """First ``n`` rows by the key columns; other columns break ties.
+
+    For a large cap, rows beyond the n-th key are cut off where they are read.
+    Otherwise each of many tasks would send ``n`` rows to the last one.
+    """
     if n is None:
         return df
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    if n > SMALL_CAP and isinstance(df.schema[keys[0]].dataType, T.NumericType):
+        bound = _key_bound(df, keys[0], n)
+        if bound is not None:
+            df = df.filter(F.col(keys[0]) <= F.lit(bound))
     ties = latest_order(df, (), skip=keys)
     return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys], *ties).limit(n)
 

@@ -126,3 +126,26 @@ def test_head_is_in_key_order(spark):
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_large_cap_cuts_at_the_key_but_stays_exact(spark, monkeypatch):
+    monkeypatch.setattr(extract, "SMALL_CAP", 3)
+    # half of the rows share one key
+    df = spark.range(2000).selectExpr("if(id % 2 = 0, 7, id) as Id", "id as v")
+    whole = [tuple(r) for r in df.orderBy("Id", F.desc("v")).collect()]
+    for n in (5, 900, 1500, 1999, 2000, 5000):
+        got = [tuple(r) for r in extract.extract_head(df, n, "Id").collect()]
+        assert got == whole[:n]
+    text = df.select(F.col("Id").cast("string").alias("Id"))
+    assert extract.extract_head(text, 5, "Id").count() == 5
+    with_null = df.unionByName(spark.createDataFrame([(None, 1)], "Id long, v long"))
+    assert extract.extract_head(with_null, 2001, "Id").filter("Id is null").count() == 1
+
+
+def test_years_in_one_pass(spark, tmp_path):
+    df = spark.range(100).selectExpr("id as Id", "cast(2019 + id % 3 as int) as y")
+    for rebalance in (False, True):
+        base = f"{tmp_path}/{rebalance}"
+        bronze.write_year_partitions(df, base, "posts", "y", rebalance)
+        back = bronze.read_years(spark, base, "posts", path_of=bronze.year_partition_path)
+        assert sorted(rows(back)) == [(i, 2019 + i % 3) for i in range(100)]

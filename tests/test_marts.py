@@ -163,9 +163,22 @@ def test_checks(silver):
         (None, 1), (2019, 4), (2020, 3)]
 
 
+def test_rows_without_a_key_are_grouped(spark, silver):
+    lost = spark.createDataFrame([(None, "Lost", 1, "L")] * 2 + [(None, "Other", 1, "L")], USERS)
+    posts = spark.createDataFrame([(None, 1, 1, "t", 2, 3, 0, 0, "", 2020)] * 2, POSTS)
+    s = silver._replace(users=silver.users.unionByName(lost), posts=silver.posts.unionByName(posts))
+    for name, df in s._asdict().items():
+        df.createOrReplaceTempView(f"t_{name}")
+    got = rows(marts.user_engagement(s, TS1).drop("fecha_cargue"))
+    assert got == rows(spark.sql(NAIVE_ENGAGEMENT))
+    assert sum(r[0] is None for r in got) == 2
+    stats = marts.vote_stats_per_post(s, TS1).filter("post_id is null")
+    assert rows(stats, "title", "total_votes", "net_votes", "score") == [("t", 0, 0, 2)]
+
+
 def test_reconcile(silver):
-    mart = marts.posts_per_user_year(silver, TS1).filter("anio is not null")
-    known = silver.posts.filter("anio is not null")
+    mart = marts.posts_per_user_year(silver, TS1)
+    known = silver.posts
     assert reports.reconcile_posts_mart(mart, known).count() == 0
     changed = known.filter("Id <> 13").withColumn("Score", known["Score"] + 1)
     got = {(r.user_id, r.anio): r for r in reports.reconcile_posts_mart(mart, changed).collect()}
