@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,20 @@ from assaylake.operators.normalize import (
     to_silver,
     union_positional,
 )
-from assaylake.plans.marts import MARTS, Silver
+from assaylake.plans.marts import MARTS, Silver, votes_by_post
 from assaylake.plans.store import TableStore
-from assaylake.sources.bronze import bronze_path, read_all, read_years, write_bronze
-from assaylake.sources.extract import extract_head, extract_year
+from assaylake.sources.bronze import (
+    bronze_path,
+    read_all,
+    read_if_present,
+    read_years,
+    write_bronze,
+)
+from assaylake.sources.extract import extract_year, first_rows
 from assaylake.specs import BADGES, POSTS, USERS, VOTES, EntitySpec
 
+log = logging.getLogger(__name__)
+
 # badges cover all years in one file, so their cap is three times as high
 BADGES_CAP_FACTOR = 3
 
@@ -54,19 +63,24 @@ def load_entity(
     A dataset that is already there is kept unless ``overwrite`` is set, and an
     empty extract is not written. Tells whether a dataset was written.
     """
+    path = bronze_path(bronze, spec.entity, year)
+    if not overwrite and read_if_present(spark, path) is not None:
+        log.info("already there: %s", path)
+        return False
     df = spark.read.parquet(raw_path(raw, spec, year))
     key = _column(df, spec, spec.key)
     if spec is USERS:
-        df = extract_year(df, year, _column(df, spec, "creation_date"), n=cap, order_by=key)
+        df = extract_year(df, year, _column(df, spec, "creation_date"))
         df = coerce_columns(
             df, {c: spec.columns[spec.canonical(c)] for c in df.columns
                  if spec.canonical(c) in spec.columns}
         )
-    elif spec is BADGES:
-        df = extract_head(df, cap and cap * BADGES_CAP_FACTOR, key)
-    else:
-        df = extract_head(df, cap, key)
-    return write_bronze(df, bronze_path(bronze, spec.entity, year), overwrite=overwrite)
+    if df.isEmpty():
+        log.warning("empty, skipped: %s", path)
+        return False
+    if cap is not None and spec is BADGES:
+        cap *= BADGES_CAP_FACTOR
+    return write_bronze(first_rows(df, cap, key), path, skip_empty=False)
 
 
 def run_bronze(
@@ -164,6 +178,9 @@ def load_posts_simple(
 
 # ---- gold -------------------------------------------------------------------
 
+NEED_VOTE_COUNTS = {"vote_stats_per_post", "user_engagement"}
+VOTE_COUNTS = "work.votes_by_post"
+
 
 def open_silver(store: TableStore, namespace: str = "silver") -> Silver:
     return Silver(*[store.read(f"{namespace}.{s.table}") for s in (USERS, POSTS, VOTES, BADGES)])
@@ -176,9 +193,16 @@ def run_gold(
     namespace: str = "gold",
     silver_namespace: str = "silver",
 ) -> dict[str, int]:
-    """Build and merge the marts; rows per table."""
+    """Build and merge the marts; rows per table.
+
+    When several marts need the votes of each post, these are counted once into
+    a work table. Bucketed like the posts, it joins with them without a shuffle.
+    """
     store.create_namespace(namespace)
     silver = open_silver(store, silver_namespace)
+    if len(NEED_VOTE_COUNTS.intersection(marts)) > 1:
+        store.overwrite(VOTE_COUNTS, votes_by_post(silver.votes), load_ts, "PostId")
+        silver = silver._replace(vote_counts=store.read(VOTE_COUNTS))
     rows = {}
     for mart in marts:
         build, keys = MARTS[mart]

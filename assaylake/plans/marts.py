@@ -30,6 +30,11 @@ class Silver(NamedTuple):
     posts: DataFrame
     votes: DataFrame
     badges: DataFrame
+    # votes_by_post(votes), where a run has stored it for several marts
+    vote_counts: DataFrame | None = None
+
+    def counted_votes(self) -> DataFrame:
+        return votes_by_post(self.votes) if self.vote_counts is None else self.vote_counts
 
 
 class MartSpec(NamedTuple):
@@ -86,10 +91,12 @@ def posts_per_user_year_type(silver: Silver, load_ts) -> DataFrame:
 
 
 def votes_by_post(votes: DataFrame) -> DataFrame:
+    """Counts per post. ``vote_rows`` includes votes without an id."""
     return (
         votes.filter(F.col("PostId").isNotNull())
         .groupBy("PostId")
         .agg(
+            F.count(F.lit(1)).alias("vote_rows"),
             F.count("Id").alias("total_votes"),
             count_if(F.col("VoteTypeId") == specs.UP_VOTE).alias("upvotes"),
             count_if(F.col("VoteTypeId") == specs.DOWN_VOTE).alias("downvotes"),
@@ -107,7 +114,7 @@ def _null_keys_once(rows: DataFrame, key: str) -> DataFrame:
 
 
 def vote_stats_per_post(silver: Silver, load_ts) -> DataFrame:
-    per_post = votes_by_post(silver.votes)
+    per_post = silver.counted_votes()
     p = silver.posts.select("Id", "Title", "PostTypeId", "OwnerUserId", "anio", "Score", "ViewCount")
     counted = p.filter(F.col("Id").isNotNull()).join(
         per_post, p["Id"] == per_post["PostId"], "left"
@@ -168,11 +175,7 @@ def user_engagement(silver: Silver, load_ts, fanout: bool = True) -> DataFrame:
     those totals by multiplying counts, without building the product;
     ``fanout=False`` gives the plain totals.
     """
-    votes = (
-        silver.votes.filter(F.col("PostId").isNotNull())
-        .groupBy("PostId")
-        .agg(F.count(F.lit(1)).alias("vote_rows"), F.count("Id").alias("votes"))
-    )
+    votes = silver.counted_votes().select("PostId", "vote_rows", "total_votes")
     badges = (
         silver.badges.filter(F.col("UserId").isNotNull())
         .groupBy("UserId")
@@ -195,7 +198,7 @@ def user_engagement(silver: Silver, load_ts, fanout: bool = True) -> DataFrame:
             F.sum(F.col("Score") * weight).alias("score"),
             F.sum(F.col("ViewCount") * weight).alias("views"),
             F.sum(F.col("CommentCount") * weight).alias("comments"),
-            F.sum("votes").alias("votes"),
+            F.sum("total_votes").alias("votes"),
         )
     )
     u = silver.users.select("id", "display_name", "reputation", "location")

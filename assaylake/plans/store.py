@@ -3,8 +3,9 @@
 Each write makes a new version: an external Parquet table, bucketed by the merge
 key where one is given. The load log records it, which is the commit, and the
 table's name (a view) is pointed at it. Readers see the old or the new version,
-never a mixture, and a failed run leaves only an unlogged folder that the next
-run replaces. One writer per table is assumed.
+never a mixture, and a failed run leaves only unlogged files that the next run
+replaces. The last few versions are kept, in folders used in turn. One writer per
+table is assumed.
 
 Bucketing by the merge key lets the next merge read the history in place: only
 the incoming rows are shuffled.
@@ -34,13 +35,19 @@ class TableStore:
     """Versioned tables below one base folder, which all executors can reach.
 
     ``buckets`` is the number of files a keyed table is split into; choose it so
-    that one bucket fits a task. ``None`` leaves tables unbucketed.
+    that one bucket fits a task. ``None`` leaves tables unbucketed. ``keep`` is
+    the number of versions that stay readable, the current one included.
     """
 
-    def __init__(self, spark: SparkSession, base: str, buckets: int | None = None):
+    def __init__(
+        self, spark: SparkSession, base: str, buckets: int | None = None, keep: int = 2
+    ):
+        if keep < 2:
+            raise ValueError("the version being read cannot be the one being written")
         self.spark = spark
         self.base = base.rstrip("/")
         self.buckets = buckets
+        self.keep = keep
         self._log_path = f"{self.base}/_load_log"
         self._attach()
 
@@ -59,12 +66,15 @@ class TableStore:
         """Names of the current tables, without their versions."""
         found = self.spark.catalog.listTables(namespace)
         return sorted(
-            t.name for t in found if "__v" not in t.name and not t.isTemporary
+            t.name for t in found if "__slot" not in t.name and not t.isTemporary
         )
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
+    def namespaces(self) -> list[str]:
+        return sorted(d.name for d in self.spark.catalog.listDatabases())
+
     def sample(self, name: str, n: int = 10) -> DataFrame:
         return self.read(name).limit(n)
 
@@ -91,7 +101,7 @@ class TableStore:
         """Point every table at its last committed version."""
         for e in self._latest():
             self.create_namespace(e.table.split(".")[0])
-            version_table = f"{e.table}__v{e.version:06d}"
+            version_table = _slot_table(e.table, e.path)
             if not self.spark.catalog.tableExists(version_table):
                 schema = self.spark.read.parquet(e.path).schema
                 ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -117,8 +127,8 @@ class TableStore:
         self.create_namespace(namespace)
         last = self._latest(name)
         version = last[0].version + 1 if last else 1
-        path = f"{self.base}/{namespace}/{table}/v{version:06d}"
-        version_table = f"{name}__v{version:06d}"
+        path = f"{self.base}/{namespace}/{table}/slot{version % self.keep}"
+        version_table = _slot_table(name, path)
         buckets = self.buckets if keys else None
 
         if buckets and not placed:
@@ -186,5 +196,9 @@ class TableStore:
         return self._publish(name, merged, "merge", load_ts, place_by, placed=True)
 
 
+def _slot_table(name: str, path: str) -> str:
+    return f"{name}__{path.rsplit('/', 1)[1]}"
+
+
 def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)

@@ -75,6 +75,18 @@ def read_years(
     return union_by_name(frames)
 
 
+def read_year_partitions(
+    spark: SparkSession, base: str, entity: str, years: Sequence[int] | None = None
+) -> DataFrame:
+    """Years of one schema, written by ``write_year_partitions``, in one scan.
+
+    ``anio`` comes from the folder names, and folders of other years are not read.
+    """
+    df = spark.read.parquet(f"{base.rstrip('/')}/{entity}")
+    df = df.withColumn("anio", F.col("anio").cast("int"))
+    return df if years is None else df.filter(F.col("anio").isin(*years))
+
+
 def read_all(spark: SparkSession, base: str, entity: str) -> DataFrame:
     """An entity that is not split by year."""
     path = bronze_path(base, entity)

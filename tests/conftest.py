@@ -31,7 +31,7 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def namespaces(spark):
     """Drop what a test leaves in the catalog; files stay in its own folder."""
-    names = ("silver", "gold")
+    names = ("silver", "gold", "work")
     for n in names:
         spark.sql(f"DROP SCHEMA IF EXISTS {n} CASCADE")
     yield

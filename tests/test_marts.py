@@ -40,7 +40,7 @@ def silver(spark):
 
 @pytest.fixture
 def views(spark, silver):
-    for name, df in silver._asdict().items():
+    for name, df in zip(silver._fields, silver[:4]):
         df.createOrReplaceTempView(f"t_{name}")
     return spark.sql
 
@@ -167,7 +167,7 @@ def test_rows_without_a_key_are_grouped(spark, silver):
     lost = spark.createDataFrame([(None, "Lost", 1, "L")] * 2 + [(None, "Other", 1, "L")], USERS)
     posts = spark.createDataFrame([(None, 1, 1, "t", 2, 3, 0, 0, "", 2020)] * 2, POSTS)
     s = silver._replace(users=silver.users.unionByName(lost), posts=silver.posts.unionByName(posts))
-    for name, df in s._asdict().items():
+    for name, df in zip(s._fields, s[:4]):
         df.createOrReplaceTempView(f"t_{name}")
     got = rows(marts.user_engagement(s, TS1).drop("fecha_cargue"))
     assert got == rows(spark.sql(NAIVE_ENGAGEMENT))

@@ -367,6 +367,7 @@ ORACLES: dict[str, str] = {
     # bronze
     "src_years_strict": sql("select * from posts"),
     "src_years_lenient": sql("select * from posts"),
+    "src_years_pruned": sql(f"select * from posts where anio >= {LAST_OLD_YEAR}"),
     "src_all": sql("select * from badges"),
     "bronze_overwrite_roundtrip": sql(f"select *, cast({GEN_YEAR} as int) as anio from users"),
     "extract_year_capped": f"select * from orders where {IN_YEAR} order by o_orderkey limit {YEAR_CAP}",

@@ -27,6 +27,7 @@ from assaylake.sources import extract, generators
 from assaylake.sources.bronze import (
     bronze_path,
     read_all,
+    read_year_partitions,
     read_years,
     write_bronze,
     write_year_partitions,
@@ -460,6 +461,12 @@ def src_years_lenient(spark, d):
     )
 
 
+@query
+def src_years_pruned(spark, d):
+    newer = [y for y in YEARS if y >= LAST_OLD_YEAR]
+    return read_year_partitions(spark, _posts_in_bronze(spark, d), "posts", newer)
+
+
 @query
 def src_all(spark, d):
     base = scratch_path(spark, "bronze")
