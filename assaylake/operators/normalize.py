@@ -13,9 +13,6 @@ from assaylake import specs
 from assaylake.functions.columns import coerce, ts_lit
 from assaylake.specs import EntitySpec
 
-METADATA_COLUMNS = ("anio", "fecha_cargue", "fuente")
-
-
 def normalize(df: DataFrame, spec: EntitySpec) -> DataFrame:
     """Rename, decode, cast and order the columns in one projection.
 
@@ -43,9 +40,7 @@ def normalize(df: DataFrame, spec: EntitySpec) -> DataFrame:
             cols.append(coerce(df[f"`{f.name}`"], f.dataType, target).alias(name))
         else:
             cols.append(F.lit(None).cast(target).alias(name))
-    for f in extra:
-        if not (spec.passthrough or f.name in METADATA_COLUMNS):
-            continue
+    for f in extra if spec.passthrough else []:
         c = df[f"`{f.name}`"]
         # a column without any value has no type that Parquet could store
         cols.append(c.cast("string").alias(f.name) if isinstance(f.dataType, T.NullType) else c)

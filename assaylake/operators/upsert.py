@@ -163,13 +163,14 @@ def with_merge_key(df: DataFrame, *parts: str) -> DataFrame:
 def merge_into(source: DataFrame, table: str, keys, update_cols: Sequence[str] | None = None) -> None:
     """The same merge on a catalog with row-level writes (Iceberg and others)."""
     keys = _key_list(keys)
-    spark = source.sparkSession
-    columns = spark.table(table).columns
+    target = table.rsplit(".", 1)[-1]
+    columns = source.sparkSession.table(table).columns
     update = [c for c in columns if c not in keys] if update_cols is None else update_cols
-    on = reduce(and_, [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys])
+    null_safe = len(keys) > 1
+    on = [(F.col(f"{target}.{k}"), F.col(f"source.{k}")) for k in keys]
     (
         source.alias("source")
-        .mergeInto(f"{table}", on)
+        .mergeInto(table, reduce(and_, [t.eqNullSafe(s) if null_safe else t == s for t, s in on]))
         .whenMatched().update({c: F.col(f"source.{c}") for c in update})
         .whenNotMatched().insertAll()
         .merge()

@@ -12,15 +12,18 @@ from assaylake import specs
 from assaylake.functions.columns import ts_lit
 from assaylake.operators.dedupe import latest_rows
 from assaylake.operators.normalize import (
+    add_load_metadata,
     coerce_columns,
+    fill_defaults,
     normalize,
-    to_silver,
     union_positional,
 )
+from assaylake.operators.profile import table_counts
 from assaylake.plans.marts import MARTS, Silver, votes_by_post
 from assaylake.plans.store import TableStore
 from assaylake.sources.bronze import (
     bronze_path,
+    file_inventory,
     read_all,
     read_if_present,
     read_years,
@@ -46,7 +49,10 @@ def raw_path(raw: str, spec: EntitySpec, year: int | None) -> str:
 
 
 def _column(df: DataFrame, spec: EntitySpec, canonical: str) -> str:
-    return next(c for c in df.columns if spec.canonical(c) == canonical)
+    for c in df.columns:
+        if spec.canonical(c) == canonical:
+            return c
+    raise ValueError(f"{spec.entity}: no column for {canonical!r} among {df.columns}")
 
 
 def load_entity(
@@ -119,15 +125,18 @@ def silver_frame(
     An unreadable year stops users and is skipped for posts and votes.
     """
     if spec.yearly:
-        raw = read_years(
+        typed = read_years(
             spark, bronze, spec.entity, years,
             on_missing="raise" if spec is USERS else "skip",
             prepare=lambda df: normalize(df, spec),
         )
     else:
-        raw = read_all(spark, bronze, spec.entity)
-    rows = to_silver(raw, spec, load_ts)
-    return latest_rows(rows, spec.key, spec.latest_by) if dedupe else rows
+        typed = normalize(read_all(spark, bronze, spec.entity), spec)
+    rows = fill_defaults(typed, spec)
+    if dedupe:
+        rows = latest_rows(rows, spec.key, spec.latest_by)
+    # constants are added last, so that they are neither shuffled nor sorted
+    return add_load_metadata(rows, load_ts)
 
 
 def run_silver(
@@ -211,6 +220,17 @@ def run_gold(
     return rows
 
 
+def verify_bronze(spark: SparkSession, bronze: str) -> DataFrame:
+    """Bronze files in path order, with their sizes."""
+    return file_inventory(spark, bronze).orderBy("path")
+
+
+def verify_gold(store: TableStore, mart: str = "cant_post_x_user_hist", n: int = 10):
+    """Row count and a small sample of a mart."""
+    name = f"gold.{mart}"
+    return table_counts(store.spark, [name]), store.sample(name, n)
+
+
 def run_all(
     spark: SparkSession,
     raw: str,

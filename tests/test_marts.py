@@ -2,6 +2,8 @@
 
 import pytest
 from conftest import TS1, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from assaylake.plans import marts, reports
 from assaylake.plans.marts import Silver
@@ -65,7 +67,8 @@ def test_posts_per_user_year_type(silver):
 
 
 @pytest.mark.parametrize("scores,mean", [([1, 0, 0, 0, 0, 0, 0, 0], 0.13), ([-1] + [0] * 7, -0.13),
-                                         ([1, 0, 0], 0.33), ([2, 0, 0], 0.67)])
+                                         ([1, 0, 0], 0.33), ([2, 0, 0], 0.67),
+                                         ([3] * 27 + [2] * 13, 2.68), ([2] + [1] * 199, 1.01)])
 def test_average_rounds_half_away_from_zero(spark, silver, scores, mean):
     posts = spark.createDataFrame(
         [(i, 1, 1, "t", s, 0, 0, 0, "", 2020) for i, s in enumerate(scores)], POSTS)
@@ -107,6 +110,29 @@ def test_engagement_equals_the_four_way_join(silver, views):
     assert rows(marts.user_engagement(silver, TS1).drop("fecha_cargue")) == rows(views(NAIVE_ENGAGEMENT))
 
 
+ids = st.one_of(st.none(), st.integers(1, 3))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    posts=st.lists(st.tuples(ids, st.integers(1, 3), st.one_of(st.none(), st.integers(-2, 2))), max_size=6),
+    votes=st.lists(ids, max_size=8),
+    badges=st.lists(ids, max_size=5),
+)
+def test_engagement_equals_the_join_on_any_fan_out(spark, posts, votes, badges):
+    s = Silver(
+        spark.createDataFrame([(i, f"u{i}", i, "x") for i in (1, 2, 3)], USERS),
+        spark.createDataFrame(
+            [(i + 1, o, k, "t", v, v, 0, v, "", 2020) for i, (o, k, v) in enumerate(posts)], POSTS),
+        spark.createDataFrame([(i, p, 2) for i, p in enumerate(votes)], VOTES),
+        spark.createDataFrame([(i, u, "n", 1, True) for i, u in enumerate(badges)], BADGES),
+    )
+    for name, df in zip(s._fields, s[:4]):
+        df.createOrReplaceTempView(f"t_{name}")
+    got = rows(marts.user_engagement(s, TS1).drop("fecha_cargue"))
+    assert got == rows(spark.sql(NAIVE_ENGAGEMENT))
+
+
 def test_exact_engagement_counts_each_post_once(silver):
     got = {r.user_id: r for r in marts.user_engagement_exact(silver, TS1).collect()}
     ann = got[1]

@@ -253,3 +253,17 @@ def test_generators_do_not_depend_on_partitioning(spark):
     assert {r[0] for r in generators.generate_votes(generators.ids(spark, 99), 2020)
             .select("VoteTypeId").distinct().collect()} == {2, 3}
     assert generators.generate_badges(generators.ids(spark, 30)).select("Name").distinct().count() == 10
+
+
+def test_command_line(spark, tmp_path, namespaces, capsys):
+    from assaylake.__main__ import parse, run
+
+    common = ["--base", f"{tmp_path}/lake", "--raw", f"{tmp_path}/raw", "--years", "2019",
+              "--load-ts", TS1, "--marts", "cant_post_x_user_hist", "--buckets", "2", "--cap", "40"]
+    for step in ("fixture", "bronze", "silver", "gold", "verify"):
+        run(spark, parse([step, *common]))
+    out = capsys.readouterr().out
+    assert "silver.badges_hist 120" in out and "silver.votes_hist 40" in out
+    assert "gold.cant_post_x_user_hist" in out and "badges.parquet" in out
+    with pytest.raises(SystemExit):
+        parse(["all", "--base", "x"])

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from assaylake.operators.upsert import (
     MergeConflict,
     merge_conflicts,
+    merge_into,
     require_no_conflicts,
     upsert,
     with_merge_key,
@@ -88,6 +89,16 @@ def test_merge_key_leaves_nulls_out(spark):
     assert [r.merge_key for r in with_merge_key(df, "u", "t", "y").collect()] == ["5_2019", "a_1"]
 
 
+def test_row_level_merge_resolves_and_is_refused_by_plain_tables(spark, namespaces):
+    spark.sql("create schema silver")
+    frame(spark, [(1, "a", 1)]).write.saveAsTable("silver.plain")
+    for keys in ("id", ["id", "b"]):
+        with pytest.raises(Exception) as e:
+            merge_into(frame(spark, [(1, "x", 1)]), "silver.plain", keys)
+        # every column was found; only the kind of table is not suited
+        assert e.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
+
+
 record = st.tuples(
     st.one_of(st.none(), st.integers(0, 6)),
     st.one_of(st.none(), st.sampled_from("xyz")),
