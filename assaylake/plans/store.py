@@ -16,7 +16,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import ts_lit
@@ -49,6 +49,8 @@ class TableStore:
         self.buckets = buckets
         self.keep = keep
         self._log_path = f"{self.base}/_load_log"
+        # version and folder of each table's current state
+        self._current: dict[str, tuple[int, str]] = {}
         self._attach()
 
     # ---- catalog ------------------------------------------------------------
@@ -89,17 +91,11 @@ class TableStore:
         logged = read_if_present(self.spark, self._log_path)
         return logged if logged is not None else self.spark.createDataFrame([], LOG_SCHEMA)
 
-    def _latest(self, name: str | None = None) -> list:
-        entries = self._log()
-        if name is not None:
-            entries = entries.filter(F.col("table") == name)
-        w = Window.partitionBy("table").orderBy(F.col("version").desc())
-        newest = entries.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-        return newest.collect()  # one row per table
-
     def _attach(self) -> None:
         """Point every table at its last committed version."""
-        for e in self._latest():
+        newest = F.max_by(F.struct("version", "path", "bucket_keys", "buckets"), "version")
+        for e in self._log().groupBy("table").agg(newest.alias("e")).select("table", "e.*").collect():
+            self._current[e.table] = (e.version, e.path)
             self.create_namespace(e.table.split(".")[0])
             version_table = _slot_table(e.table, e.path)
             if not self.spark.catalog.tableExists(version_table):
@@ -125,9 +121,11 @@ class TableStore:
     ) -> int:
         namespace, table = name.split(".")
         self.create_namespace(namespace)
-        last = self._latest(name)
-        version = last[0].version + 1 if last else 1
-        path = f"{self.base}/{namespace}/{table}/slot{version % self.keep}"
+        last, current_path = self._current.get(name, (0, None))
+        version, folder = last + 1, f"{self.base}/{namespace}/{table}"
+        path = f"{folder}/slot{version % self.keep}"
+        if path == current_path:  # only if ``keep`` has changed between runs
+            path = f"{folder}/slot{(version + 1) % self.keep}"
         version_table = _slot_table(name, path)
         buckets = self.buckets if keys else None
 
@@ -143,12 +141,18 @@ class TableStore:
         writer.saveAsTable(version_table)
         rows = counted.get["rows"]
 
-        entry = self.spark.createDataFrame(
-            [(name, version, op, rows, path, list(keys), buckets)],
-            "table string, version int, op string, rows long, path string, "
-            "bucket_keys array<string>, buckets int",
-        ).withColumn("load_ts", ts_lit(load_ts))
+        entry = self.spark.range(1).select(
+            F.lit(name).alias("table"),
+            F.lit(version).alias("version"),
+            F.lit(op).alias("op"),
+            F.lit(rows).cast("long").alias("rows"),
+            ts_lit(load_ts).alias("load_ts"),
+            F.lit(path).alias("path"),
+            F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("bucket_keys"),
+            F.lit(buckets).cast("int").alias("buckets"),
+        )
         entry.coalesce(1).write.mode("append").parquet(self._log_path)
+        self._current[name] = (version, path)
         self._point(name, version_table)
         log.info("%s %s v%d: %d rows", op, name, version, rows)
         return rows

@@ -165,9 +165,11 @@ def expected_files(
     years: Sequence[int] = specs.DEFAULT_YEARS,
 ) -> DataFrame:
     """One row per expected year: present or missing, with the size in bytes."""
-    wanted = spark.createDataFrame(
-        [(year, f"/{entity}/{year}/{entity}_{year}.parquet") for year in years],
-        "anio int, suffix string",
+    wanted = spark.range(1).select(
+        F.explode(F.array(*[F.lit(year) for year in years])).alias("anio")
+    ).withColumn(
+        "suffix",
+        F.format_string(f"/{entity}/%d/{entity}_%d.parquet", F.col("anio"), F.col("anio")),
     )
     try:
         files = file_inventory(spark, f"{base.rstrip('/')}/{entity}")

@@ -7,6 +7,8 @@ rows in key order, so that it does not depend on file layout.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,8 +79,12 @@ def extract_years(
     df: DataFrame, years: Sequence[int], date_col: str = "CreationDate"
 ) -> DataFrame:
     """Several whole years in one scan, tagged with ``anio``; no cap, no shuffle."""
-    year = F.year(coerce(F.col(date_col), df.schema[date_col].dataType, "timestamp"))
-    return df.withColumn("anio", year.cast("int")).filter(F.col("anio").isin(*years))
+    c, source = F.col(date_col), df.schema[date_col].dataType
+    tagged = df.withColumn("anio", F.year(coerce(c, source, "timestamp")).cast("int"))
+    if isinstance(source, T.DatetimeType):
+        # one range per year, which the scan can use
+        return tagged.filter(reduce(or_, [in_year(c, source, y) for y in years]))
+    return tagged.filter(F.col("anio").isin(*years))
 
 
 def source_year_count(df: DataFrame, year: int, date_col: str = "CreationDate") -> DataFrame:

@@ -109,6 +109,12 @@ def test_versions_share_a_fixed_number_of_folders(spark, store, tmp_path):
     assert sorted(p.name for p in (tmp_path / "tables" / "silver" / "t").iterdir()) == ["slot0", "slot1"]
     with pytest.raises(ValueError):
         TableStore(spark, store.base, keep=1)
+    # another number of folders never writes into the one that is current
+    for keep in (3, 2, 4, 2):
+        other = TableStore(spark, store.base, buckets=4, keep=keep)
+        for _ in range(2):
+            other.merge("silver.t", frame(spark, [(0, "a")]), "id", TS2)
+    assert rows(other.read("silver.t")) == [(i, "a") for i in range(5)]
     assert "silver" in store.namespaces()
 
 
