@@ -16,7 +16,7 @@ from assaylake import specs
 from assaylake.plans import jobs
 from assaylake.plans.marts import MARTS
 from assaylake.plans.store import TableStore
-from assaylake.session import pin_utc
+from assaylake.session import tuned
 from assaylake.sources.generators import write_raw_fixture
 
 STEPS = ("fixture", "bronze", "silver", "gold", "all", "verify")
@@ -41,7 +41,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    pin_utc(spark)
+    tuned(spark)
     base = args.base.rstrip("/")
     bronze = f"{base}/bronze"
     if args.step == "fixture":

@@ -14,6 +14,22 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# per task; a join side whose measured partitions all fit is hashed, not sorted
+HASH_JOIN_BYTES = "64m"
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Settings for the load jobs; anything the cluster has set is left alone.
+
+    A merge of few rows into a large history then hashes the incoming rows
+    instead of sorting the history. The size is checked at run time.
+    """
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    if spark.conf.get(key, "0").rstrip("b") == "0":
+        spark.conf.set(key, HASH_JOIN_BYTES)
+    return pin_utc(spark)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 

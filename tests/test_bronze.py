@@ -149,3 +149,41 @@ def test_years_in_one_pass(spark, tmp_path):
         bronze.write_year_partitions(df, base, "posts", "y", rebalance)
         back = bronze.read_years(spark, base, "posts", path_of=bronze.year_partition_path)
         assert sorted(rows(back)) == [(i, 2019 + i % 3) for i in range(100)]
+
+
+def test_files_written_by_other_tools(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path, nanos = f"{tmp_path}/a.parquet", f"{tmp_path}/n.parquet"
+    pq.write_table(pa.table({
+        "Id": pa.array([1, 2]), "ParentId": pa.nulls(2),
+        "Title": pa.array([b"a", b"\xff"], pa.binary()),
+        "CreationDate": pa.array([datetime(2020, 1, 1)] * 2, pa.timestamp("us")),
+    }), path)
+    out = normalize(bronze.read_if_present(spark, path), specs.POSTS)
+    assert rows(out, "Id", "Title", "CreationDate", "ParentId") == [
+        (1, "a", datetime(2020, 1, 1), None), (2, "\ufffd", datetime(2020, 1, 1), None)]
+    # nanoseconds: refused by default, read as long on request
+    pq.write_table(pa.table({"t": pa.array([1_577_836_800_123_456_789], pa.timestamp("ns"))}), nanos)
+    with pytest.raises(AnalysisException):
+        bronze.read_if_present(spark, nanos)
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    try:
+        got = bronze.nanos_to_timestamp(spark.read.parquet(nanos), "t").collect()[0].t
+    finally:
+        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+    assert got == datetime(2020, 1, 1, 0, 0, 0, 123456)
+
+
+def test_job_settings_respect_the_cluster(spark):
+    from assaylake.session import tuned
+
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(key)
+    try:
+        assert tuned(spark).conf.get(key) == "64m"
+        spark.conf.set(key, "5m")
+        assert tuned(spark).conf.get(key) == "5m"
+    finally:
+        spark.conf.set(key, before)

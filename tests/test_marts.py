@@ -96,8 +96,8 @@ NAIVE_ENGAGEMENT = """
     select u.id as user_id, coalesce(u.display_name, 'Unknown') as display_name,
         coalesce(u.reputation, 0L) as reputation, coalesce(u.location, '') as location,
         count(distinct p.Id) as total_posts,
-        sum(case when p.PostTypeId = 1 then 1 else 0 end) as total_questions,
-        sum(case when p.PostTypeId = 2 then 1 else 0 end) as total_answers,
+        count_if(p.PostTypeId = 1) as total_questions,
+        count_if(p.PostTypeId = 2) as total_answers,
         coalesce(sum(p.Score), 0L) as total_score, coalesce(sum(p.ViewCount), 0L) as total_views,
         coalesce(sum(p.CommentCount), 0L) as total_comments,
         count(distinct v.Id) as total_votes_received, count(distinct b.Id) as total_badges

@@ -19,7 +19,7 @@ from verification.queries import (
 
 TS = f"timestamp '{LOAD_TS}'"
 TS2 = f"timestamp '{LATER_TS}'"
-TYPE_LABEL = "case when {0} = 1 then 'Question' when {0} = 2 then 'Answer' else 'Other' end"
+TYPE_LABEL = "case {0} when 1 then 'Question' when 2 then 'Answer' else 'Other' end"
 
 
 def avg2(c: str) -> str:
@@ -56,9 +56,9 @@ def posts_user_year_type(with_key: bool = True) -> str:
 
 VOTE_STATS = f"""select p.Id as post_id, coalesce(p.Title, '') as title, p.PostTypeId as post_type_id,
         p.OwnerUserId as owner_user_id, p.anio, count(v.Id) as total_votes,
-        {big('sum(case when v.VoteTypeId = 2 then 1 else 0 end)')} as upvotes,
-        {big('sum(case when v.VoteTypeId = 3 then 1 else 0 end)')} as downvotes,
-        {big('sum(case when v.VoteTypeId = 2 then 1 when v.VoteTypeId = 3 then -1 else 0 end)')} as net_votes,
+        count(*) filter (where v.VoteTypeId = 2) as upvotes,
+        count(*) filter (where v.VoteTypeId = 3) as downvotes,
+        count(*) filter (where v.VoteTypeId = 2) - count(*) filter (where v.VoteTypeId = 3) as net_votes,
         coalesce(p.Score, 0) as score, coalesce(p.ViewCount, 0) as view_count, {TS} as fecha_cargue
     from posts p left join votes v on p.Id = v.PostId
     group by p.Id, p.Title, p.PostTypeId, p.OwnerUserId, p.anio, p.Score, p.ViewCount"""
@@ -77,8 +77,8 @@ TOP_TAGS = f"""select trim(tag) as tag, anio, count(*) as cant_preguntas,
 ENGAGEMENT = f"""select u.id as user_id, coalesce(u.display_name, 'Unknown') as display_name,
         coalesce(u.reputation, 0) as reputation, coalesce(u.location, '') as location,
         count(distinct p.Id) as total_posts,
-        {big('sum(case when p.PostTypeId = 1 then 1 else 0 end)')} as total_questions,
-        {big('sum(case when p.PostTypeId = 2 then 1 else 0 end)')} as total_answers,
+        count(*) filter (where p.PostTypeId = 1) as total_questions,
+        count(*) filter (where p.PostTypeId = 2) as total_answers,
         {big('coalesce(sum(p.Score), 0)')} as total_score,
         {big('coalesce(sum(p.ViewCount), 0)')} as total_views,
         {big('coalesce(sum(p.CommentCount), 0)')} as total_comments,
@@ -104,10 +104,10 @@ ENGAGEMENT_EXACT = f"""select u.id as user_id, coalesce(u.display_name, 'Unknown
 def badges_summary(badges: str = "badges", ts: str = TS) -> str:
     return f"""select b.UserId as user_id, coalesce(u.display_name, 'Unknown') as display_name,
         coalesce(u.reputation, 0) as reputation, count(b.Id) as total_badges,
-        {big('sum(case when b.Class = 1 then 1 else 0 end)')} as gold_badges,
-        {big('sum(case when b.Class = 2 then 1 else 0 end)')} as silver_badges,
-        {big('sum(case when b.Class = 3 then 1 else 0 end)')} as bronze_badges,
-        {big('sum(case when b.TagBased then 1 else 0 end)')} as tag_based_badges,
+        count(*) filter (where b.Class = 1) as gold_badges,
+        count(*) filter (where b.Class = 2) as silver_badges,
+        count(*) filter (where b.Class = 3) as bronze_badges,
+        count(*) filter (where b.TagBased) as tag_based_badges,
         count(distinct b.Name) as unique_badge_types, {ts} as fecha_cargue
     from {badges} b left join users u on b.UserId = u.id
     group by b.UserId, u.display_name, u.reputation"""
