@@ -19,7 +19,7 @@ from assaylake.operators.normalize import (
     union_positional,
 )
 from assaylake.operators.profile import table_counts
-from assaylake.plans.marts import MARTS, Silver, votes_by_post
+from assaylake.plans.marts import MARTS, Silver, owner_totals, votes_by_post
 from assaylake.plans.store import TableStore
 from assaylake.sources.bronze import (
     bronze_path,
@@ -187,8 +187,11 @@ def load_posts_simple(
 
 # ---- gold -------------------------------------------------------------------
 
+# intermediate results that two marts share
 NEED_VOTE_COUNTS = {"vote_stats_per_post", "user_engagement"}
+NEED_OWNER_TOTALS = {"cant_post_x_user_hist", "cant_post_x_user_type_hist"}
 VOTE_COUNTS = "work.votes_by_post"
+OWNER_TOTALS = "work.owner_totals"
 
 
 def open_silver(store: TableStore, namespace: str = "silver") -> Silver:
@@ -204,14 +207,18 @@ def run_gold(
 ) -> dict[str, int]:
     """Build and merge the marts; rows per table.
 
-    When several marts need the votes of each post, these are counted once into
-    a work table. Bucketed like the posts, it joins with them without a shuffle.
+    What two marts share is computed once, into work tables: votes per post,
+    bucketed like the posts, and sums per owner, bucketed like the users. Their
+    joins with posts and users then need no shuffle.
     """
     store.create_namespace(namespace)
     silver = open_silver(store, silver_namespace)
-    if len(NEED_VOTE_COUNTS.intersection(marts)) > 1:
+    if NEED_VOTE_COUNTS.issubset(marts):
         store.overwrite(VOTE_COUNTS, votes_by_post(silver.votes), load_ts, "PostId")
         silver = silver._replace(vote_counts=store.read(VOTE_COUNTS))
+    if NEED_OWNER_TOTALS.issubset(marts):
+        store.overwrite(OWNER_TOTALS, owner_totals(silver.posts), load_ts, "user_id")
+        silver = silver._replace(totals=store.read(OWNER_TOTALS))
     rows = {}
     for mart in marts:
         build, keys = MARTS[mart]

@@ -30,12 +30,19 @@ class Silver(NamedTuple):
     posts: DataFrame
     votes: DataFrame
     badges: DataFrame
-    # votes_by_post(votes), where a run has stored it for several marts
+    # votes_by_post(votes) and owner_totals(posts), where a run has stored them
+    # because several marts need them
     vote_counts: DataFrame | None = None
+    totals: DataFrame | None = None
 
     def counted_votes(self) -> DataFrame:
         return votes_by_post(self.votes) if self.vote_counts is None else self.vote_counts
 
+    def activity(self, *extra_keys: str) -> DataFrame:
+        if self.totals is None:
+            return owner_activity(self.posts, *extra_keys)
+        return activity_from_totals(self.totals, *extra_keys)
+
 
 class MartSpec(NamedTuple):
     build: object
@@ -61,13 +68,40 @@ def owner_activity(posts: DataFrame, *extra_keys: str) -> DataFrame:
     )
 
 
+def owner_totals(posts: DataFrame) -> DataFrame:
+    """Sums per owner, year and type, from which coarser activity adds up."""
+    return (
+        posts.filter(F.col("OwnerUserId").isNotNull())
+        .groupBy(F.col("OwnerUserId").alias("user_id"), "anio", "PostTypeId")
+        .agg(
+            F.count("Id").alias("posts"),
+            F.count("Score").alias("scored"),
+            F.sum("Score").alias("score"),
+            F.sum("ViewCount").alias("views"),
+        )
+    )
+
+
+def activity_from_totals(totals: DataFrame, *extra_keys: str) -> DataFrame:
+    """The same as ``owner_activity``, from stored sums.
+
+    Bucketed by user, the sums are grouped and joined with users in place.
+    """
+    return totals.groupBy("user_id", "anio", *extra_keys).agg(
+        F.sum("posts").alias("cant_posts"),
+        sum_or_zero("score").alias("total_score"),
+        F.round(F.try_divide(F.sum("score"), F.sum("scored")), 2).alias("avg_score"),
+        sum_or_zero("views").alias("total_views"),
+    )
+
+
 def _with_display_name(df: DataFrame, users: DataFrame) -> DataFrame:
     names = users.select(F.col("id").alias("user_id"), "display_name")
     return df.join(names, "user_id", "left")
 
 
 def posts_per_user_year(silver: Silver, load_ts) -> DataFrame:
-    mart = _with_display_name(owner_activity(silver.posts), silver.users).select(
+    mart = _with_display_name(silver.activity(), silver.users).select(
         "user_id",
         _or_unknown("display_name").alias("display_name"),
         "anio", "cant_posts", "total_score", "avg_score", "total_views",
@@ -77,8 +111,7 @@ def posts_per_user_year(silver: Silver, load_ts) -> DataFrame:
 
 
 def posts_per_user_year_type(silver: Silver, load_ts) -> DataFrame:
-    activity = owner_activity(silver.posts, "PostTypeId")
-    mart = _with_display_name(activity, silver.users).select(
+    mart = _with_display_name(silver.activity("PostTypeId"), silver.users).select(
         "user_id",
         _or_unknown("display_name").alias("display_name"),
         "anio",

@@ -136,6 +136,27 @@ def test_counted_votes_join_posts_without_a_shuffle(spark, store):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_owner_totals_are_grouped_and_joined_in_place(spark, store):
+    posts = generators.generate_posts(generators.ids(spark, 200), 2020, n_users=9).selectExpr(
+        "* except (Score)", "if(OwnerUserId = 3 or Id % 4 = 0, null, Score) as Score",
+        "cast(2019 + Id % 2 as int) as anio")
+    users = generators.generate_users(generators.ids(spark, 5), 2020).selectExpr(
+        "Id as id", "DisplayName as display_name")
+    store.merge("silver.users_hist", users, "id", TS1)
+    store.overwrite("work.totals", marts.owner_totals(posts), TS1, "user_id")
+    stored = marts.Silver(store.read("silver.users_hist"), posts, posts, posts,
+                          totals=store.read("work.totals"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for build in (marts.posts_per_user_year, marts.posts_per_user_year_type):
+            mart = build(stored, TS1)
+            assert "Exchange" not in plan(mart).split("\n\n")[0]
+            assert rows(mart) == rows(build(stored._replace(totals=None), TS1))
+            assert mart.schema.simpleString() == build(stored._replace(totals=None), TS1).schema.simpleString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_table_counts_are_tolerant(spark, store):
     store.merge("silver.t", frame(spark, [(1, "a")]), "id", TS1)
     got = rows(table_counts(spark, ["silver.t", "gold.none"]))
