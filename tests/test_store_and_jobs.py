@@ -247,7 +247,10 @@ def test_simple_posts(spark, raw, tmp_path, namespaces):
     store = TableStore(spark, f"{tmp_path}/tables")
     jobs.run_bronze(spark, raw, f"{tmp_path}/bronze", YEARS)
     for ts in (TS1, TS2):
-        assert jobs.load_posts_simple(spark, f"{tmp_path}/bronze", store, ts, YEARS) == 160
+        # a year without files is skipped
+        assert jobs.load_posts_simple(spark, f"{tmp_path}/bronze", store, ts, [*YEARS, 2050]) == 160
+    with pytest.raises(RuntimeError):
+        jobs.load_posts_simple(spark, f"{tmp_path}/bronze", store, TS1, [2050])
     df = store.read("silver.post_hist_simple")
     assert df.select("year", "load_date", "source_system").distinct().count() == 2
     assert df.first().load_date == TS2
