@@ -1,6 +1,7 @@
-"""Run one step of the chain: ``spark-submit -m`` or ``python -m assaylake``.
+"""Run one step of the load chain.
 
     python -m assaylake all --raw s3a://in/raw --base s3a://lake --buckets 20000
+    spark-submit --py-files assaylake.zip submit.py all --raw ... --base ...
 """
 
 from __future__ import annotations
@@ -69,8 +70,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             sample.show(truncate=False)
 
 
-if __name__ == "__main__":
+def main() -> None:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    session = SparkSession.builder.appName("assaylake").getOrCreate()
-    run(session, parse(sys.argv[1:]))
+    args = parse(sys.argv[1:])
+    session = SparkSession.builder.appName(f"assaylake {args.step}").getOrCreate()
+    run(session, args)
     session.stop()
+
+
+if __name__ == "__main__":
+    main()

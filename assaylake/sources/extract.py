@@ -94,6 +94,22 @@ def source_year_count(df: DataFrame, year: int, date_col: str = "CreationDate")
     )
 
 
+def year_query(
+    table: str,
+    columns: Sequence[str],
+    year: int,
+    date_col: str = "CreationDate",
+    n: int | None = None,
+    order_by: str = "Id",
+) -> str:
+    """The extract as SQL for the source: projection, year range, optional cap."""
+    query = (
+        f"SELECT {', '.join(columns)} FROM {table} "
+        f"WHERE {date_col} >= '{year:04d}-01-01' AND {date_col} < '{year + 1:04d}-01-01'"
+    )
+    return query if n is None else f"{query} ORDER BY {order_by} LIMIT {n}"
+
+
 def jdbc_year(
     spark: SparkSession,
     url: str,
@@ -107,21 +123,16 @@ def jdbc_year(
     n: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """The same extract from a database.
+    """The same extract from a database, which does the projection and filter.
 
-    Projection and year range are part of the SQL sent to the source. With
-    ``key_range`` the rows are read by ``partitions`` parallel connections,
+    With ``key_range`` the rows are read by ``partitions`` parallel connections,
     split by the key; a cap is then applied in Spark.
     """
-    cols = ", ".join(dict.fromkeys([*columns, *([key] if key_range else [])]))
-    query = (
-        f"SELECT {cols} FROM {table} "
-        f"WHERE {date_col} >= '{year:04d}-01-01' AND {date_col} < '{year + 1:04d}-01-01'"
-    )
-    if n is not None and key_range is None:
-        query += f" ORDER BY {key} LIMIT {n}"
+    parallel = key_range is not None
+    wanted = list(dict.fromkeys([*columns, key])) if parallel else list(columns)
+    query = year_query(table, wanted, year, date_col, None if parallel else n, key)
     reader = spark.read.format("jdbc").options(url=url, dbtable=f"({query}) src", **options)
-    if key_range is None:
+    if not parallel:
         return reader.load()
     reader = reader.options(
         partitionColumn=key, lowerBound=key_range[0], upperBound=key_range[1],

@@ -117,6 +117,17 @@ def test_year_of_text_and_times(spark):
             (1, 2020), (2, 2021), (3, 2020)]
 
 
+def test_sql_sent_to_a_source_selects_the_same_rows(spark):
+    df = spark.createDataFrame(
+        [(3, "2020-01-01"), (1, "2020-12-31 23:59:59"), (2, "2021-01-01"), (5, None)],
+        "Id long, CreationDate string",
+    ).withColumn("CreationDate", F.col("CreationDate").cast("timestamp"))
+    df.createOrReplaceTempView("users_source")
+    for columns, n in ((["Id", "CreationDate"], None), (["Id"], 1)):
+        text = extract.year_query("users_source", columns, 2020, n=n)
+        assert rows(spark.sql(text)) == rows(extract.extract_year(df, 2020, columns=columns, n=n))
+
+
 def test_head_is_in_key_order(spark):
     df = spark.createDataFrame([(3, "c"), (1, "z"), (1, "b"), (None, "n")], "Id long, v string")
     assert rows(extract.extract_head(df, 2, "Id")) == [(1, "b"), (1, "z")]
