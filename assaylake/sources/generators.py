@@ -22,8 +22,9 @@ LICENSE = "CC BY-SA 3.0"
 
 # ---- end of fixed values ----------------------------------------------------
 
-# two primes that spread consecutive ids
-_ID_STEP, _SEED_STEP = 7919, 104729
+# a linear congruence: consecutive ids give unrelated values, also modulo 2, and
+# nothing overflows a long, however large the id
+_PRIME, _ID_STEP, _SEED_STEP = 2147483647, 1103515245, 104729
 
 
 def ids(spark: SparkSession, n: int) -> DataFrame:
@@ -32,7 +33,8 @@ def ids(spark: SparkSession, n: int) -> DataFrame:
 
 def draw(modulus: int, seed: int, low: int = 0) -> Column:
     """Pseudo-random whole number in [low, low + modulus) from the id."""
-    return F.lit(low) + F.pmod(F.col("id") * _ID_STEP + seed * _SEED_STEP, F.lit(modulus))
+    spread = (F.col("id") % _PRIME * _ID_STEP + seed * _SEED_STEP) % _PRIME
+    return F.lit(low) + spread % modulus
 
 
 def _day(year: int, seed: int, days: int = 365) -> Column:

@@ -279,6 +279,9 @@ def test_generators_do_not_depend_on_partitioning(spark):
     assert users.filter("Reputation < 1 or Reputation >= 50000 or year(CreationDate) <> 2020").count() == 0
     posts = generators.generate_posts(generators.ids(spark, 500), 2020)
     assert posts.filter("PostTypeId not in (1, 2) or Score < -5 or Score >= 100").count() == 0
+    # questions and answers carry both pairs of tags
+    assert posts.select("PostTypeId", "Tags").distinct().count() == 4
+    assert generators.generate_users(spark.range(10**15, 10**15 + 9), 2020).count() == 9
     assert posts.filter("OwnerUserId < 1 or OwnerUserId >= 500").count() == 0
     assert {r[0] for r in generators.generate_votes(generators.ids(spark, 99), 2020)
             .select("VoteTypeId").distinct().collect()} == {2, 3}

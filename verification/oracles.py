@@ -185,7 +185,7 @@ BADGE_COLUMNS = ["Id", "UserId", "Name", "Class", "TagBased", "Date"]
 
 
 def draw(modulus: int, seed: int, low: int = 0) -> str:
-    return f"({low} + (id * 7919 + {seed} * 104729) % {modulus})"
+    return f"({low} + ((id % 2147483647) * 1103515245 + {seed} * 104729) % 2147483647 % {modulus})"
 
 
 def day(year: int, seed: int, days: int = 365) -> str:
