@@ -35,14 +35,20 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 
     It lies in the folder named by ``spark.checkpoint.dir``. Only a local
     master, where driver and executors are one process, may fall back to the
-    machine's temporary folder.
+    machine's temporary folder. The folder lives as long as the session: the
+    file system removes it when the driver ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/assaylake-{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/assaylake-{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(path)  # only a path that exists can be marked
+    fs.deleteOnExit(path)
+    return folder
 
 
 def settled(df: DataFrame, purpose: str) -> DataFrame:
@@ -52,5 +58,5 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
     recomputed if an executor is lost, and the size is known to the planner.
     """
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
