@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def byte_slices(
     A single longer text is a piece of its own, and whole.
     """
     for batch in batches:
-        sizes = np.array([0 if x is None else x for x in pa.compute.binary_length(batch[column]).to_pylist()])
+        sizes = np.array([0 if x is None else x for x in pc.binary_length(batch[column]).to_pylist()])
         first, total = 0, 0
         for at, size in enumerate(sizes):
             if total and total + size > most:
