@@ -1,7 +1,7 @@
 """Toxicity by bags of subwords.
 
 A word is the mean of the vectors of its character n-grams and of itself, a document
-the mean of its words, and a linear softmax tells the two labels apart; vectors and
+the mean of its distinct words, and a linear softmax tells the two labels apart; vectors and
 softmax are trained together, in numpy, on a bounded sample of labelled rows. A
 misspelt or newly inflected word shares most of its n-grams with the words that were
 seen, and so their vectors.
@@ -24,16 +24,22 @@ from assaylake.llm.common import batch_of, byte_slices, texts_of
 from assaylake.llm.wordscan import Prefix, Words, mix
 from assaylake.session import settled
 
-BUCKETS = 1 << 17
+BUCKETS = 1 << 18
 #: Lengths of the character n-grams.
 GRAMS = (3, 4, 5)
 #: Size of the vectors.
-SIZE = 8
+SIZE = 4
 #: Labelled rows to learn from: so many of each label at the most, chosen by a hash of the id.
-MOST_LABELLED = 3000
-#: n-grams that fewer of these documents have are not learned.
-LEAST_DOCS = 3
-ROUNDS, RATE, DECAY = 100, 0.1, 1e-5
+MOST_LABELLED = 2000
+#: Standard errors by which an n-gram's frequency among the documents of the two labels
+#: must differ (as log odds) for it to get a vector; the others count as words without meaning.
+SIGNIFICANT = 3.5
+ROUNDS, RATE, DECAY = 60, 0.05, 1e-4
+#: A document's mean is taken as if it had so many more words of no meaning, so that a
+#: few words alone are no strong evidence.
+PAD = 32
+#: Means are multiplied by this before the softmax: one word in fifty may decide.
+SCALE = 50.0
 FOLDS = 5
 SEED = 42
 
@@ -70,51 +76,62 @@ def distinct_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return at, which
 
 
-def _sum_rows(rows: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
-    """Sums of consecutive rows of the same group (sorted), for groups 0 to n - 1."""
-    out = np.zeros((n, rows.shape[1]), rows.dtype)
-    if len(rows):
-        begins = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        out[group[begins]] = np.add.reduceat(rows, begins, axis=0)
-    return out
-
-
 class _Sparse:
-    """A sparse matrix that multiplies dense ones from the left, also transposed."""
+    """A sparse matrix, to be multiplied with the columns of dense ones."""
 
     def __init__(self, row: np.ndarray, col: np.ndarray, value: np.ndarray, shape: tuple[int, int]):
         self.shape = shape
-        by_row, by_col = np.argsort(row, kind="stable"), np.argsort(col, kind="stable")
-        self.by_row = row[by_row], col[by_row], value[by_row, None].astype(np.float32)
-        self.by_col = col[by_col], row[by_col], value[by_col, None].astype(np.float32)
-
-    def times(self, dense: np.ndarray) -> np.ndarray:
-        row, col, value = self.by_row
-        return _sum_rows(dense[col] * value, row, self.shape[0])
-
-    def turned_times(self, dense: np.ndarray) -> np.ndarray:
-        col, row, value = self.by_col
-        return _sum_rows(dense[row] * value, col, self.shape[1])
-
-
-def train(documents: Sequence[Sequence[tuple[str, int]]], labels: Sequence[int], seed: int = SEED) -> Model:
-    """The model from documents, as (word, count) pairs, and their labels.
-
-    The labels weigh the same in sum. If one is missing, the model says that the
-    other is certain enough (log odds of 2 or -2) whatever the text.
+        self.straight = self._sorted(row, col, value)
+        self.turned = self._sorted(col, row, value)
+
+    @staticmethod
+    def _sorted(row: np.ndarray, col: np.ndarray, value: np.ndarray):
+        order = np.argsort(row, kind="stable")
+        row = row[order]
+        begins = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else row
+        return row[begins], begins, col[order].astype(np.int32), value[order].astype(np.float32)
+
+    @staticmethod
+    def _times(parts, columns: np.ndarray, n: int) -> np.ndarray:
+        rows, begins, col, value = parts
+        out = np.zeros((len(columns), n), np.float32)
+        if len(rows):
+            for k, column in enumerate(columns):
+                out[k, rows] = np.add.reduceat(column[col] * value, begins)
+        return out
+
+    def times(self, columns: np.ndarray) -> np.ndarray:
+        return self._times(self.straight, columns, self.shape[0])
+
+    def turned_times(self, columns: np.ndarray) -> np.ndarray:
+        return self._times(self.turned, columns, self.shape[1])
+
+
+def _buckets_of(words: np.ndarray, first: np.ndarray, count: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """The buckets of these words, which have ``count`` each from ``first`` on."""
+    n = count[words]
+    return bucket[np.repeat(first[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def train(
+    documents: Sequence[Sequence[str]], labels: Sequence[int], share: float | None = None, seed: int = SEED
+) -> Model:
+    """The model from documents, as lists of distinct words, and their labels.
+
+    ``share`` is how frequent label 1 is where the model is used; by default as
+    among these documents. If a label is missing, the model says that the other is
+    certain enough (log odds of 2 or -2) whatever the text.
     """
     y = np.asarray(labels, np.int64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(BUCKETS, np.float32), 2.0 if len(y) and y[0] else -2.0)
     vocabulary: dict[str, int] = {}
-    doc, word, n = [], [], []
+    doc, word = [], []
     for d, bag in enumerate(documents):
-        for w, c in bag:
-            doc.append(d)
-            word.append(vocabulary.setdefault(w, len(vocabulary)))
-            n.append(c)
-    doc, word, n = (np.array(x, np.int64) for x in (doc, word, n))
-    share = n / np.maximum(np.bincount(doc, weights=n, minlength=len(y)), 1)[doc]
+        doc += [d] * len(bag)
+        word += [vocabulary.setdefault(w, len(vocabulary)) for w in bag]
+    doc, word = np.array(doc, np.int64), np.array(word, np.int64)
+    part_of_doc = 1 / (np.bincount(doc, minlength=len(y)) + PAD)[doc]
 
     # every entry of the vocabulary is one word, whatever its characters
     joined = "\0".join(vocabulary)
@@ -124,54 +141,65 @@ def train(documents: Sequence[Sequence[tuple[str, int]]], labels: Sequence[int],
     of_word, bucket = subwords(points, last - lengths, last)
     part = 1 / np.bincount(of_word)[of_word]
 
-    # n-grams that hardly occur get no vector, but count in the mean
-    order = np.argsort(word, kind="stable")
-    docs_of_word = np.bincount(word, minlength=len(vocabulary))
-    seen = np.bincount(bucket, weights=docs_of_word[of_word], minlength=BUCKETS)
-    learned = np.flatnonzero(seen >= LEAST_DOCS)
+    # only n-grams that tell the labels apart beyond chance get a vector
+    n_docs, bounds = np.zeros((2, BUCKETS)), np.searchsorted(doc, np.arange(len(y) + 1))
+    grams = np.bincount(of_word, minlength=len(vocabulary))
+    begins = np.cumsum(grams) - grams
+    for d, label in enumerate(y):
+        found = _buckets_of(word[bounds[d] : bounds[d + 1]], begins, grams, bucket)
+        n_docs[label, np.unique(found)] += 1
+    n = np.bincount(y, minlength=2)
+    odds = [np.log((d + 0.5) / (k - d + 0.5)) for d, k in zip(n_docs, n, strict=True)]
+    error = np.sqrt(sum(1 / (d + 0.5) + 1 / (k - d + 0.5) for d, k in zip(n_docs, n, strict=True)))
+    learned = np.flatnonzero(np.abs(odds[1] - odds[0]) > SIGNIFICANT * error)
     at = np.full(BUCKETS, -1)
     at[learned] = np.arange(len(learned))
     have = at[bucket] >= 0
     to_words = _Sparse(of_word[have], at[bucket[have]], part[have], (len(vocabulary), len(learned)))
-    to_docs = _Sparse(doc[order], word[order], share[order], (len(y), len(vocabulary)))
+    to_docs = _Sparse(doc, word, SCALE * part_of_doc, (len(y), len(vocabulary)))
 
     rng = np.random.default_rng(seed)
-    params = [
-        rng.normal(0, 0.1, (len(learned), SIZE)).astype(np.float32),
-        rng.normal(0, 0.1, (SIZE, 2)).astype(np.float32),
-        np.zeros(2, np.float32),
+    params = [  # vectors and softmax by column, so that each is contiguous
+        rng.normal(0, 0.1, (SIZE, len(learned))).astype(np.float32),
+        rng.normal(0, 0.1, (2, SIZE)).astype(np.float32),
+        np.zeros((2, 1), np.float32),
     ]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    truth = np.eye(2, dtype=np.float32)[y]
-    weight = (0.5 / np.bincount(y, minlength=2)[y]).astype(np.float32)[:, None]
+    truth = np.eye(2, dtype=np.float32)[:, y]
+    share = y.mean() if share is None else share
+    weight = (np.array([1 - share, share]) / np.bincount(y, minlength=2))[y].astype(np.float32)
     for k in range(1, ROUNDS + 1):
         vectors, softmax, bias = params
         hidden = to_docs.times(to_words.times(vectors))
-        logits = hidden @ softmax + bias
-        odds = np.exp(logits - logits.max(1, keepdims=True))
-        wrong = (odds / odds.sum(1, keepdims=True) - truth) * weight
-        back = to_words.turned_times(to_docs.turned_times(wrong @ softmax.T))
-        gradients = [back + DECAY * vectors, hidden.T @ wrong + DECAY * softmax, wrong.sum(0)]
+        logits = softmax @ hidden + bias
+        odds = np.exp(logits - logits.max(0))
+        wrong = (odds / odds.sum(0) - truth) * weight
+        back = to_words.turned_times(to_docs.turned_times(softmax.T @ wrong))
+        gradients = [
+            back + DECAY * vectors / len(learned), wrong @ hidden.T + DECAY * softmax, wrong.sum(1, keepdims=True)
+        ]
         for p, g, m, v in zip(params, gradients, first, second, strict=True):  # Adam
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             p -= RATE * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
     vectors, softmax, bias = params
     table = np.zeros(BUCKETS, np.float32)
-    table[learned] = vectors @ (softmax[:, 1] - softmax[:, 0])
-    return Model(table, float(bias[1] - bias[0]))
+    table[learned] = SCALE * ((softmax[1] - softmax[0]) @ vectors)
+    return Model(table, float(bias[1, 0] - bias[0, 0]))
 
 
 def log_odds(texts: list[str], model: Model) -> np.ndarray:
-    """Of every text: the bias and the mean over its words of the mean over their n-grams."""
+    """Of every text: the bias and the mean over its distinct words of the mean over their n-grams."""
     words = Words(texts)
     if not len(words):
         return np.full(len(texts), model.bias)
     at, which = distinct_words(words)
     word, bucket = subwords(words.lower, words.first[at], words.last[at])
     score = np.bincount(word, weights=model.weight[bucket]) / np.bincount(word)
-    total = np.bincount(words.text, weights=score[which], minlength=len(texts))
-    return model.bias + total / np.maximum(np.bincount(words.text, minlength=len(texts)), 1)
+    pairs = np.unique(words.text * len(at) + which)
+    text, kind = pairs // len(at), pairs % len(at)
+    total = np.bincount(text, weights=score[kind], minlength=len(texts))
+    return model.bias + total / (np.bincount(text, minlength=len(texts)) + PAD)
 
 
 def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
@@ -179,22 +207,24 @@ def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def bag(text: str) -> list[str]:
+    """The distinct words of a text, in lower case."""
+    found = Words([text])
+    at, _ = distinct_words(found)
+    lower = found.lower.astype("<u4").tobytes()
+    return [lower[4 * a : 4 * b].decode("utf-32-le", "surrogatepass")
+            for a, b in zip(found.first[at].tolist(), found.last[at].tolist(), strict=True)]
+
+
 def _bags(docs: DataFrame) -> DataFrame:
-    schema = pa.schema([("label", pa.int64()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+    schema = pa.schema([("label", pa.int64()), ("words", pa.list_(pa.string()))])
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
-            words, counts = [], []
-            for text in texts_of(batch.column(1)):
-                found = Words([text])
-                at, which = distinct_words(found)
-                lower = found.lower.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-                words.append([lower[a:b] for a, b in zip(found.first[at], found.last[at], strict=True)])
-                counts.append(np.bincount(which, minlength=len(at)).tolist())
-            yield batch_of(schema, [batch.column(0), words, counts])
+            yield batch_of(schema, [batch.column(0), [bag(t) for t in texts_of(batch.column(1))]])
 
     return docs.select(F.col("label").cast("long"), F.col("text").cast("string")).mapInArrow(
-        count, "label long, words array<string>, counts array<long>"
+        collect, "label long, words array<string>"
     )
 
 
@@ -218,8 +248,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # 2 x ``most`` rows
     rows = _bags(sample).collect()
     # the order of rows that executors return does not change the model
-    rows.sort(key=lambda r: (r["label"], r["words"], r["counts"]))
-    return train([list(zip(r["words"], r["counts"], strict=True)) for r in rows], [r["label"] for r in rows])
+    rows.sort(key=lambda r: (r["label"], r["words"]))
+    counts = dict(clear.groupBy("label").count().collect())
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    return train([r["words"] for r in rows], [r["label"] for r in rows], share)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -243,8 +275,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row, the model learned from the labels.
 
-    The score is the probability of label 1 (both labels taken as equally frequent),
-    from the whole text and nothing else. Texts that are null, empty or without a
+    The score is the probability of label 1, taken to be as frequent as among the
+    labels, from the whole text and nothing else. Texts that are null, empty or without a
     word have the bias alone. Equal texts have equal scores. Rows without an id are
     scored. Without usable labels of both kinds all documents get one score.
     """

@@ -1,0 +1,449 @@
+"""Operators on the words, lines and shingles of documents."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from assaylake.llm import components, cuckoo_lines, decontaminate, oph, simhash, wordscan
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def union(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+# ---- words ------------------------------------------------------------------
+
+
+@given(st.lists(st.text()))
+@settings(max_examples=200, deadline=None)
+def test_words_are_those_of_a_plain_loop(texts):
+    words = wordscan.Words(texts, numbers=False)
+    kinds = lambda c: ord(c) > 0xFFFF or c.isalnum() or c == "_" or c.isdigit()
+    for k, text in enumerate(texts):
+        want = "".join(c if kinds(c) else " " for c in text).split(" ")
+        at = range(words.bounds[k], words.bounds[k + 1])
+        got = ["".join(map(chr, words.points[words.first[i] : words.last[i]])) for i in at]
+        assert got == [w for w in want if w]
+
+
+def test_equal_words_and_only_they_have_equal_hashes():
+    words = wordscan.Words(["The cat, the CAT; then 3.5 3,5 35 1,000", "cat"])
+    h = words.hashes().tolist()
+    assert h[0] == h[2] and h[1] == h[3] == h[-1]
+    assert len(set(h)) == len(h) - 3
+    assert wordscan.word_hash("Cat") == h[1]
+
+
+# ---- components -------------------------------------------------------------
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random"])
+def test_components(spark, shape):
+    rng = random.Random(1)
+    links = {
+        "path": [(i, i + 1) for i in range(60)],
+        "star": [(500, i) for i in range(80)],
+        "random": [(rng.randrange(150), rng.randrange(150)) for _ in range(90)],
+    }[shape]
+    got = components.components(spark.createDataFrame(links + [(7, 7), (None, 3)], "a long, b long")).collect()
+    real = [x for x in links if x[0] != x[1]]
+    nodes = {n for link in real for n in link}
+    assert {r["node"]: r["component"] for r in got} == union(nodes, real)
+    assert len(got) == len(nodes)
+
+
+def test_no_links_no_components(spark):
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+# ---- op4 --------------------------------------------------------------------
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    n = min(3, len(words))
+    found = [b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in found]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_against_brute_force(spark, documents, texts):
+    prints = {d: plain_fingerprint(t) for d, t in texts.items()}
+    links = [(a, b) for a, b in combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    want = union(prints, links)
+    got = simhash.simhash_groups(documents).collect()
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in got} == {
+        d: (f"{prints[d]:016x}", want[d]) for d in prints
+    }
+    assert len(links) > 0
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+def test_no_link_is_lost(spark, distance):
+    rng = random.Random(distance)
+    base = [rng.getrandbits(64) for _ in range(60)]
+    near = [b ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(6))) for b in base for _ in range(8)]
+    values = sorted({x - (1 << 64) if x >> 63 else x for x in base + near})
+    got = {(r["x"], r["y"]) for r in simhash.links_within(
+        spark.createDataFrame([(v,) for v in values], "fp long"), distance).collect()}
+    mask = (1 << 64) - 1
+    assert got == {(a, b) for a, b in combinations(values, 2) if ((a ^ b) & mask).bit_count() <= distance}
+
+
+def test_simhash_of_odd_rows(spark):
+    docs = spark.createDataFrame(
+        [(1, None), (2, ""), (3, " \t"), (4, "A b"), (5, "a  B"), (5, "c d e f"), (6, "c d e f"), (None, "c d e f"),
+         (None, "lone"), (7, "x " * 40000)], DOCS,
+    ).selectExpr("*", "1 as fp", "2 as key", "3 as component_id")
+    got = defaultdict(list)
+    for r in simhash.simhash_groups(docs).collect():
+        got[r["doc_id"]].append((r["fingerprint"], r["component_id"]))
+    zero = "0" * 16
+    assert got[1] == got[2] == got[3] == [(zero, 1)]
+    assert got[4][0][1] == 4
+    assert {c for _, c in got[5]} == {4} and got[6][0][1] == 4  # 5 has two texts
+    assert sorted(str(c) for _, c in got[None]) == ["4", "None"]
+    assert got[7][0] == (f"{plain_fingerprint('x ' * 40000):016x}", 7)
+    assert simhash.simhash_groups(docs.limit(0)).collect() == []
+
+
+def jaccard(a, b):
+    x, y = (set(simhash.shingles(t.encode().lower().split(), 5)) for t in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def edited(rng, words, share):
+    return [rng.choice("alpha beta gamma delta".split()) if rng.random() < share else w for w in words]
+
+
+def test_near_copies_are_found_and_others_left(spark):
+    rng = random.Random(5)
+    texts, pairs = [], []
+    for _ in range(120):
+        words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(rng.randrange(60, 300))]
+        texts += [" ".join(words), " ".join(edited(rng, words, 0.02)), " ".join(edited(rng, words, 0.15))]
+    for k in range(0, len(texts), 3):
+        pairs += [(a, b) for a, b in combinations(range(k, k + 3), 2) if jaccard(texts[a], texts[b]) >= 0.8]
+    want = union(range(len(texts)), pairs)
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    kept = {r["doc_id"] for r in simhash.drop_near_copies(docs).collect()}
+    assert len(pairs) > 60
+    lost = set(range(len(texts))) - kept
+    assert lost <= {d for d, c in want.items() if d != c}  # nobody without a near copy
+    assert len(lost) >= 0.9 * sum(d != c for d, c in want.items())
+
+
+def test_a_great_group_of_near_copies(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(200)]
+    texts = [" ".join(edited(rng, words, 0.01)) for _ in range(400)]
+    kept = simhash.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    links = [(a, b) for a, b in combinations(range(400), 2) if jaccard(texts[a], texts[b]) >= 0.8]
+    groups = len(set(union(range(400), links).values()))
+    assert groups <= len(kept) <= groups + 12
+
+
+def test_near_copies_of_odd_rows(spark):
+    docs = spark.createDataFrame(
+        [(1, None, "a"), (2, "", "b"), (3, "one two", "c"), (4, "One  two", "d"), (4, "One  two", "d"), (5, "six", "e"),
+         (5, "six", "e"), (None, "six", "f"), (None, "six", "f")], "doc_id long, text string, id string",
+    ).selectExpr("*", "1 as same", "2 as f0", "3 as n")
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "5", "None", "None"]
+    assert simhash.drop_near_copies(docs.limit(0)).collect() == []
+
+
+# ---- op3 --------------------------------------------------------------------
+
+ITEMS = "item_id long, text string"
+QUESTION = "If Tom has 12 apples and gives 5 kg of them to Anna, how many apples are left for Tom at the end of the day?"
+
+
+def found(spark, texts, items, **more):
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    asked = spark.createDataFrame(list(enumerate(items)), ITEMS)
+    return {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(docs, asked, **more).collect()}
+
+
+def test_a_question_with_other_values_is_found(spark):
+    texts = [
+        f"Some words before. {QUESTION} And after.",
+        QUESTION.replace("Tom", "Bob").replace("Anna", "Mia").replace("12", "31").replace("5 kg", "7 lb"),
+        QUESTION.upper(),
+        QUESTION.replace("how many apples are left", "what is the weight of whatever remains there"),
+        "If you have apples and give some of them away, you have fewer apples than before.",
+    ]
+    got = found(spark, texts, [QUESTION])
+    assert {d for d, _ in got} >= {0, 1}
+    assert 4 not in {d for d, _ in got}
+    assert got[0, 0]["exact"] and not got[1, 0]["exact"]
+    assert got[0, 0]["coverage"] == got[1, 0]["coverage"] == 1
+
+
+def test_values_must_be_consistent(spark):
+    item = ("we said that Tom went home early and then that Tom came back again because "
+            "later on that Tom sat down here with that Tom once more")
+    swapped = item
+    for name in ("Bob", "Max", "Ian", "Leo"):
+        swapped = swapped.replace("Tom", name, 1)
+    got = found(spark, [item.replace("Tom", "Bob"), swapped], [item])
+    assert set(got) == {(0, 0)}
+
+
+def test_leaks_against_brute_force(spark, documents, texts):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = {r["item_id"]: re.findall(r"\w+", r["text"].lower()) for r in bench.collect()}
+    words = {d: " ".join(re.findall(r"\w+", t.lower())) for d, t in texts.items()}
+    want = {(d, i) for d, t in words.items() for i, item in items.items() if f" {' '.join(item)} " in f" {t} "}
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(documents, bench).collect()}
+    assert want and got == want
+
+
+def test_leaks_of_odd_rows(spark):
+    docs = spark.createDataFrame(
+        [(1, None), (2, ""), (3, QUESTION), (3, QUESTION), (None, QUESTION), (4, "word " * 30000 + QUESTION)], DOCS
+    ).selectExpr("*", "'a' as hash", "1 as item_id", "2 as at")
+    items = spark.createDataFrame(
+        [(1, None), (2, ""), (3, "too short"), (4, QUESTION), (4, QUESTION), (None, QUESTION), (5, "one two three four five six")],
+        ITEMS,
+    ).selectExpr("*", "1 as doc_id")
+    got = decontaminate.leaks(docs, items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(3, 4), (4, 4)]
+    kept = decontaminate.drop_leaked(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "None"]
+    assert decontaminate.leaks(docs.limit(0), items).collect() == []
+    assert decontaminate.leaks(docs, items.limit(0)).collect() == []
+    assert set(found(spark, ["zero one two three four five six seven"], ["one two three four five six"])) == {(0, 0)}
+
+
+# ---- op8 --------------------------------------------------------------------
+
+
+def chain(values):
+    """Spark's xxhash64 of longs: each is the seed of the next."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest((v & (1 << 64) - 1).to_bytes(8, "little"), h)
+    return h
+
+
+def plain_sketch(text):
+    words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+    hashes = [chain(words[i : i + 5]) for i in range(len(words) - 4)] if len(words) >= 5 else [chain(words)]
+    least = {}
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    for h in hashes:
+        b = h >> 57
+        if b not in least or signed(h) < signed(least[b]):
+            least[b] = h
+    starts, steps = oph._starts_and_steps()
+    out = []
+    for j in range(128):
+        at, t = j, 0
+        while at not in least:
+            at = (starts[j] + t * steps[j]) % 128
+            t += 1
+        out.append(least[at] & 255)
+    return out
+
+
+def near(a, b):
+    same = sum(x == y for x, y in zip(a, b, strict=True)) / 128
+    return max(0.0, (same - 1 / 256) / (1 - 1 / 256))
+
+
+def test_fingerprints_against_brute_force(spark, documents, texts):
+    ids = sorted(texts)
+    got = {r["doc_id"]: r for r in oph.fingerprint_edits(documents).collect()}
+    assert sorted(got) == ids
+    for k, d in enumerate(ids):
+        text, following = texts[d], texts[ids[(k + 1) % len(ids)]]
+        half = len(text) // 2
+        other = text[: len(text) - half] + following[:half]
+        r = got[d]
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(other.encode()).hexdigest()
+        own, changed = plain_sketch(text), plain_sketch(other)
+        assert r["fingerprint"] == bytes(own).hex()
+        assert r["edited_fingerprint"] == bytes(changed).hex()
+        assert r["near_edited"] == pytest.approx(near(own, changed))
+        assert r["near_next"] == pytest.approx(near(own, plain_sketch(following)))
+
+
+def test_likeness_estimates_the_similarity(spark):
+    rng = random.Random(3)
+    rows, want = [], []
+    for k in range(150):
+        words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(rng.randrange(30, 400))]
+        other = edited(rng, words, rng.choice([0.01, 0.03, 0.1]))
+        rows.append((k, " ".join(words), " ".join(other)))
+        want.append(jaccard(*rows[-1][1:]))
+    df = spark.createDataFrame(rows, "k long, a string, b string")
+    df = df.select("k", oph.sketch(df["a"]).alias("a"), oph.sketch(df["b"]).alias("b"))
+    got = [r["x"] for r in df.select("k", oph.likeness(df["a"], df["b"]).alias("x")).orderBy("k").collect()]
+    errors = np.array(got) - np.array(want)
+    assert abs(errors.mean()) < 0.02 and np.abs(errors).mean() < 0.06
+
+
+def test_fingerprints_of_odd_rows(spark):
+    long = "word and other " * 20000
+    docs = spark.createDataFrame(
+        [(1, None), (2, ""), (3, "a"), (3, "a"), (9, "é👩 x"), (20, long), (None, "null id")], DOCS
+    ).selectExpr("*", "1 as part", "2 as bins", "3 as tie")
+    got = oph.fingerprint_edits(docs).collect()
+    assert len(got) == 7
+    by = {(r["doc_id"], r["n_chars"]): r for r in got}
+    assert by[1, 0]["fingerprint"] == by[2, 0]["fingerprint"]
+    assert by[9, 4]["edited_sha256"] == hashlib.sha256(("é👩" + long[:2]).encode()).hexdigest()
+    # the last one is followed by the first, which has no id
+    half = len(long) // 2
+    want = long[: len(long) - half] + "null id"[:half]
+    assert by[20, len(long)]["edited_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+    one = oph.fingerprint_edits(docs.filter("doc_id = 9")).collect()
+    assert [r["near_next"] for r in one] == [1.0]
+    assert oph.fingerprint_edits(docs.limit(0)).collect() == []
+
+
+def test_no_python_runs_for_fingerprints(spark, documents):
+    plan = oph.fingerprint_edits(documents)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# ---- op9 --------------------------------------------------------------------
+
+
+def plain_dedupe(rows):
+    """rows: (doc_id, text); ids may repeat."""
+    key = lambda line: line.strip(" \t\n\v\f\r").translate({c: c + 32 for c in range(65, 91)})
+    holders = defaultdict(set)
+    for d, t in rows:
+        if d is not None:
+            for line in (t or "").split("\n"):
+                holders[key(line)].add(d)
+    out = []
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if d is None or len(key(x)) < 40 or len(holders[key(x)]) < 5 or max(holders[key(x)]) == d]
+        out.append((d, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return out
+
+
+def digest(df):
+    return sorted(map(str, (tuple(r) for r in df.select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect())))
+
+
+def plain(rows):
+    return sorted(map(str, plain_dedupe(rows)))
+
+
+def test_lines_against_brute_force(spark, documents, texts):
+    assert digest(cuckoo_lines.dedupe_lines(documents)) == plain(texts.items())
+    assert sum(r[2] for r in plain_dedupe(texts.items())) > 20
+
+
+LINE = "This Line stands in very many of the documents here"
+
+
+def lines_fixture():
+    rows = [(d, f"own {d}\n  {LINE.upper()}\t\n{LINE}\nend") for d in range(6)]
+    rows += [(7, None), (8, ""), (9, LINE), (9, LINE), (10, "é" * 40), (None, LINE), (11, "x" * 39)]
+    rows += [(20 + d, "é" * 40 + "\n" + "x" * 39) for d in range(5)]
+    return rows
+
+
+@pytest.mark.parametrize("most", [cuckoo_lines.MOST_FILTER_BYTES, 0])
+def test_lines_of_odd_rows_with_and_without_filters(spark, monkeypatch, most):
+    monkeypatch.setattr(cuckoo_lines, "MOST_FILTER_BYTES", most)
+    rows = lines_fixture()
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 as hi", "2 as lost")
+    assert digest(cuckoo_lines.dedupe_lines(docs)) == plain(rows)
+    assert cuckoo_lines.dedupe_lines(docs.limit(0)).collect() == []
+
+
+def test_replaced_texts_keep_the_other_columns(spark):
+    rows = lines_fixture()
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("'z' as hi", "*", "1L as n_chars")
+    got = cuckoo_lines.replace_texts(docs)
+    assert got.columns == docs.columns
+    by = {r["doc_id"]: r for r in got.collect()}
+    assert by[0]["text"] == "own 0\nend" and by[0]["n_chars"] == 9 and by[0]["hi"] == "z"
+    assert by[7]["text"] is None and by[7]["n_chars"] == 1
+    assert by[9]["text"] == LINE
+
+
+def keys(n, seed):
+    rng = np.random.default_rng(seed)
+    return rng.integers(-(1 << 63), 1 << 63, n), rng.integers(-(1 << 63), 1 << 63, n)
+
+
+@pytest.mark.parametrize("n, room", [(0, 1), (1000, 1000), (30000, 30000), (900, 300)])
+def test_the_filter_holds_what_was_added(n, room):
+    held = cuckoo_lines.CuckooFilter.sized(room)
+    hi, lo = keys(n, 1)
+    held.add(hi, lo)
+    held = cuckoo_lines.CuckooFilter.unpacked(held.packed())
+    assert held.has(hi, lo).all()
+    assert bool(held.stash) == (n > room)
+    half = n // 2
+    held.remove(hi[:half], lo[:half])
+    assert held.has(hi[half:], lo[half:]).all()
+    if n >= 1000:
+        assert held.has(*keys(20000, 2)).mean() < 0.001
+        assert held.has(hi[:half], lo[:half]).mean() < 0.001
+
+
+def test_an_index_takes_documents_in_and_out(spark, documents, texts, tmp_path):
+    ids = sorted(texts)
+    index = cuckoo_lines.LineIndex(spark, str(tmp_path))
+    index.insert(documents.filter(f"doc_id < {ids[90]}"))
+    index.insert(documents.filter(f"doc_id >= {ids[70]}"))  # some again
+    assert digest(index.dedupe(documents)) == plain(texts.items())
+    gone = ids[::3]
+    index.delete(spark.createDataFrame([(d,) for d in gone], "doc_id long"))
+    rest = documents.filter(~documents["doc_id"].isin(gone))
+    left = [(d, t) for d, t in texts.items() if d not in set(gone)]
+    assert digest(index.dedupe(rest)) == plain(left)
+    counts = Counter()
+    for r in index.counts().collect():
+        counts[r["hi"], r["lo"]] = r["n_docs"]
+    want = Counter(k for _, t in left for k in {cuckoo_lines.line_key(x) for x in t.split("\n")} - {None})
+    assert counts == want
+    for r in index.filters().collect():
+        held = cuckoo_lines.CuckooFilter.unpacked(bytes(r["filter"]))
+        marks = int((held.slots > 0).sum()) + len(held.stash)
+        assert marks == sum(1 for hi, _ in want if hi % index.filters().count() == r["shard"])
+    index.insert(documents.filter(documents["doc_id"].isin(gone)))  # as if nothing had been
+    assert digest(index.dedupe(documents)) == plain(texts.items())
