@@ -30,6 +30,12 @@ BUCKETS = 1 << 14
 MOST_LABELLED = 20_000
 #: Added to every bucket's counts.
 SMOOTHING = 5.0
+#: Standard errors by which a bucket's target count must differ from what the raw model
+#: expects; the others, mostly words that are merely rare, weigh nothing.
+SIGNIFICANT = 4.0
+#: Share of the good labelled documents that the target is counted on; the cut is
+#: chosen on the others, which like unlabelled documents had no part in the counts.
+MODEL_SHARE = 0.67
 SEED = 42
 
 _WHITE = np.array([9, 10, 11, 12, 13, 32, 0], np.uint32)
@@ -121,11 +127,11 @@ def log_ratios(raw: np.ndarray, target: np.ndarray, smoothing: float = SMOOTHING
     """For each bucket the log of its probability under the target over that under the raw model.
 
     ``smoothing`` n-grams are added to a bucket's target count and to what the raw
-    model expects there, so a bucket that the target has had no chance to show says
-    little.
+    model expects there. Where the two differ by chance only, the ratio is 1.
     """
     expected = raw * (target.sum() / raw.sum())
-    return np.log((target + smoothing) / (expected + smoothing))
+    chance = np.abs(target - expected) <= SIGNIFICANT * np.sqrt(expected + 1)
+    return np.where(chance, 0.0, np.log((target + smoothing) / (expected + smoothing)))
 
 
 def weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
@@ -215,13 +221,15 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     )
     clear = settled(clear.select("doc_id", "quality"), "labels")
     good, bad = (_chosen(clear, "quality", v, MOST_LABELLED) for v in (1, 0))
-    raw, target = bucket_counts(docs, good)
+    order = np.argsort(np.random.default_rng(seed).random(len(good)))
+    model, other = np.split(good[order], [max(1, int(MODEL_SHARE * len(good)))])
+    raw, target = bucket_counts(docs, np.sort(model))
     ratios = log_ratios(raw, target) if target.any() else np.zeros(BUCKETS)
     scored = settled(weights(docs, ratios), "weights")
     if k is None:
         # at most twice MOST_LABELLED rows
         held = docs.sparkSession.createDataFrame(
-            [(int(i), v) for ids, v in ((good, 1), (bad, 0)) for i in ids], "doc_id long, quality int"
+            [(int(i), v) for ids, v in ((other, 1), (bad, 0)) for i in ids], "doc_id long, quality int"
         )
         seen = scored.join(F.broadcast(held), "doc_id").select("doc_id", "quality", "log_weight").distinct().collect()
         cut = best_cut(*(np.array([r["log_weight"] for r in seen if r["quality"] == v]) for v in (1, 0)))

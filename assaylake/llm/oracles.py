@@ -10,7 +10,7 @@ WITH docs AS (
     SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
     FROM documents
 ), lines AS (
-    SELECT row_id, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS at FROM docs
+    SELECT row_id, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS place FROM docs
 ), keyed AS (
     SELECT *, translate(
         trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -21,11 +21,11 @@ WITH docs AS (
     FROM keyed WHERE length(key) >= 40 AND doc_id IS NOT NULL
     GROUP BY key HAVING count(DISTINCT doc_id) >= 5
 ), marked AS (
-    SELECT k.row_id, k.doc_id, k.line, k.at, coalesce(r.last_doc <> k.doc_id, false) AS dropped
+    SELECT k.row_id, k.doc_id, k.line, k.place, coalesce(r.last_doc <> k.doc_id, false) AS dropped
     FROM keyed k LEFT JOIN repeated r ON r.key = k.key
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT dropped), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY row_id, doc_id
 """,
 }

@@ -152,11 +152,10 @@ def simhash_groups(docs: DataFrame, distance: int = DISTANCE, shingle: int = 3)
     b = classes.select(F.col("fp").alias("y"), F.col("class_id").alias("b"))
     between = links.join(a, "x").join(b, "y").select("a", "b")
     # a document with two fingerprints holds their classes together
-    twice = prints.filter("doc_id is not null").distinct().groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n"), F.collect_list("fp").alias("fps")
-    ).filter("n > 1")
-    held = twice.select(F.col("doc_id").alias("a"), F.explode("fps").alias("fp")).join(classes, "fp")
-    linked = components(between.unionByName(held.select("a", F.col("class_id").alias("b"))))
+    kinds = prints.filter("doc_id is not null").distinct()
+    twice = kinds.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    held = kinds.join(twice, "doc_id").join(classes, "fp").select(F.col("doc_id").alias("a"), "class_id")
+    linked = components(between.unionByName(held.withColumnRenamed("class_id", "b")))
     groups = classes.join(linked, classes["class_id"] == linked["node"], "left").select(
         "fp", F.coalesce("component", "class_id").alias("component_id")
     )
@@ -209,7 +208,7 @@ def _bands(classes: DataFrame) -> DataFrame:
         for batch in slices(batches, 5000):
             prints = np.stack([batch.column(k + 1).to_numpy() for k in range(WIDE)], axis=1)
             bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")[:, chosen]
-            values = np.packbits(bits, axis=1).view(np.uint32).astype(np.int64)
+            values = np.ascontiguousarray(np.packbits(bits, axis=1)).view(np.uint32).astype(np.int64)
             keys = values + (np.arange(BANDS, dtype=np.int64) << 32)
             ids = np.repeat(batch.column(0).to_numpy(), BANDS)
             yield batch_of(schema, [keys.ravel(), ids])

@@ -30,10 +30,10 @@ GRAMS = (3, 4, 5)
 #: Size of the vectors.
 SIZE = 4
 #: Labelled rows to learn from: so many of each label at the most, chosen by a hash of the id.
-MOST_LABELLED = 2000
+MOST_LABELLED = 1200
 #: Standard errors by which an n-gram's frequency among the documents of the two labels
 #: must differ (as log odds) for it to get a vector; the others count as words without meaning.
-SIGNIFICANT = 3.5
+SIGNIFICANT = 3.0
 ROUNDS, RATE, DECAY = 60, 0.05, 1e-4
 #: A document's mean is taken as if it had so many more words of no meaning, so that a
 #: few words alone are no strong evidence.

