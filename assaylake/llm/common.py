@@ -47,7 +47,7 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 
 
 def byte_slices(
-    batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20
+    batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:
     """The batches in pieces whose texts have about ``most`` bytes at the most.
 
