@@ -32,7 +32,9 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--load-ts", help="load time in UTC; now, if left out")
     p.add_argument("--cap", type=int, help="rows per extract; none, if left out")
     p.add_argument("--refresh-users-year", type=int, help="replace the users of this year")
-    p.add_argument("--buckets", type=int, help="files per table; unbucketed, if left out")
+    p.add_argument("--refresh", nargs="+", default=[], choices=["posts", "users", "votes", "badges"],
+                   help="entities to copy again")
+    p.add_argument("--buckets", type=int, help="files per table; one per shuffle partition, if left out")
     p.add_argument("--marts", nargs="+", choices=list(MARTS), default=list(MARTS))
     args = p.parse_args(argv)
     if args.step in ("fixture", "bronze", "all") and not args.raw:
@@ -49,7 +51,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         write_raw_fixture(spark, args.raw, args.years)
     if args.step in ("bronze", "all"):
         for path in jobs.run_bronze(
-            spark, args.raw, bronze, args.years, args.cap, args.refresh_users_year
+            spark, args.raw, bronze, args.years, args.cap, args.refresh_users_year, args.refresh
         ):
             print(path)
     if args.step in ("fixture", "bronze"):
@@ -63,7 +65,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     for name, rows in counts.items():
         print(f"{name} {rows}")
     if args.step == "verify":
-        jobs.verify_bronze(spark, bronze).show(1000, truncate=False)
+        files, size = jobs.write_listing(spark, bronze, f"{base}/_listing")
+        jobs.verify_bronze(spark, bronze).show(20, truncate=False)
+        print(f"{files} files, {size} bytes; all are listed in {base}/_listing")
         for mart in args.marts:
             count, sample = jobs.verify_gold(store, mart)
             count.show(truncate=False)

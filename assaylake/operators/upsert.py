@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assaylake.functions.columns import merge_key
 
@@ -16,7 +17,7 @@ class MergeConflict(ValueError):
     """Several source rows match one target row."""
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
@@ -49,10 +50,14 @@ def _aligned(target: DataFrame, source: DataFrame, keys, update_cols):
     return aligned, update
 
 
-def _merged(t: DataFrame, s: DataFrame, keys, update, columns, null_safe: bool) -> DataFrame:
+def _merged(
+    t: DataFrame, s: DataFrame, keys, update, columns, null_safe: bool, hash_source: bool = False
+) -> DataFrame:
     """Full outer join; the match flag decides, so a null source value wins."""
     t = t.withColumn("_t", F.lit(True)).alias("t")
     s = s.withColumn("_s", F.lit(True)).alias("s")
+    if hash_source:
+        s = s.hint("shuffle_hash")
     on = [
         F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe else F.col(f"t.{k}") == F.col(f"s.{k}")
         for k in keys
@@ -89,6 +94,23 @@ def _merged_small(t: DataFrame, s: DataFrame, keys, update, columns) -> DataFram
     return kept.unionByName(s.join(F.broadcast(present), keys, "left_anti").select(*columns))
 
 
+#: A broadcast source has at most so many bytes, whatever its number of rows.
+BROADCAST_BYTES = 64 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the values, by a pass over the rows; 8 for each number."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType))
+        else F.lit(8 if isinstance(f.dataType, T.AtomicType) else 0).cast("long")
+        + (F.lit(0) if isinstance(f.dataType, T.AtomicType)
+           else F.length(F.to_json(F.struct(F.col(f"`{f.name}`")))).cast("long"))
+        for f in df.schema.fields
+    ]
+    return df.agg(F.coalesce(F.sum(reduce(add, sizes)), F.lit(0))).first()[0]
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -96,6 +118,9 @@ def upsert(
     update_cols: Sequence[str] | None = None,
     drop_null_keys: bool = False,
     broadcast_rows: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    source_has_null_keys: bool = True,
+    hash_source: bool = False,
 ) -> DataFrame:
     """Rows of ``target`` after merging ``source`` into it.
 
@@ -103,33 +128,44 @@ def upsert(
     source; unmatched source rows are inserted whole. The source must hold one
     row per key (``merge_conflicts`` tells).
 
-    A single null key matches nothing, so such rows pass by the join: they are
-    inserted again by each run and, however many there are, never meet in one
-    task. Composite keys compare null parts as equal.
+    A single null key matches nothing: the target's ride through the join, and
+    the source's pass by it, so they are inserted again by each run. Composite
+    keys compare null parts as equal. If the source is known to have no null in
+    a key (``source_has_null_keys=False``), the target is scanned once only.
 
-    With ``broadcast_rows`` the source is counted up to that number; only if it
-    fits is it broadcast, otherwise both sides are joined by shuffle.
+    With ``broadcast_rows`` the source is counted up to that number and its bytes
+    are measured; only if both fit is it broadcast, otherwise both sides are joined
+    by shuffle. ``hash_source`` asks that join to hash the source's partitions
+    instead of sorting both sides; they must fit a task's memory.
     """
     keys = _key_list(keys)
     columns = target.columns
     source, update = _aligned(target, source, keys, update_cols)
-    null_key = _any_null(keys)
-    t, s = target.filter(~null_key), source.filter(~null_key)
-
-    fits = broadcast_rows is not None and (
-        source.select(*keys).limit(broadcast_rows + 1).count() <= broadcast_rows
+    null_key = any_null(keys)
+    whole = not source_has_null_keys
+    s = source if whole else source.filter(~null_key)
+
+    fits = (
+        broadcast_rows is not None
+        and source.select(*keys).limit(broadcast_rows + 1).count() <= broadcast_rows
+        and measured_bytes(source) <= broadcast_bytes
     )
-    if fits:
-        result = _merged_small(t, s, keys, update, columns)
-    else:
-        result = _merged(t, s, keys, update, columns, null_safe=False)
-    t_null, s_null = target.filter(null_key), source.filter(null_key)
-    if len(keys) > 1:
+    if len(keys) > 1 and not whole:
+        # null parts are equal to each other, which only a join of their own can tell
+        t, t_null = target.filter(~null_key), target.filter(null_key)
+        result = (
+            _merged_small(t, s, keys, update, columns) if fits
+            else _merged(t, s, keys, update, columns, False, hash_source)
+        )
         if drop_null_keys:
             return result.unionByName(t_null)
+        s_null = source.filter(null_key)
         return result.unionByName(_merged(t_null, s_null, keys, update, columns, null_safe=True))
-    result = result.unionByName(t_null)
-    return result if drop_null_keys else result.unionByName(s_null)
+    if fits:
+        result = _merged_small(target, s, keys, update, columns)
+    else:
+        result = _merged(target, s, keys, update, columns, False, hash_source)
+    return result if drop_null_keys or whole else result.unionByName(source.filter(null_key))
 
 
 def merge_conflicts(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -140,7 +176,7 @@ def merge_conflicts(target: DataFrame, source: DataFrame, keys: str | Sequence[s
     """
     keys = _key_list(keys)
     repeated = (
-        source.filter(~_any_null(keys)).groupBy(*keys)
+        source.filter(~any_null(keys)).groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("source_rows"))
         .filter(F.col("source_rows") > 1)
     )

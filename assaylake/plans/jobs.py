@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +24,10 @@ from assaylake.plans.store import TableStore
 from assaylake.sources.bronze import (
     bronze_path,
     file_inventory,
+    is_finished,
     read_all,
     read_if_present,
+    read_raw,
     read_years,
     write_bronze,
 )
@@ -70,10 +72,11 @@ def load_entity(
     empty extract is not written. Tells whether a dataset was written.
     """
     path = bronze_path(bronze, spec.entity, year)
-    if not overwrite and read_if_present(spark, path) is not None:
+    if not overwrite and is_finished(spark, path):
         log.info("already there: %s", path)
         return False
-    df = spark.read.parquet(raw_path(raw, spec, year))
+    source = raw_path(raw, spec, year)
+    df = read_raw(spark, source, lambda name: spec.columns.get(spec.canonical(name)))
     key = _column(df, spec, spec.key)
     if spec is USERS:
         df = extract_year(df, year, _column(df, spec, "creation_date"))
@@ -86,7 +89,9 @@ def load_entity(
         return False
     if cap is not None and spec is BADGES:
         cap *= BADGES_CAP_FACTOR
-    return write_bronze(first_rows(df, cap, key), path, skip_empty=False)
+    # ids may be text; the first ones are the first as numbers
+    rows = first_rows(df, cap, key, as_type=spec.columns[spec.key])
+    return write_bronze(rows, path, skip_empty=False)
 
 
 def run_bronze(
@@ -96,15 +101,23 @@ def run_bronze(
     years: Sequence[int] = specs.DEFAULT_YEARS,
     cap: int | None = None,
     refresh_users_year: int | None = None,
+    refresh: Collection[str] = (),
 ) -> list[str]:
-    """Load all entities; the users of one year may be replaced on each run."""
+    """Load all entities.
+
+    What is there already is kept, but for the entities named in ``refresh`` and
+    the users of ``refresh_users_year``, which are replaced.
+    """
+    unknown = set(refresh) - {s.entity for s in (POSTS, USERS, VOTES, BADGES)}
+    if unknown:
+        raise ValueError(f"no such entities: {sorted(unknown)}")
     written = []
     for spec in (POSTS, USERS, VOTES):
         for year in years:
-            refresh = spec is USERS and year == refresh_users_year
-            if load_entity(spark, raw, bronze, spec, year, cap, overwrite=refresh):
+            again = spec.entity in refresh or spec is USERS and year == refresh_users_year
+            if load_entity(spark, raw, bronze, spec, year, cap, overwrite=again):
                 written.append(bronze_path(bronze, spec.entity, year))
-    if load_entity(spark, raw, bronze, BADGES, cap=cap):
+    if load_entity(spark, raw, bronze, BADGES, cap=cap, overwrite=BADGES.entity in refresh):
         written.append(bronze_path(bronze, BADGES.entity))
     return written
 
@@ -155,7 +168,7 @@ def run_silver(
         name = f"{namespace}.{spec.table}"
         frame = silver_frame(spark, bronze, spec, load_ts, years, dedupe)
         rows[name] = store.merge(
-            name, frame, spec.key, load_ts, spec.update_cols, source_unique=dedupe
+            name, frame, spec.key, load_ts, spec.update_cols, source_unique=dedupe, by_key=dedupe
         )
     return rows
 
@@ -196,8 +209,8 @@ def load_posts_simple(
 # intermediate results that two marts share
 NEED_VOTE_COUNTS = {"vote_stats_per_post", "user_engagement"}
 NEED_OWNER_TOTALS = {"cant_post_x_user_hist", "cant_post_x_user_type_hist"}
-VOTE_COUNTS = "work.votes_by_post"
-OWNER_TOTALS = "work.owner_totals"
+VOTE_COUNTS = "votes_by_post"
+OWNER_TOTALS = "owner_totals"
 
 
 def open_silver(store: TableStore, namespace: str = "silver") -> Silver:
@@ -210,6 +223,7 @@ def run_gold(
     marts: Sequence[str] = tuple(MARTS),
     namespace: str = "gold",
     silver_namespace: str = "silver",
+    work: str = "work",
 ) -> dict[str, int]:
     """Build and merge the marts; rows per table.
 
@@ -218,13 +232,22 @@ def run_gold(
     joins with posts and users then need no shuffle.
     """
     store.create_namespace(namespace)
+    repeated = [
+        t for t in (f"{silver_namespace}.{s.table}" for s in (USERS, POSTS, VOTES, BADGES))
+        if not store.unique_keys(t)
+    ]
+    if repeated:
+        # the marts count rows, which is only right with one row per key
+        raise ValueError(f"loaded without dedupe, so keys may repeat: {repeated}")
     silver = open_silver(store, silver_namespace)
     if NEED_VOTE_COUNTS.issubset(marts):
-        store.overwrite(VOTE_COUNTS, votes_by_post(silver.votes), load_ts, "PostId")
-        silver = silver._replace(vote_counts=store.read(VOTE_COUNTS))
+        name = f"{work}.{VOTE_COUNTS}"
+        store.overwrite(name, votes_by_post(silver.votes), load_ts, "PostId")
+        silver = silver._replace(vote_counts=store.read(name))
     if NEED_OWNER_TOTALS.issubset(marts):
-        store.overwrite(OWNER_TOTALS, owner_totals(silver.posts), load_ts, "user_id")
-        silver = silver._replace(totals=store.read(OWNER_TOTALS))
+        name = f"{work}.{OWNER_TOTALS}"
+        store.overwrite(name, owner_totals(silver.posts), load_ts, "user_id")
+        silver = silver._replace(totals=store.read(name))
     rows = {}
     for mart in marts:
         build, keys = MARTS[mart]
@@ -238,6 +261,14 @@ def verify_bronze(spark: SparkSession, bronze: str) -> DataFrame:
     return file_inventory(spark, bronze).orderBy("path")
 
 
+def write_listing(spark: SparkSession, bronze: str, path: str) -> tuple[int, int]:
+    """Write the whole inventory as CSV; returns the number of files and their bytes."""
+    files = verify_bronze(spark, bronze)
+    files.write.mode("overwrite").option("header", "true").csv(path)
+    n, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    return n, size
+
+
 def verify_gold(store: TableStore, mart: str = "cant_post_x_user_hist", n: int = 10):
     """Row count and a small sample of a mart."""
     name = f"gold.{mart}"
@@ -253,10 +284,14 @@ def run_all(
     cap: int | None = None,
     buckets: int | None = None,
     marts: Sequence[str] = tuple(MARTS),
+    refresh: Collection[str] = (),
 ) -> dict[str, int]:
-    """Raw files to marts. Run again on the same input, only load times change."""
+    """Raw files to marts. Run again on the same input, only load times change.
+
+    Raw files are copied once; ``refresh`` names the entities to copy again.
+    """
     base = base.rstrip("/")
-    run_bronze(spark, raw, f"{base}/bronze", years, cap)
+    run_bronze(spark, raw, f"{base}/bronze", years, cap, refresh=refresh)
     store = TableStore(spark, f"{base}/tables", buckets)
     return {
         **run_silver(spark, f"{base}/bronze", store, load_ts, years),

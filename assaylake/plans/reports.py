@@ -26,13 +26,19 @@ def top_k(df: DataFrame, measure: str, keys: str | Sequence[str], k: int) -> Dat
     ).limit(k)
 
 
-def _names_for(top: DataFrame, users: DataFrame) -> DataFrame:
+#: More rows than this are no report, and too many to broadcast.
+MOST_TOP = 100_000
+
+
+def _names_for(top: DataFrame, users: DataFrame, k: int) -> DataFrame:
     """Left join of a top-k with the users it mentions.
 
-    ``top`` has at most k rows and is computed once. It and the users found for
-    it are broadcast, so neither the activity nor the users table is shuffled
-    for the sake of k names.
+    ``top`` is computed once, into a folder that goes with the session. It and the
+    users found for it are broadcast, so neither the activity nor the users table
+    is shuffled for the sake of k names.
     """
+    if k > MOST_TOP:
+        raise ValueError(f"a report has at most {MOST_TOP} rows")
     top = settled(top, "top")
     wanted = F.broadcast(top.select("user_id").distinct())
     found = users.select(F.col("id").alias("user_id"), "display_name").join(
@@ -47,7 +53,7 @@ def top_posters(silver: Silver, load_ts, k: int = 100) -> DataFrame:
         marts.owner_activity(silver.posts, "PostTypeId"),
         "cant_posts", ("user_id", "anio", "PostTypeId"), k,
     )
-    named = _names_for(top, silver.users).select(
+    named = _names_for(top, silver.users, k).select(
         "user_id",
         F.coalesce("display_name", F.lit("Unknown")).alias("display_name"),
         "anio",
@@ -67,7 +73,7 @@ def yearly_posters(silver: Silver, k: int = 20) -> DataFrame:
         .agg(F.count("Id").alias("cant_posts"))
     )
     top = top_k(per_year, "cant_posts", ("user_id", "anio"), k)
-    named = _names_for(top, silver.users).select("user_id", "display_name", "anio", "cant_posts")
+    named = _names_for(top, silver.users, k).select("user_id", "display_name", "anio", "cant_posts")
     return top_k(named, "cant_posts", ("user_id", "anio"), k)
 
 

@@ -1,11 +1,13 @@
 """History tables on a catalog without row-level writes.
 
-Each write makes a new version: an external Parquet table, bucketed by the merge
-key where one is given. The load log records it, which is the commit, and the
-table's name (a view) is pointed at it. Readers see the old or the new version,
-never a mixture, and a failed run leaves only unlogged files that the next run
-replaces. The last few versions are kept, in folders used in turn. One writer per
-table is assumed.
+A table is an external Parquet table, bucketed by the merge key and partitioned by
+the version that wrote a row. A merge joins the incoming rows with the buckets that
+they touch, writes those buckets anew under the next version, and leaves the files
+of all other buckets where they are. The load log records, for each bucket, the
+version that is live; that entry is the commit, and the table's name, a view,
+follows it. Readers see the old or the new state, never a mixture, and a failed run
+leaves only unlogged files that the next run removes. Files that none of the last
+few versions reads are deleted. One writer per table is assumed.
 
 Bucketing by the merge key lets the next merge read the history in place: only
 the incoming rows are shuffled.
@@ -14,29 +16,50 @@ the incoming rows are shuffled.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import ts_lit
-from assaylake.operators.upsert import require_no_conflicts, upsert
+from assaylake.operators.upsert import any_null, require_no_conflicts, upsert
 from assaylake.sources.bronze import read_if_present
 
 log = logging.getLogger(__name__)
 
 LOG_SCHEMA = (
-    "table string, version int, op string, rows long, load_ts timestamp, "
-    "path string, bucket_keys array<string>, buckets int"
+    "table string, version int, op string, rows long, load_ts timestamp, path string, "
+    "bucket_keys array<string>, buckets int, live array<int>, unique_keys boolean"
 )
+#: Partition column of the data tables; the views do not show it.
+VERSION = "_version"
+#: A source whose share of a bucket is below this is hashed, so the history is not sorted.
+HASH_BYTES = 64 << 20
+_BUCKET_FILE = re.compile(r"_(\d{5})\.c\d{3}")
+
+
+class State(NamedTuple):
+    """What the log says of a table: one entry of ``live`` for each bucket, or one in all."""
+
+    version: int
+    rows: int
+    path: str
+    keys: tuple[str, ...]
+    buckets: int | None
+    live: tuple[int, ...]
+    unique_keys: bool
 
 
 class TableStore:
     """Versioned tables below one base folder, which all executors can reach.
 
     ``buckets`` is the number of files a keyed table is split into; choose it so
-    that one bucket fits a task. ``None`` leaves tables unbucketed. ``keep`` is
-    the number of versions that stay readable, the current one included.
+    that one bucket fits a task. By default a new table gets as many as there are
+    shuffle partitions, and an old one keeps its number. ``keep`` is the number of
+    versions that stay readable, the current one included.
     """
 
     def __init__(
@@ -49,8 +72,7 @@ class TableStore:
         self.buckets = buckets
         self.keep = keep
         self._log_path = f"{self.base}/_load_log"
-        # version and folder of each table's current state
-        self._current: dict[str, tuple[int, str]] = {}
+        self._current: dict[str, State] = {}
         self._attach()
 
     # ---- catalog ------------------------------------------------------------
@@ -62,18 +84,27 @@ class TableStore:
             log.warning("schema %s: %s", namespace, e)
 
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(name)
+        """Whether this store has the table; the log decides, not the catalog."""
+        return name in self._current
 
     def tables(self, namespace: str) -> list[str]:
         """Names of the current tables, without their versions."""
-        found = self.spark.catalog.listTables(namespace)
-        return sorted(
-            t.name for t in found if "__slot" not in t.name and not t.isTemporary
+        return sorted(n.split(".")[1] for n in self._current if n.split(".")[0] == namespace)
+
+    def columns(self, name: str) -> DataFrame:
+        """Column names and types of a table."""
+        return self.spark.createDataFrame(
+            [(f.name, f.dataType.simpleString()) for f in self.read(name).schema.fields],
+            "col_name string, data_type string",
         )
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
+    def unique_keys(self, name: str) -> bool:
+        """Whether the table has one row per non-null key, as far as its loads tell."""
+        return self._current[name].unique_keys
+
     def namespaces(self) -> list[str]:
         return sorted(d.name for d in self.spark.catalog.listDatabases())
 
@@ -93,54 +124,103 @@ class TableStore:
 
     def _attach(self) -> None:
         """Point every table at its last committed version."""
-        newest = F.max_by(F.struct("version", "path", "bucket_keys", "buckets"), "version")
-        for e in self._log().groupBy("table").agg(newest.alias("e")).select("table", "e.*").collect():
-            self._current[e.table] = (e.version, e.path)
-            self.create_namespace(e.table.split(".")[0])
-            version_table = _slot_table(e.table, e.path)
-            if not self.spark.catalog.tableExists(version_table):
-                schema = self.spark.read.parquet(e.path).schema
-                ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-                clustered = ""
-                if e.buckets:
-                    keys = ", ".join(f"`{k}`" for k in e.bucket_keys)
-                    clustered = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {e.buckets} BUCKETS"
-                self.spark.sql(
-                    f"CREATE TABLE {version_table} ({ddl}) USING parquet {clustered} "
-                    f"LOCATION '{e.path}'"
-                )
-            self._point(e.table, version_table)
-
-    def _point(self, name: str, version_table: str) -> None:
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version_table}")
+        whole = F.struct("version", "rows", "path", "bucket_keys", "buckets", "live", "unique_keys")
+        for e in self._log().groupBy("table").agg(F.max_by(whole, "version").alias("e")).collect():
+            e = e.asDict(recursive=True)
+            state = State(
+                e["e"]["version"], e["e"]["rows"], e["e"]["path"], tuple(e["e"]["bucket_keys"]),
+                e["e"]["buckets"], tuple(e["e"]["live"]), e["e"]["unique_keys"],
+            )
+            self._current[e["table"]] = state
+            self.create_namespace(e["table"].split(".")[0])
+            self._attach_data(e["table"], state)
+            self._point(e["table"], state)
+
+    def _attach_data(self, name: str, state: State) -> None:
+        data = _data_table(name, state.path)
+        if self._location(data) is not None:
+            return
+        fields = self.spark.read.parquet(state.path).schema.fields
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        clustered = ""
+        if state.buckets:
+            keys = ", ".join(f"`{k}`" for k in state.keys)
+            clustered = f"CLUSTERED BY ({keys}) INTO {state.buckets} BUCKETS"
+        self.spark.sql(
+            f"CREATE TABLE {data} ({ddl}) USING parquet PARTITIONED BY ({VERSION}) {clustered} "
+            f"LOCATION '{state.path}'"
+        )
+        self.spark.sql(f"ALTER TABLE {data} RECOVER PARTITIONS")
+
+    def _location(self, data: str) -> str | None:
+        """Where a data table of the catalog lies. One that is not this store's is an error."""
+        if not self.spark.catalog.tableExists(data):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {data}").filter("col_name = 'Location'").collect()
+        found = rows[0]["data_type"] if rows else ""
+        if not _plain(found).startswith(_plain(self.base) + "/"):
+            raise ValueError(f"{data} belongs to another store, at {found}")
+        return found
+
+    def _point(self, name: str, state: State) -> None:
+        data = _data_table(name, state.path)
+        columns = [f"`{c}`" for c in self.spark.table(data).columns if c != VERSION]
+        live = sorted(set(state.live))
+        condition = f"{VERSION} IN ({', '.join(map(str, live))})"
+        if len(live) > 1:
+            versions = ", ".join(map(str, state.live))
+            bucket = f"pmod(hash({', '.join(f'`{k}`' for k in state.keys)}), {state.buckets})"
+            condition += f" AND {VERSION} = element_at(array({versions}), {bucket} + 1)"
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)} FROM {data} WHERE {condition}"
+        )
 
     # ---- writes -------------------------------------------------------------
 
     def _publish(
-        self, name: str, df: DataFrame, op: str, load_ts, keys: Sequence[str], placed: bool
+        self, name: str, df: DataFrame, op: str, load_ts, keys: Sequence[str],
+        unique_keys: bool, touched: Sequence[int] | None = None,
+        untouched_rows: Callable[[], int] = lambda: 0, by_key: bool = False,
     ) -> int:
+        """Write the next version and log it; returns the rows of the table.
+
+        Without ``touched`` the frame is the whole table, else the rows of these
+        buckets, read from the table and thus in their places. ``by_key`` tells
+        that the frame's last shuffle, if any, is by the keys.
+        """
         namespace, table = name.split(".")
         self.create_namespace(namespace)
-        last, current_path = self._current.get(name, (0, None))
-        version, folder = last + 1, f"{self.base}/{namespace}/{table}"
-        path = f"{folder}/slot{version % self.keep}"
-        if path == current_path:  # only if ``keep`` has changed between runs
-            path = f"{folder}/slot{(version + 1) % self.keep}"
-        version_table = _slot_table(name, path)
-        buckets = self.buckets if keys else None
-
-        if buckets and not placed:
+        last = self._current.get(name)
+        version = last.version + 1 if last else 1
+        keys = tuple(keys)
+        if touched is None:
+            buckets = self._buckets_for(last, keys)
+            path = f"{self.base}/{namespace}/{table}/g{version}"
+            live = (version,) * (buckets or 1)
+        else:
+            buckets, path = last.buckets, last.path
+            hit = set(touched)
+            live = tuple(version if b in hit else v for b, v in enumerate(last.live))
+        data = _data_table(name, path)
+        self._remove(path if touched is None else f"{path}/{VERSION}={version}")  # of a failed run
+        if touched is None and self._location(data) is not None:
+            self.spark.sql(f"DROP TABLE {data}")
+
+        if buckets and touched is None and not by_key:
             df = df.repartition(buckets, *keys)
         counted = Observation()
         writer = (
             df.observe(counted, F.count(F.lit(1)).alias("rows"))
-            .write.format("parquet").mode("overwrite").option("path", path)
+            .withColumn(VERSION, F.lit(version))
+            .write.format("parquet").mode("append").option("path", path).partitionBy(VERSION)
         )
         if buckets:
-            writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
-        writer.saveAsTable(version_table)
-        rows = counted.get["rows"]
+            writer = writer.bucketBy(buckets, *keys)
+        with self._shuffling(buckets if by_key else None):
+            writer.saveAsTable(data)
+        rows = counted.get["rows"] + untouched_rows()
 
+        ints = lambda xs: F.array(*[F.lit(int(x)) for x in xs]).cast("array<int>")
         entry = self.spark.range(1).select(
             F.lit(name).alias("table"),
             F.lit(version).alias("version"),
@@ -150,22 +230,46 @@ class TableStore:
             F.lit(path).alias("path"),
             F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("bucket_keys"),
             F.lit(buckets).cast("int").alias("buckets"),
+            ints(live).alias("live"),
+            F.lit(unique_keys).alias("unique_keys"),
         )
         entry.coalesce(1).write.mode("append").parquet(self._log_path)
-        self._current[name] = (version, path)
-        self._point(name, version_table)
+        self._current[name] = State(version, rows, path, keys, buckets, live, unique_keys)
+        self._point(name, self._current[name])
+        self._clean(name)
         log.info("%s %s v%d: %d rows", op, name, version, rows)
         return rows
 
+    def _buckets_for(self, last: State | None, keys: tuple[str, ...]) -> int | None:
+        if not keys:
+            return None
+        if self.buckets:
+            return self.buckets
+        if last and last.buckets and last.keys == keys:
+            return last.buckets
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    @contextmanager
+    def _shuffling(self, partitions: int | None) -> Iterator[None]:
+        """Plan shuffles into so many partitions, so that one by the bucket keys is also the buckets'."""
+        key = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(key)
+        if partitions:
+            self.spark.conf.set(key, str(partitions))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
     def create_if_absent(self, name: str, df: DataFrame, load_ts, keys: str | Sequence[str] = ()) -> bool:
         """An empty table with the frame's schema, unless the table is there."""
         if self.exists(name):
             return False
-        self._publish(name, df.limit(0), "create", load_ts, _names(keys), placed=True)
+        self._publish(name, df.limit(0), "create", load_ts, _names(keys), unique_keys=True)
         return True
 
     def overwrite(self, name: str, df: DataFrame, load_ts, keys: str | Sequence[str] = ()) -> int:
-        return self._publish(name, df, "overwrite", load_ts, _names(keys), placed=False)
+        return self._publish(name, df, "overwrite", load_ts, _names(keys), unique_keys=False)
 
     def merge(
         self,
@@ -176,12 +280,15 @@ class TableStore:
         update_cols: Sequence[str] | None = None,
         source_unique: bool = True,
         drop_null_keys: bool = False,
+        by_key: bool = False,
     ) -> int:
         """Upsert ``source``; the first merge creates the table. Returns its rows.
 
-        The source is written out once, so that splitting off null keys and
-        checking for conflicts do not compute it again, and a lost executor
-        costs no recomputation of it.
+        The source is written out once, so that looking for its buckets, for null
+        keys and for conflicts does not compute it again, and a lost executor
+        costs no recomputation of it. ``by_key`` tells that the source's last
+        shuffle is by the keys, as after ``latest_rows``; a first load then needs
+        no other.
         """
         keys = _names(keys)
         # several rows per key may pile up in one bucket, so do not bucket them
@@ -189,19 +296,108 @@ class TableStore:
         if not self.exists(name):
             if drop_null_keys:
                 source = source.dropna(subset=keys)
-            return self._publish(name, source, "create", load_ts, place_by, placed=False)
+            return self._publish(
+                name, source, "create", load_ts, place_by, unique_keys=source_unique, by_key=by_key
+            )
+        last = self._current[name]
+        unique = source_unique and (last.unique_keys or not last.rows)
         target = self.read(name)
         staging = f"{self.base}/_staging/{name}"
         source.write.mode("overwrite").parquet(staging)
-        staged = self.spark.read.parquet(staging)
+        staged = self.spark.read.schema(source.schema).parquet(staging)
         if not source_unique:
             require_no_conflicts(target, staged, keys)
-        merged = upsert(target, staged, keys, update_cols, drop_null_keys=drop_null_keys)
-        return self._publish(name, merged, "merge", load_ts, place_by, placed=True)
-
+        null_keys = not staged.filter(any_null(keys)).isEmpty()
+        options = {"drop_null_keys": drop_null_keys, "source_has_null_keys": null_keys}
+        fits = last.buckets and tuple(place_by) == last.keys and self.buckets in (None, last.buckets)
+        if not fits:
+            merged = upsert(target, staged, keys, update_cols, **options)
+            return self._publish(name, merged, "merge", load_ts, place_by, unique_keys=unique)
+
+        place = bucket_of(target, keys, last.buckets)
+        share = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) / last.buckets
+        same_types = staged.select([
+            F.col(f"`{k}`").cast(target.schema[k].dataType).alias(k) for k in keys
+        ])
+        touched = [  # at most as many numbers as there are buckets
+            r[0] for r in same_types.select(bucket_of(same_types, keys, last.buckets)).distinct().collect()
+        ]
+        if not touched:
+            return last.rows
+        untouched = lambda: 0
+        if len(touched) < last.buckets:
+            target = target.filter(place.isin(*touched))
+            if null_keys and len(keys) > 1:  # scanned twice, so it cannot be counted by the way
+                read = target.count()
+                untouched = lambda: last.rows - read
+            else:
+                seen = Observation()
+                target = target.observe(seen, F.count(F.lit(1)).alias("rows"))
+                untouched = lambda: last.rows - seen.get["rows"]
+        merged = upsert(target, staged, keys, update_cols, hash_source=share * 3 < HASH_BYTES, **options)
+        return self._publish(
+            name, merged, "merge", load_ts, place_by, unique_keys=unique,
+            touched=touched, untouched_rows=untouched,
+        )
 
-def _slot_table(name: str, path: str) -> str:
-    return f"{name}__{path.rsplit('/', 1)[1]}"
+    # ---- files --------------------------------------------------------------
+
+    def _fs(self, path: str):
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), jpath
+
+    def _remove(self, path: str) -> None:
+        if not path.startswith(f"{self.base}/"):
+            raise ValueError(f"not below {self.base}: {path}")
+        fs, jpath = self._fs(path)
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
+
+    def _clean(self, name: str) -> None:
+        """Delete what none of the last ``keep`` versions reads."""
+        entries = self._log().filter(F.col("table") == name).orderBy(F.desc("version")).limit(self.keep).collect()
+        needed: dict[str, list[set[int]]] = {}
+        for e in entries:
+            live = needed.setdefault(_plain(e["path"]), [set() for _ in e["live"]])
+            for b, v in enumerate(e["live"]):
+                live[b].add(v)
+        namespace, table = name.split(".")
+        fs, root = self._fs(f"{self.base}/{namespace}/{table}")
+        for generation in fs.listStatus(root):
+            path = generation.getPath()
+            live = needed.get(_plain(path.toString()))
+            if live is None:
+                data = _data_table(name, path.toString())
+                if self._location(data) is not None:
+                    self.spark.sql(f"DROP TABLE {data}")
+                fs.delete(path, True)
+                continue
+            for folder in fs.listStatus(path):
+                if not (m := re.fullmatch(rf"{VERSION}=(\d+)", folder.getPath().getName())):
+                    continue
+                version = int(m[1])
+                if not any(version in versions for versions in live):
+                    fs.delete(folder.getPath(), True)
+                    continue
+                for file in fs.listStatus(folder.getPath()):
+                    bucket = _BUCKET_FILE.search(file.getPath().getName())
+                    if bucket and len(live) > int(bucket[1]) and version not in live[int(bucket[1])]:
+                        fs.delete(file.getPath(), False)
+        self.spark.catalog.refreshTable(_data_table(name, self._current[name].path))
+
+
+def bucket_of(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
+    """The bucket in which Spark puts a row of a table bucketed by these keys."""
+    return F.pmod(F.hash(*[df[f"`{k}`"] for k in keys]), F.lit(buckets))
+
+
+def _data_table(name: str, path: str) -> str:
+    return f"{name}__{path.rstrip('/').rsplit('/', 1)[1]}"
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme, as file systems spell one path in several ways."""
+    return re.sub(r"^[a-z0-9]+:/+", "/", path.rstrip("/"))
 
 
 def _names(keys: str | Sequence[str]) -> list[str]:

@@ -41,6 +41,37 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset was written to its end: a single file, or a folder with ``_SUCCESS``."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(jpath):
+        return False
+    return not fs.getFileStatus(jpath).isDirectory() or fs.exists(
+        spark._jvm.org.apache.hadoop.fs.Path(jpath, "_SUCCESS")
+    )
+
+
+def read_raw(spark: SparkSession, path: str, type_of: Callable[[str], str | None]) -> DataFrame:
+    """A foreign file; times in nanoseconds become timestamps.
+
+    Spark refuses such times unless they are read as long. ``type_of`` tells the type
+    that a column should have, if it is known; a column that should be a timestamp
+    and arrives as a long from such a file has nanoseconds.
+    """
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:
+        if "PARQUET_TYPE_ILLEGAL" not in str(e) and "TIMESTAMP(NANOS" not in str(e):
+            raise
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    df = spark.read.parquet(path)
+    return nanos_to_timestamp(df, *[
+        f.name for f in df.schema.fields
+        if type_of(f.name) == "timestamp" and f.dataType.simpleString() == "bigint"
+    ])
+
+
 def read_years(
     spark: SparkSession,
     base: str,
@@ -112,7 +143,7 @@ def write_bronze(df: DataFrame, path: str, overwrite: bool = True, skip_empty: b
     ``overwrite=False`` leaves a finished dataset alone. An empty frame is
     skipped with a warning.
     """
-    if not overwrite and read_if_present(df.sparkSession, path) is not None:
+    if not overwrite and is_finished(df.sparkSession, path):
         log.info("already there: %s", path)
         return False
     if skip_empty and df.isEmpty():

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,42 +18,71 @@ from assaylake.functions.columns import coerce, in_year
 from assaylake.operators.dedupe import latest_order
 
 
-# up to this cap, every task may keep its own n best rows for the final merge
-SMALL_CAP = 1000
+# ranges that the first key is counted in
+_RANGES = 1000
 # rank error of the approximate percentile, as a share of all rows: 1 / accuracy
 _ACCURACY = 10_000
 
 
-def _key_bound(df: DataFrame, key: str, n: int):
-    """A key value that at least ``n`` rows do not exceed, or None.
-
-    Reads the key column only. The percentile just proposes the bound; counting
-    decides, so the result is exact whatever the key's distribution.
-    """
-    total = df.agg(F.count(key)).first()[0]
-    if total <= n:
-        return None
-    share = min(1.0, n / total + 2 / _ACCURACY)
-    bound = df.agg(F.percentile_approx(key, share, _ACCURACY)).first()[0]
-    within = df.filter(F.col(key) <= F.lit(bound)).count()
-    return bound if within >= n else None
+def _ordinal(key: Column, dtype: T.DataType) -> Column:
+    """A number that never falls when the key rises; of text, the first seven bytes."""
+    if isinstance(dtype, T.StringType):
+        head = F.rpad(F.hex(F.substring(key.cast("binary"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(key).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(key).cast("double")
+    return key.cast("double")
 
 
-def first_rows(df: DataFrame, n: int | None, order_by: str | Sequence[str]) -> DataFrame:
+def first_rows(
+    df: DataFrame, n: int | None, order_by: str | Sequence[str], as_type: str | None = None
+) -> DataFrame:
     """First ``n`` rows by the key columns; other columns break ties.
 
-    For a large cap, rows beyond the n-th key are cut off where they are read.
-    Otherwise each of many tasks would send ``n`` rows to the last one.
+    ``as_type`` is the type in which the first key is ordered, for numbers that
+    arrive as text; what cannot be read as that comes last, as nulls do.
+
+    The first key is counted in ranges. Rows of the ranges that fit into ``n`` are
+    taken by a filter where they are read, however many they are; only the range in
+    which the n-th row falls is put in order.
     """
     if n is None:
         return df
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    if n > SMALL_CAP and isinstance(df.schema[keys[0]].dataType, T.NumericType):
-        bound = _key_bound(df, keys[0], n)
-        if bound is not None:
-            df = df.filter(F.col(keys[0]) <= F.lit(bound))
+    first = F.col(f"`{keys[0]}`")
+    dtype = df.schema[keys[0]].dataType
+    if as_type is not None:
+        first, dtype = coerce(first, dtype, as_type), T._parse_datatype_string(as_type)
+    place = _ordinal(first, dtype)
+    shares = [k / _RANGES for k in range(1, _RANGES)]
+    edges = sorted(set(df.agg(F.percentile_approx(place, shares, _ACCURACY)).first()[0] or []))
+    bounds = F.array(*[F.lit(e) for e in edges]).cast("array<double>")
+    # range r holds the rows above edge r - 1 up to edge r; nulls are after all
+    number = F.when(place.isNull(), F.lit(len(edges) + 1)).otherwise(
+        F.size(F.filter(bounds, lambda e: e < place))
+    )
+    counts = dict(df.groupBy(number.alias("r")).count().collect())  # a row for each range
+    left = n
+    for r in range(len(edges) + 2):
+        if counts.get(r, 0) > left:
+            break
+        left -= counts.get(r, 0)
+    else:
+        return df
     ties = latest_order(df, (), skip=keys)
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys], *ties).limit(n)
+    order = [first.asc_nulls_last(), *[F.col(f"`{k}`").asc_nulls_last() for k in keys], *ties]
+    if r > len(edges):
+        whole, inside = place.isNotNull(), place.isNull()
+    else:
+        whole = place <= F.lit(edges[r - 1]) if r else F.lit(False)
+        inside = place.isNotNull()
+        if r:
+            inside &= place > F.lit(edges[r - 1])
+        if r < len(edges):
+            inside &= place <= F.lit(edges[r])
+    return df.filter(whole).unionByName(df.filter(inside).orderBy(*order).limit(left))
 
 
 def extract_head(df: DataFrame, n: int | None, order_by: str | Sequence[str]) -> DataFrame:

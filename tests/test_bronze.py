@@ -139,18 +139,28 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-def test_large_cap_cuts_at_the_key_but_stays_exact(spark, monkeypatch):
-    monkeypatch.setattr(extract, "SMALL_CAP", 3)
+@pytest.mark.parametrize("ranges", [1, 2, 7, 1000])
+def test_caps_are_exact(spark, monkeypatch, ranges):
+    monkeypatch.setattr(extract, "_RANGES", ranges)
     # half of the rows share one key
     df = spark.range(2000).selectExpr("if(id % 2 = 0, 7, id) as Id", "id as v")
-    whole = [tuple(r) for r in df.orderBy("Id", F.desc("v")).collect()]
-    for n in (5, 900, 1500, 1999, 2000, 5000):
-        got = [tuple(r) for r in extract.extract_head(df, n, "Id").collect()]
-        assert got == whole[:n]
-    text = df.select(F.col("Id").cast("string").alias("Id"))
-    assert extract.extract_head(text, 5, "Id").count() == 5
-    with_null = df.unionByName(spark.createDataFrame([(None, 1)], "Id long, v long"))
-    assert extract.extract_head(with_null, 2001, "Id").filter("Id is null").count() == 1
+    df = df.unionByName(spark.createDataFrame([(None, 1), (None, 2)], "Id long, v long"))
+    whole = [tuple(r) for r in df.orderBy(F.asc_nulls_last("Id"), F.desc("v")).collect()]
+    kinds = [
+        df, df.withColumn("Id", F.col("Id").cast("string")),
+        df.withColumn("Id", F.timestamp_seconds("Id")), df.withColumn("Id", F.col("Id").cast("double")),
+    ]
+    for k, typed in enumerate(kinds):
+        for n in (0, 1, 5, 900, 1500, 2000, 2001, 2002, 5000):
+            got = extract.first_rows(typed, n, "Id", as_type="long" if k == 1 else None)
+            assert sorted(r["v"] for r in got.collect()) == sorted(v for _, v in whole[:n])
+    assert extract.extract_head(df.limit(0), 5, "Id").collect() == []
+
+
+def test_a_large_cap_is_read_by_many_tasks(spark):
+    got = extract.extract_head(spark.range(0, 100000, 1, 8).toDF("Id"), 60000, "Id")
+    used = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert got.count() == 60000 and used > 3
 
 
 def test_years_in_one_pass(spark, tmp_path):

@@ -5,11 +5,11 @@ import re
 import pytest
 from conftest import TS1, plan
 
-import __spark_entry__ as entry
 from assaylake.operators.dedupe import latest_rows
 from assaylake.plans import marts, reports
 from assaylake.sources import extract
 from verification import mapping as m
+from verification.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,9 +26,9 @@ def tree(df) -> str:
     return plan(df).split("\n\n")[0]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_products_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas",
                  "FlatMapGroups", "Scan ExistingRDD"):
         assert node not in text

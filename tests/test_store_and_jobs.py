@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import TS1, TS2, plan, rows
 from pyspark.sql import functions as F
@@ -84,6 +86,7 @@ def test_reopened_by_a_session_without_the_catalog_entries(spark, store):
     spark.sql("DROP SCHEMA silver CASCADE")
     again = TableStore(spark, store.base, buckets=4)
     assert rows(again.read("silver.t")) == [(1, "a"), (2, "b")]
+    assert rows(again.columns("silver.t")) == [("id", "bigint"), ("v", "string")]
     assert again.merge("silver.t", frame(spark, [(2, "c")]), "id", TS2) == 2
 
 
@@ -101,23 +104,120 @@ def test_merge_does_not_shuffle_the_history(spark, store):
     assert merged.count() == 100
 
 
-def test_versions_share_a_fixed_number_of_folders(spark, store, tmp_path):
+def files(path):
+    """Parquet files by bucket, as names."""
+    return {f.name for f in path.rglob("part-*.parquet")}
+
+
+def bucket(name):
+    return int(re.search(r"_(\d{5})\.c", name)[1])
+
+
+def test_only_the_last_versions_keep_files(spark, store, tmp_path):
     for i in range(5):
         store.merge("silver.t", frame(spark, [(i, "a")]), "id", TS1)
-    assert store.read("silver.t").count() == 5
+    assert rows(store.read("silver.t")) == [(i, "a") for i in range(5)]
     assert store.history("silver.t").count() == 5
-    assert sorted(p.name for p in (tmp_path / "tables" / "silver" / "t").iterdir()) == ["slot0", "slot1"]
     with pytest.raises(ValueError):
         TableStore(spark, store.base, keep=1)
-    # another number of folders never writes into the one that is current
-    for keep in (3, 2, 4, 2):
-        other = TableStore(spark, store.base, buckets=4, keep=keep)
-        for _ in range(2):
-            other.merge("silver.t", frame(spark, [(0, "a")]), "id", TS2)
-    assert rows(other.read("silver.t")) == [(i, "a") for i in range(5)]
+    # a rewrite starts a folder of its own; the former stays while it may be read
+    for _ in range(2):
+        store.overwrite("silver.t", frame(spark, [(9, "z")]), TS2)
+    assert sorted(p.name for p in (tmp_path / "tables" / "silver" / "t").iterdir()) == ["g6", "g7"]
     assert "silver" in store.namespaces()
 
 
+def test_a_merge_writes_only_the_buckets_it_touches(spark, tmp_path, namespaces):
+    store = TableStore(spark, f"{tmp_path}/tables", buckets=16)
+    store.merge("silver.t", frame(spark, [(i, "a") for i in range(400)]), "id", TS1)
+    folder = tmp_path / "tables" / "silver" / "t"
+    before = files(folder)
+    assert sorted(map(bucket, before)) == list(range(16))
+    for keys, ts in (([3], TS2), ([3, 5000], TS2), ([7], TS2)):
+        source = frame(spark, [(k, f"new {k}") for k in keys])
+        hit = {r[0] for r in source.select(F.pmod(F.hash("id"), F.lit(16))).collect()}
+        had = files(folder)
+        n = store.merge("silver.t", source, "id", ts)
+        written = files(folder) - had
+        assert {bucket(f) for f in written} == hit and len(written) == len(hit)
+        assert n == store.read("silver.t").count()
+    got = dict(rows(store.read("silver.t")))
+    assert len(got) == 401
+    assert {k: v for k, v in got.items() if v != "a"} == {3: "new 3", 5000: "new 5000", 7: "new 7"}
+    # two versions read each bucket at the most
+    assert len(files(folder)) <= 32
+    again = TableStore(spark, store.base)
+    spark.sql("DROP SCHEMA silver CASCADE")
+    again = TableStore(spark, store.base)
+    assert dict(rows(again.read("silver.t"))) == got
+    assert again.merge("silver.t", frame(spark, []), "id", TS2) == 401
+
+
+def test_the_written_merge_neither_sorts_nor_shuffles_the_history(spark, store, monkeypatch):
+    store.merge("silver.t", frame(spark, [(i, "a") for i in range(1000)]), "id", TS1)
+    plans = []
+    publish = TableStore._publish
+    monkeypatch.setattr(TableStore, "_publish", lambda self, n, df, *a, **k: (plans.append(plan(df)), publish(self, n, df, *a, **k))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store.merge("silver.t", frame(spark, [(1, "b"), (2, "c")]), "id", TS2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = plans[0].split("\n\n")[0]
+    assert "ShuffledHashJoin" in tree and "Sort" not in tree
+    assert tree.count("Exchange") == 1 and tree.count("Scan parquet") == 2
+    assert store.read("silver.t").count() == 1000
+
+
+def test_another_number_of_buckets_places_the_rows_anew(spark, tmp_path, namespaces):
+    base = f"{tmp_path}/tables"
+    TableStore(spark, base, buckets=8).merge("silver.t", frame(spark, [(i, "a") for i in range(300)]), "id", TS1)
+    seven = TableStore(spark, base, buckets=7)
+    assert seven.merge("silver.t", frame(spark, [(1, "b")]), "id", TS2) == 300
+    live = tmp_path / "tables" / "silver" / "t" / "g2"
+    assert sorted(map(bucket, files(live))) == list(range(7))
+    # without a number, a table keeps the one it has
+    assert TableStore(spark, base).merge("silver.t", frame(spark, [(400, "c")]), "id", TS2) == 301
+    assert len(files(live)) == 8
+
+
+def test_keyed_tables_are_bucketed_by_default(spark, tmp_path, namespaces):
+    store = TableStore(spark, f"{tmp_path}/tables")
+    store.merge("silver.t", frame(spark, [(1, "a")]), "id", TS1)
+    assert store.history("silver.t").first()["buckets"] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_first_load_has_one_exchange(spark, tmp_path, namespaces, monkeypatch):
+    from assaylake.operators.dedupe import latest_rows
+
+    store = TableStore(spark, f"{tmp_path}/tables", buckets=6)
+    spark.range(500).selectExpr("id % 90 as id", "cast(id as string) as v").write.parquet(f"{tmp_path}/in")
+    plans = []
+    writer = type(spark.range(1).write)
+    save = writer.saveAsTable
+    monkeypatch.setattr(writer, "saveAsTable", lambda self, *a, **k: (plans.append(plan(self._df)), save(self, *a, **k))[1])
+    df = latest_rows(spark.read.parquet(f"{tmp_path}/in"), "id", ["v"])
+    assert store.merge("silver.t", df, "id", TS1, by_key=True) == 90
+    assert plans[0].split("\n\n")[0].count("Exchange") == 1
+    assert sorted(map(bucket, files(tmp_path / "tables" / "silver"))) == list(range(6))
+
+
+def test_a_table_of_another_store_is_not_taken_over(spark, tmp_path, namespaces):
+    TableStore(spark, f"{tmp_path}/a").merge("silver.t", frame(spark, [(1, "a")]), "id", TS1)
+    other = TableStore(spark, f"{tmp_path}/b")
+    assert not other.exists("silver.t")
+    with pytest.raises(ValueError, match="another store"):
+        other.merge("silver.t", frame(spark, [(2, "b")]), "id", TS1)
+
+
+def test_marts_need_unique_keys(spark, raw, tmp_path, namespaces):
+    store = TableStore(spark, f"{tmp_path}/tables")
+    jobs.run_bronze(spark, raw, f"{tmp_path}/bronze", YEARS)
+    jobs.run_silver(spark, f"{tmp_path}/bronze", store, TS1, YEARS, dedupe=False)
+    with pytest.raises(ValueError, match="keys may repeat"):
+        jobs.run_gold(store, TS1)
+
+
 def test_counted_votes_join_posts_without_a_shuffle(spark, store):
     posts = generators.generate_posts(generators.ids(spark, 50), 2020).withColumn("anio", F.lit(2020))
     votes = generators.generate_votes(generators.ids(spark, 90), 2020, n_posts=50)
@@ -241,6 +341,38 @@ def test_bronze_loading(spark, raw, tmp_path):
     again = jobs.run_bronze(spark, raw, out, YEARS, refresh_users_year=2020)
     assert again == [bronze.bronze_path(out, "users", 2020)]
     assert spark.read.parquet(again[0]).count() == 60
+    assert len(jobs.run_bronze(spark, raw, out, YEARS, refresh=["posts", "badges"])) == 3
+    assert bronze.read_all(spark, out, "badges").count() == 50
+    with pytest.raises(ValueError):
+        jobs.run_bronze(spark, raw, out, YEARS, refresh=["post"])
+    # a dataset whose commit broke off is loaded again
+    (tmp_path / "badges" / "all" / "badges.parquet" / "_SUCCESS").unlink()
+    assert jobs.run_bronze(spark, raw, out, YEARS) == [bronze.bronze_path(out, "badges")]
+
+
+def test_nanosecond_times_reach_silver(spark, tmp_path, namespaces):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    made = [pa.array([1_577_836_800_123_456_789 + k], pa.timestamp("ns")) for k in range(2)]
+    (tmp_path / "raw").mkdir()
+    pq.write_table(pa.table({"Id": [1], "UserId": [2], "Name": ["a"], "Date": made[0], "Class": [1]}),
+                   tmp_path / "raw" / "badges.parquet")
+    try:
+        assert jobs.load_entity(spark, f"{tmp_path}/raw", f"{tmp_path}/bronze", specs.BADGES)
+        got = jobs.silver_frame(spark, f"{tmp_path}/bronze", specs.BADGES, TS1).select("Date").first()["Date"]
+    finally:
+        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+    assert str(got) == "2020-01-01 00:00:00.123456"
+
+
+def test_capped_load_orders_text_ids_as_numbers(spark, tmp_path):
+    ids = [("2",), ("9",), ("10",), ("100",), ("x",), (None,)]
+    spark.createDataFrame(ids, "Id string").write.parquet(f"{tmp_path}/raw/posts/2019.parquet")
+    for cap, want in ((2, ["2", "9"]), (5, ["10", "100", "2", "9", "x"])):
+        jobs.load_entity(spark, f"{tmp_path}/raw", f"{tmp_path}/b{cap}", specs.POSTS, 2019, cap)
+        got = spark.read.parquet(bronze.bronze_path(f"{tmp_path}/b{cap}", "posts", 2019))
+        assert sorted(r["Id"] for r in got.collect()) == want
 
 
 def test_simple_posts(spark, raw, tmp_path, namespaces):

@@ -92,7 +92,7 @@ def silver(spark: SparkSession, sf_dir: str) -> Silver:
     )
 
 
-def _newest(table: str, key: str, order: list[str]) -> str:
+def newest(table: str, key: str, order: list[str]) -> str:
     sort = ", ".join(f"{c} desc nulls last" for c in order)
     return (
         f"select * exclude (_rn) from (select *, row_number() over "
@@ -107,7 +107,7 @@ CTES = ", ".join(
         f"{'votes_raw' if n == 'votes' else n} as (select {select_list(COLUMNS[n])} from {SOURCES[n]})"
         for n in COLUMNS
     ]
-    + [f"votes as ({_newest('votes_raw', 'Id', VOTE_ORDER)})"]
+    + [f"votes as ({newest('votes_raw', 'Id', VOTE_ORDER)})"]
 )
 
 

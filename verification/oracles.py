@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from assaylake import specs
 from assaylake.sources import generators as g
-from verification.mapping import USERS_COLS, select_list, sql
+from verification.mapping import POSTS_COLS, USERS_COLS, VOTE_ORDER, VOTES_COLS, newest, select_list, sql
 from verification.queries import (
     EXTRACT_YEAR,
     GEN_YEAR,
     HEAD_CAP,
+    LARGE_CAP,
     LAST_OLD_YEAR,
     LATER_TS,
     LOAD_TS,
@@ -240,6 +241,37 @@ GEN_POSTS_TEXT = {
     "favorite_count": draw(100, Y + 3004), "last_activity_date": text(day(Y, Y + 3005)),
 }
 
+GEN_VOTES_TEXT = {
+    "vote_id": "id", "post_id": draw(1999, Y + 4000, 1), "user_id": draw(99, Y + 4001, 1),
+    "vote_type_id": draw(5, Y + 4002, 1), "creation_date": text(day(Y, Y + 4003)),
+}
+GEN_BADGES_TEXT = {
+    "badge_id": "id", "user_id": draw(99, 5000, 1), "badge_name": "'Badge_' || (id % 20)",
+    "date": text(day(2019, 5001, 1095)),
+}
+
+
+def chain(raw: str, fills: dict[str, str], columns: list[str], update, changes: dict[str, str], order=None) -> str:
+    """Two loads into a history table, nulls filled and, if an order is given, the newest row per key."""
+    filled = ", ".join(f"coalesce({c}, {v}) as {c}" for c, v in fills.items())
+    changed = ", ".join(f"{e} as {c}" for c, e in changes.items())
+    names = [*columns, "fecha_cargue"]
+
+    def load(cte: str, source: str, ts: str) -> str:
+        rows = f"select * replace ({filled}) from {source}"
+        if order:
+            rows = newest(f"({rows})", "Id", order)
+        return f"{cte} as (select {', '.join(columns)}, {ts} as fecha_cargue from ({rows}))"
+
+    return sql(
+        merge(names, ["Id"], list(update)),
+        f"older as (select * from {raw} where anio <= {LAST_OLD_YEAR})",
+        f"newer as (select * replace ({changed}) from {raw} where anio >= {LAST_OLD_YEAR})",
+        load("t", "older", TS),
+        load("s", "newer", TS2),
+    )
+
+
 IN_YEAR = f"year(o_orderdate) = {EXTRACT_YEAR}"
 FUENTE = f"'{specs.SOURCE_NAME}'"
 
@@ -376,10 +408,37 @@ ORACLES: dict[str, str] = {
     "extract_projected_year": f"select o_orderkey, o_custkey, o_orderdate from orders where {IN_YEAR}",
     "source_year_count": f"select count(*) as cnt from orders where {IN_YEAR}",
     "extract_head": sql(f"select * from badges order by Id limit {HEAD_CAP}"),
+    "extract_head_text_key": sql(
+        f"select * replace (cast(Id as varchar) as Id) from (select * from badges order by Id limit {HEAD_CAP})"),
+    "extract_year_large_cap": f"select * from orders where {IN_YEAR} order by o_orderkey limit {LARGE_CAP}",
+    "bronze_skip_present": sql("select * from badges"),
+    "bronze_skip_empty": sql("select * from badges"),
+    "expected_files": sql(f"""select cast(y as int) as anio, y <= {YEARS[1]} as present
+        from range({min(YEARS)}, {max(YEARS) + 1}) r(y)"""),
+    # the store and the chain
+    "chain_silver_posts": chain(
+        "posts", {"Title": "''", "Tags": "''"}, [*POSTS_COLS], specs.POSTS.update_cols,
+        {"Score": "Score + 7", "Title": "'edited'", "OwnerUserId": "cast(-1 as bigint)",
+         "FavoriteCount": "cast(null as bigint)"}),
+    "chain_silver_votes": chain(
+        "votes_raw", {"UserId": "-1", "BountyAmount": "0"}, [*VOTES_COLS], specs.VOTES.update_cols,
+        {"VoteTypeId": "5", "BountyAmount": "cast(null as bigint)"}, VOTE_ORDER),
+    "chain_gold_posts_user_year": sql(posts_user_year(ts=TS2)),
+    "chain_gold_engagement": sql(ENGAGEMENT),
+    "load_log": sql(f"""select 'votes' as "table", 1 as version, 'create' as op, count(*) as rows
+            from votes where anio <= {LAST_OLD_YEAR}
+        union all select 'votes', 2, 'merge', count(*) from votes
+        union all select 'posts', 1, 'overwrite', count(*) from posts"""),
+    "tolerant_counts": sql("""select 'posts' as tabla, count(*) as filas, cast(null as varchar) as error from posts
+        union all select 'none', null, 'table not found'"""),
+    "table_overwrite_twice": sql("select * from badges"),
+    "create_empty_then_merge": sql("select * from badges"),
     # generators
     "gen_users": generated("customer", "c_custkey + 1", GEN_USERS),
     "gen_posts": generated("orders", "o_orderkey + 1", GEN_POSTS),
     "gen_votes": generated("lineitem", "l_orderkey * 10 + l_linenumber", GEN_VOTES),
     "gen_badges": generated("events", "event_id + 1", GEN_BADGES),
     "gen_posts_text_dates": generated("orders", "o_orderkey + 1", GEN_POSTS_TEXT),
+    "gen_votes_text_dates": generated("lineitem", "l_orderkey * 10 + l_linenumber", GEN_VOTES_TEXT),
+    "gen_badges_text_dates": generated("events", "event_id + 1", GEN_BADGES_TEXT),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +20,15 @@ from assaylake.operators.normalize import (
     union_by_name,
     union_positional,
 )
-from assaylake.operators.profile import null_profile, row_counts
+from assaylake.operators.profile import null_profile, row_counts, table_counts
 from assaylake.operators.upsert import merge_conflicts, upsert
-from assaylake.plans import marts, reports
+from assaylake.plans import jobs, marts, reports
+from assaylake.plans.store import TableStore
 from assaylake.session import pin_utc, scratch_path
 from assaylake.sources import extract, generators
 from assaylake.sources.bronze import (
     bronze_path,
+    expected_files,
     read_all,
     read_year_partitions,
     read_years,
@@ -40,7 +43,7 @@ LATER_TS = "2026-02-01 00:00:00"
 YEARS = tuple(range(1995, 2002))
 LAST_OLD_YEAR = 1999  # older load: up to it; newer load: from it on
 EXTRACT_YEAR = 1997
-YEAR_CAP, HEAD_CAP = 500, 300
+YEAR_CAP, HEAD_CAP, LARGE_CAP = 500, 300, 3000
 GEN_YEAR = 2021
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,6 +208,7 @@ def duplicates_removed_(spark, d):
 
 # ---- normalisation ----------------------------------------------------------
 
+# fixed values: the published names
 PASCAL = {
     "id": "Id", "reputation": "Reputation", "creation_date": "CreationDate",
     "display_name": "DisplayName", "last_access_date": "LastAccessDate", "views": "Views",
@@ -397,7 +401,9 @@ def upsert_badges_partial(spark, d):
 def upsert_small_source(spark, d):
     """The broadcast form: whichever customers are new or changed."""
     old, new = _user_loads(spark, d)
-    return upsert(old, new, specs.USERS.key, specs.USERS.update_cols, broadcast_rows=100_000)
+    # the form is what is tested, so only Spark's own limits hold here
+    return upsert(old, new, specs.USERS.key, specs.USERS.update_cols,
+                  broadcast_rows=500_000_000, broadcast_bytes=8 << 30)
 
 
 def _mart_loads(spark, d, build):
@@ -513,6 +519,153 @@ def extract_head(spark, d):
     return extract.extract_head(m.view(spark, d, "badges"), HEAD_CAP, "Id")
 
 
+@query
+def extract_head_text_key(spark, d):
+    """Ids that arrive as text are ordered as the numbers they are."""
+    badges = m.view(spark, d, "badges").withColumn("Id", F.col("Id").cast("string"))
+    return extract.first_rows(badges, HEAD_CAP, "Id", as_type="long")
+
+
+@query
+def extract_year_large_cap(spark, d):
+    return extract.extract_year(
+        m.base(spark, d, "orders"), EXTRACT_YEAR, "o_orderdate", n=LARGE_CAP, order_by="o_orderkey"
+    )
+
+
+@query
+def bronze_skip_present(spark, d):
+    path = bronze_path(scratch_path(spark, "bronze"), "badges")
+    badges = m.view(spark, d, "badges")
+    write_bronze(badges, path)
+    if write_bronze(badges.withColumn("Class", F.lit(9)), path, overwrite=False):
+        raise AssertionError("a finished dataset was replaced")
+    return spark.read.parquet(path)
+
+
+@query
+def bronze_skip_empty(spark, d):
+    path = bronze_path(scratch_path(spark, "bronze"), "badges")
+    badges = m.view(spark, d, "badges")
+    write_bronze(badges, path)
+    if write_bronze(badges.filter("Id < 0"), path):
+        raise AssertionError("an empty frame was written")
+    return spark.read.parquet(path)
+
+
+@query
+def expected_files_(spark, d):
+    base = scratch_path(spark, "bronze")
+    posts = m.view(spark, d, "posts")
+    for year in YEARS[:2]:
+        write_bronze(posts.filter(F.col("anio") == year), bronze_path(base, "posts", year))
+    return expected_files(spark, base, "posts", YEARS).select("anio", "present")
+
+
+# ---- the store and the chain, each time in folders and a namespace of their own
+
+
+def _store(spark) -> tuple[TableStore, str]:
+    base = scratch_path(spark, "chain")
+    return TableStore(spark, base), f"chain_{uuid.uuid4().hex[:12]}"
+
+
+def _silver_chain(spark, raw: DataFrame, changes: dict[str, str], spec, columns: list[str]) -> DataFrame:
+    """Two silver loads from bronze files: older years, then newer ones, changed."""
+    store, namespace = _store(spark)
+    changed = raw.withColumns({c: F.expr(e) for c, e in changes.items()})
+    loads = ((raw, [y for y in YEARS if y <= LAST_OLD_YEAR], LOAD_TS),
+             (changed, [y for y in YEARS if y >= LAST_OLD_YEAR], LATER_TS))
+    for rows, years, ts in loads:
+        base = scratch_path(spark, "bronze")
+        for year in years:
+            one = rows.filter(F.col("anio") == year).drop("anio")
+            write_bronze(one, bronze_path(base, spec.entity, year), skip_empty=False)
+        frame = jobs.silver_frame(spark, base, spec, ts, years)
+        name = f"{namespace}.{spec.table}"
+        store.merge(name, frame, spec.key, ts, spec.update_cols, by_key=True)
+    return store.read(name).select(*columns, "fecha_cargue")
+
+
+@query
+def chain_silver_posts(spark, d):
+    return _silver_chain(
+        spark, m.view(spark, d, "posts"),
+        {"Score": "Score + 7", "Title": "'edited'", "OwnerUserId": "-1L", "FavoriteCount": "cast(null as bigint)"},
+        specs.POSTS, [*m.POSTS_COLS],
+    )
+
+
+@query
+def chain_silver_votes(spark, d):
+    return _silver_chain(
+        spark, m.view(spark, d, "votes"), {"VoteTypeId": "5", "BountyAmount": "cast(null as bigint)"},
+        specs.VOTES, [*m.VOTES_COLS],
+    )
+
+
+def _gold_chain(spark, d, names: list[str], read: str, last_ts: str) -> DataFrame:
+    """History tables of older posts, marts, then all posts, and the marts again."""
+    store, namespace = _store(spark)
+    silver = m.silver(spark, d)
+    for posts, ts in ((silver.posts.filter(F.col("anio") <= LAST_OLD_YEAR), LOAD_TS), (silver.posts, last_ts)):
+        for spec, df in zip((specs.USERS, specs.POSTS, specs.VOTES, specs.BADGES),
+                            (silver.users, posts, silver.votes, silver.badges), strict=True):
+            store.merge(f"{namespace}.{spec.table}", df, spec.key, ts)
+        jobs.run_gold(store, ts, names, namespace=f"{namespace}_gold", silver_namespace=namespace,
+                      work=f"{namespace}_work")
+    return store.read(f"{namespace}_gold.{read}")
+
+
+@query
+def chain_gold_posts_user_year(spark, d):
+    names = ["cant_post_x_user_hist", "cant_post_x_user_type_hist"]
+    return _gold_chain(spark, d, names, names[0], LATER_TS)
+
+
+@query
+def chain_gold_engagement(spark, d):
+    return _gold_chain(spark, d, ["vote_stats_per_post", "user_engagement"], "user_engagement", LOAD_TS)
+
+
+@query
+def load_log(spark, d):
+    store, namespace = _store(spark)
+    votes = m.silver(spark, d).votes
+    store.merge(f"{namespace}.votes", votes.filter(F.col("anio") <= LAST_OLD_YEAR), "Id", LOAD_TS)
+    store.merge(f"{namespace}.votes", votes, "Id", LATER_TS)
+    store.overwrite(f"{namespace}.posts", m.view(spark, d, "posts"), LATER_TS)
+    return store.history().select(
+        F.split("table", "\\.")[1].alias("table"), "version", "op", "rows"
+    )
+
+
+@query
+def tolerant_counts(spark, d):
+    store, namespace = _store(spark)
+    store.overwrite(f"{namespace}.posts", m.view(spark, d, "posts"), LOAD_TS)
+    found = table_counts(spark, [f"{namespace}.posts", f"{namespace}.none"])
+    return found.select(F.split("tabla", "\\.")[1].alias("tabla"), "filas", "error")
+
+
+@query
+def table_overwrite_twice(spark, d):
+    store, namespace = _store(spark)
+    badges = m.view(spark, d, "badges")
+    store.overwrite(f"{namespace}.b", badges.withColumn("Class", F.lit(9)), LOAD_TS)
+    store.overwrite(f"{namespace}.b", badges, LATER_TS)
+    return store.read(f"{namespace}.b")
+
+
+@query
+def create_empty_then_merge(spark, d):
+    store, namespace = _store(spark)
+    badges = m.view(spark, d, "badges")
+    store.create_if_absent(f"{namespace}.b", badges, LOAD_TS, "Id")
+    store.merge(f"{namespace}.b", badges, "Id", LATER_TS)
+    return store.read(f"{namespace}.b")
+
+
 # ---- generators, one row per row of a given table ---------------------------
 
 
@@ -547,3 +700,14 @@ def gen_posts_text_dates(spark, d):
     return generators.generate_posts_text_dates(
         _ids(spark, d, "orders", "o_orderkey + 1"), GEN_YEAR
     )
+
+
+@query
+def gen_votes_text_dates(spark, d):
+    ids = _ids(spark, d, "lineitem", "l_orderkey * 10 + l_linenumber")
+    return generators.generate_votes_text_dates(ids, GEN_YEAR)
+
+
+@query
+def gen_badges_text_dates(spark, d):
+    return generators.generate_badges_text_dates(_ids(spark, d, "events", "event_id + 1"))
