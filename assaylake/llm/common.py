@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While jobs run inside, Python workers get whole texts in batches of so many rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """The texts of a batch; null is the empty text."""
     return [x or "" for x in column.to_pylist()]

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import batch_of, slices, utf8_of
+from assaylake.llm.common import arrow_rows, batch_of, slices, utf8_of
 from assaylake.llm.components import components
 from assaylake.session import settled
 
@@ -280,7 +280,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     Null and empty texts are copies of each other. Rows without a doc_id take no
     part. Rows that repeat a doc_id are one document.
     """
-    sketches = settled(_sketch(docs.filter(F.col("doc_id").isNotNull())), "sketches")
+    spark = docs.sparkSession
+    with arrow_rows(spark, 2000):
+        sketches = settled(_sketch(docs.filter(F.col("doc_id").isNotNull())), "sketches")
     wide = [f"f{k}" for k in range(WIDE)]
     classes = settled(
         sketches.groupBy("same").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", *wide)]),
@@ -300,7 +302,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in wide), F.lit(0))
     sizes = F.least("x.n", "y.n") >= NEAR_SIMILARITY * F.greatest("x.n", "y.n")
     candidates = candidates.filter(sizes).filter(_on_ring()).filter(apart <= WIDE_DISTANCE).select("a", "b")
-    linked = components(_similar(candidates, docs))
+    with arrow_rows(spark, 1000):  # two texts in a row
+        similar = settled(_similar(candidates, docs), "similar")
+    linked = components(similar)
     named = classes.join(linked, classes["id"] == linked["node"], "left").select(
         "same", F.coalesce("component", "id").alias("group_id"), F.col("component").isNotNull().alias("linked")
     )
