@@ -171,6 +171,7 @@ def vote_stats_per_post(silver: Silver, load_ts) -> DataFrame:
 
 def question_tags(posts: DataFrame) -> DataFrame:
     """One row per question and tag."""
+    # fixed value: the pattern by which the published query splits tags
     tags = F.split(F.regexp_replace("Tags", "[<>]", " "), r"\s+")
     return (
         posts.filter(

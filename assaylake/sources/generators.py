@@ -49,6 +49,10 @@ def _name(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
+# Fixed values, from here on: the column names, ranges and text patterns of the rows
+# must equal the published fixture shapes. The draws themselves are this module's own.
+
+
 def generate_users(ids: DataFrame, year: int) -> DataFrame:
     created = _day(year, year)
     return ids.select(
