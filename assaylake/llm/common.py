@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,23 +15,27 @@ LEAST_CHUNK = 128
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-@contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """While jobs run inside, Python workers get whole texts in batches of so many rows."""
+#: Rows of whole texts that a Python worker gets at once.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Let Python workers get ``BATCH_ROWS`` rows at a time, where the session has Spark's own 10,000.
+
+    That number is meant for short rows; ten thousand whole texts are tens of
+    megabytes, held several times over by the executor and its workers.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -31,9 +31,9 @@ GRAMS = (3, 4, 5)
 SIZE = 4
 #: Labelled rows to learn from: so many of each label at the most, chosen by a hash of the id.
 MOST_LABELLED = 1200
-#: Standard errors by which an n-gram's frequency among the documents of the two labels
-#: must differ (as log odds) for it to get a vector; the others count as words without meaning.
-SIGNIFICANT = 3.0
+#: Standard errors by which the shares of the two labels' documents that have an n-gram
+#: must differ for it to get a vector; the others count, but mean nothing.
+SIGNIFICANT = 4.0
 ROUNDS, RATE, DECAY = 60, 0.05, 1e-4
 #: A document's mean is taken as if it had so many more words of no meaning, so that a
 #: few words alone are no strong evidence.
@@ -149,9 +149,9 @@ def train(
         found = _buckets_of(word[bounds[d] : bounds[d + 1]], begins, grams, bucket)
         n_docs[label, np.unique(found)] += 1
     n = np.bincount(y, minlength=2)
-    odds = [np.log((d + 0.5) / (k - d + 0.5)) for d, k in zip(n_docs, n, strict=True)]
-    error = np.sqrt(sum(1 / (d + 0.5) + 1 / (k - d + 0.5) for d, k in zip(n_docs, n, strict=True)))
-    learned = np.flatnonzero(np.abs(odds[1] - odds[0]) > SIGNIFICANT * error)
+    mean = n_docs.sum(0) / len(y)
+    error = np.sqrt(mean * (1 - mean) * (1 / n[0] + 1 / n[1]))
+    learned = np.flatnonzero(np.abs(n_docs[1] / n[1] - n_docs[0] / n[0]) > SIGNIFICANT * error)
     at = np.full(BUCKETS, -1)
     at[learned] = np.arange(len(learned))
     have = at[bucket] >= 0
