@@ -10,6 +10,7 @@ Hamming distance is taken. Nothing within the distance is lost.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from itertools import islice, repeat
 
@@ -168,74 +169,88 @@ def simhash_groups(docs: DataFrame, distance: int = DISTANCE, shingle: int = 3)
 
 #: Near copies: shingles of so many words, at least so similar (Jaccard).
 NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
-#: Wide fingerprints for them: 64-bit words, of shingles of so many words.
-WIDE, WIDE_WORDS = 4, 2
-#: Ring of the wide fingerprint, and the bits that may differ. Texts of similarity
-#: 0.8 differ in 25 of 256 bits on average, with a deviation of 5.
-WIDE_DISTANCE, WIDE_SEGMENTS = 48, 16
-#: So many chance selections of so many of its bits are looked up.
-BANDS, BAND_BITS = 96, 32
+#: Shingles that so many texts of a batch have are counted, and so many of the
+#: most frequent of them come last in the order of all shingles. Any order finds
+#: every pair; this one keeps frequent shingles from being looked up.
+FREQUENT, MOST_FREQUENT = 4, 1 << 18
+
+
+def _least_shared(n: int) -> int:
+    """Shingles that a set of ``n`` shares with any set similar enough, at the least."""
+    return math.ceil(NEAR_SIMILARITY * n - 1e-9)
+
+
+def _near_hashes(text: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The words of a text and the distinct hashes of its shingles, ascending."""
+    words = text.lower().split()
+    blocks = [np.unique(h) for h in shingle_hashes(words, NEAR_WORDS)]
+    return words, np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, np.uint64)
+
+
+def _frequent(docs: DataFrame) -> np.ndarray:
+    """Hashes of frequent shingles, the most frequent last."""
+    schema = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2000):
+            hashes = [_near_hashes(t)[1] for t in utf8_of(batch.column(0))]
+            seen, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes]), return_counts=True)
+            often = n >= FREQUENT
+            yield batch_of(schema, [seen[often].view(np.int64), n[often]])
+
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "hash long, n long")
+    rows = counted.groupBy("hash").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT).collect()
+    return np.array([r["hash"] for r in reversed(rows)], np.int64).view(np.uint64)
 
 
 def _sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, same, n, f0..f3``: hash of the words, number of shingles, wide fingerprint."""
-    names = [f"f{k}" for k in range(WIDE)]
-    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.string()), ("n", pa.int64()), *[(c, pa.int64()) for c in names]])
+    """``doc_id, same, n, keys``: hash of the words, number of shingles, and the first of them in the common order.
+
+    Of two sets of similarity 0.8 or more, the first ``n - ceil(0.8 n) + 1``
+    elements of each, in any order of all elements, have one in common.
+    """
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("same", pa.string()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())),
+    ])
+    last = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
 
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = last.value
+        by_hash = np.argsort(frequent)
+        ascending = frequent[by_hash]
         for batch in slices(batches, 2000):
-            same, n, wide = [], [], []
+            same, n, keys = [], [], []
             for text in utf8_of(batch.column(1)):
-                words = text.lower().split()
+                words, hashes = _near_hashes(text)
                 same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
-                n.append(len(set(shingles(words, NEAR_WORDS))))
-                hashes = [np.unique(h) for h in shingle_hashes(words, WIDE_WORDS)]
-                wide.append(majority(hashes, WIDE))
-            prints = np.array(wide, np.uint64).reshape(-1, WIDE).view(np.int64)
-            yield batch_of(schema, [batch.column(0), same, n, *prints.T.copy()])
-
-    ddl = "doc_id long, same string, n long, " + ", ".join(f"{c} long" for c in names)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sketch, ddl)
-
-
-def _bands(classes: DataFrame) -> DataFrame:
-    """``key, id``: each fingerprint under every selection of its bits."""
-    picks = np.random.default_rng(42)
-    chosen = np.concatenate([picks.permutation(64 * WIDE)[:BAND_BITS] for _ in range(BANDS)])
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64())])
-
-    def select(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 5000):
-            prints = np.stack([batch.column(k + 1).to_numpy() for k in range(WIDE)], axis=1)
-            bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")[:, chosen]
-            values = np.ascontiguousarray(np.packbits(bits, axis=1)).view(np.uint32).astype(np.int64)
-            keys = values + (np.arange(BANDS, dtype=np.int64) << 32)
-            ids = np.repeat(batch.column(0).to_numpy(), BANDS)
-            yield batch_of(schema, [keys.ravel(), ids])
-
-    return classes.select("id", *[f"f{k}" for k in range(WIDE)]).mapInArrow(select, "key long, id long")
-
-
-def _on_ring() -> Column:
-    """The pigeonring condition on two wide fingerprints (structs x and y)."""
-    differ = [F.col(f"x.f{k}").bitwiseXOR(F.col(f"y.f{k}")) for k in range(WIDE)]
-    each = 64 * WIDE // WIDE_SEGMENTS
-    counts = [
-        F.bit_count(F.shiftrightunsigned(differ[s * each // 64], s * each % 64).bitwiseAND(F.lit((1 << each) - 1)))
-        for s in range(WIDE_SEGMENTS)
-    ]
-    # a chain from here on keeps its budgets if no prefix sum of (count - budget)
-    # is above 0; twice around the ring
-    surplus = F.transform(F.array(*counts, *counts), lambda c: c * WIDE_SEGMENTS - WIDE_DISTANCE)
-    starts = F.transform(
-        F.sequence(F.lit(1), F.lit(WIDE_SEGMENTS)),
-        lambda at: F.aggregate(
-            F.slice(surplus, at, WIDE_SEGMENTS),
-            F.struct(F.lit(0).alias("sum"), F.lit(True).alias("ok")),
-            lambda a, c: F.struct((a["sum"] + c).alias("sum"), (a["ok"] & (a["sum"] + c <= 0)).alias("ok")),
-        )["ok"],
+                n.append(len(hashes))
+                rank = np.zeros(len(hashes), np.int64)
+                if len(ascending):
+                    at = np.minimum(np.searchsorted(ascending, hashes), len(ascending) - 1)
+                    rank = np.where(ascending[at] == hashes, by_hash[at] + 1, 0)
+                first = np.argsort(rank, kind="stable")[: len(hashes) - _least_shared(len(hashes)) + 1]
+                keys.append(hashes[first].view(np.int64))
+            yield batch_of(schema, [batch.column(0), same, n, keys])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        sketch, "doc_id long, same string, n long, keys array<long>"
+    )
+
+
+def _can_be_similar(x: str, y: str) -> Column:
+    """Whether two members of a bucket may be similar, by their sizes and the places of the common shingle.
+
+    At most the lesser number of shingles before the places and from them on is shared.
+    """
+    size = lambda side, name: F.col(f"{side}.{name}")
+    small, great = F.least(size(x, "n"), size(y, "n")), F.greatest(size(x, "n"), size(y, "n"))
+    shared = F.least(size(x, "at"), size(y, "at")) + F.least(
+        size(x, "n") - size(x, "at"), size(y, "n") - size(y, "at")
+    )
+    # shared / (n + n - shared) >= similarity, less a little for rounding
+    return (small >= NEAR_SIMILARITY * great - 1e-6) & (
+        shared * (1 + NEAR_SIMILARITY) >= NEAR_SIMILARITY * (small + great) - 1e-6
     )
-    return F.exists(starts, lambda ok: ok)
 
 
 def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -260,6 +275,45 @@ def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(compare, "a long, b long")
 
 
+def _star(members: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: one member of each bucket, another one each turn, with those not yet linked to it."""
+    order = F.xxhash64(F.lit(turn), "id") if turn else F.col("id")
+    lead = F.min(F.struct(order.alias("order"), "id", "n", "at", "component")).alias("x")
+    apart = (F.col("x.component") != F.col("y.component")) & _can_be_similar("x", "y")
+    return (
+        members.select("key", F.struct("id", "n", "at", "component").alias("y"))
+        .join(members.groupBy("key").agg(lead), "key").filter(apart)
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    )
+
+
+def _linked(shared: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, component`` of all classes that are linked, given the buckets ``key, id, n, at``.
+
+    Each bucket is compared with its least member.
+    """
+    spark = docs.sparkSession
+    links = tried = spark.createDataFrame([], "a long, b long")
+    linked, left = spark.createDataFrame([], "node long, component long"), shared
+    for turn in range(1):
+        members = left.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn(
+            "component", F.coalesce("component", "id")
+        )
+        mixed = members.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        mixed = mixed.filter("least <> most").select("key")
+        members = settled(members.join(mixed, "key"), "mixed")
+        if members.isEmpty():
+            break
+        left = members.drop("component")
+        pairs = _star(members, turn)
+        pairs = settled(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            tried = tried.unionByName(pairs)
+            links = links.unionByName(settled(_similar(pairs, docs), "similar"))
+            linked = settled(components(links), "linked")
+    return linked
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """``doc_id, group_id``: the documents that are copies or near copies of others.
 
@@ -267,40 +321,28 @@ def near_copies(docs: DataFrame) -> DataFrame:
     shingles (A-Z lower-cased) is at least 0.8; groups are the connected
     documents, named by their least doc_id.
 
-    Texts of the same words are one class, so copies are never paired. Of the
-    classes, those are candidates that agree in one of 96 selections of 32 bits of
-    a 256-bit SimHash (of two-word shingles, which stay closer to the similarity
-    than five-word ones); a candidate goes on if sizes, pigeonring chains and
-    Hamming distance allow, and is then compared exactly, text against text. In a
-    bucket every class is compared with its least one only, so a bucket of n
-    classes gives n - 1 pairs; whoever misses that one meets others in other
-    buckets. Finding a pair of similarity 0.8 or more is thus likely, not
-    certain; a pair below it is never linked.
+    Texts of the same words are one class, so copies are never paired. Classes
+    meet in buckets, one for each shingle among the first ones of both in a common
+    order of all shingles, rare ones first; a pair similar enough has such a
+    shingle (prefix filter). In a bucket every class is compared with its least one, text
+    against text, unless sizes and places rule the pair out.
 
     Null and empty texts are copies of each other. Rows without a doc_id take no
     part. Rows that repeat a doc_id are one document.
     """
-    sketches = settled(_sketch(docs.filter(F.col("doc_id").isNotNull())), "sketches")
-    wide = [f"f{k}" for k in range(WIDE)]
+    docs = docs.filter(F.col("doc_id").isNotNull())
+    sketches = settled(_sketch(docs), "sketches")
     classes = settled(
-        sketches.groupBy("same").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", *wide)]),
+        sketches.groupBy("same").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys")]),
         "classes",
     )
+    placed = classes.select("id", "n", F.posexplode("keys").alias("at", "key"))
     buckets = settled(
-        _bands(classes).groupBy("key")
-        .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("m"))
-        .filter("m > 1 and least <> most"),
+        placed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+        .filter("least <> most").select("key"),
         "buckets",
     )
-    two = buckets.filter("m = 2").select(F.col("least").alias("a"), F.col("most").alias("b"))
-    more = buckets.filter("m > 2").select("key", F.col("least").alias("a"))
-    many = _bands(classes).join(more, "key").select("a", F.col("id").alias("b")).filter("a <> b")
-    side = lambda name, key: classes.select(F.col("id").alias(key), F.struct("n", *wide).alias(name))
-    candidates = two.unionByName(many).distinct().join(side("x", "a"), "a").join(side("y", "b"), "b")
-    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in wide), F.lit(0))
-    sizes = F.least("x.n", "y.n") >= NEAR_SIMILARITY * F.greatest("x.n", "y.n")
-    candidates = candidates.filter(sizes).filter(_on_ring()).filter(apart <= WIDE_DISTANCE).select("a", "b")
-    linked = components(_similar(candidates, docs))
+    linked = _linked(settled(placed.join(buckets, "key"), "shared"), docs)
     named = classes.join(linked, classes["id"] == linked["node"], "left").select(
         "same", F.coalesce("component", "id").alias("group_id"), F.col("component").isNotNull().alias("linked")
     )

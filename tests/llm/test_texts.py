@@ -174,6 +174,27 @@ def test_a_great_group_of_near_copies(spark):
     assert groups <= len(kept) <= groups + 12
 
 
+def blocks_replaced(rng, words, share):
+    """A text with one part of it replaced, and one with a part appended."""
+    fresh = lambda n: ["".join(rng.choices("ijklmnop", k=5)) for _ in range(n)]
+    n, at = round(share * len(words)), rng.randrange(len(words) // 2)
+    return [*words[:at], *fresh(n), *words[at + n :]], [*words, *fresh(2 * n)]
+
+
+def test_replaced_and_appended_blocks_are_found(spark):
+    rng = random.Random(15)
+    texts = []
+    for k in range(300):
+        words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(rng.randrange(200, 400))]
+        replaced, appended = blocks_replaced(rng, words, 0.09)
+        texts += [" ".join(words), " ".join(replaced if k % 2 else appended)]
+    links = [(k, k + 1) for k in range(0, len(texts), 2) if jaccard(texts[k], texts[k + 1]) >= 0.8]
+    want = union(range(len(texts)), links)
+    kept = {r["doc_id"] for r in simhash.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert len(links) > 200
+    assert kept == {d for d, c in want.items() if d == c}
+
+
 def test_near_copies_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None, "a"), (2, "", "b"), (3, "one two", "c"), (4, "One  two", "d"), (4, "One  two", "d"), (5, "six", "e"),
