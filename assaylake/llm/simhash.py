@@ -173,6 +173,9 @@ NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 #: most frequent of them come last in the order of all shingles. Any order finds
 #: every pair; this one keeps frequent shingles from being looked up.
 FREQUENT, MOST_FREQUENT = 4, 1 << 18
+#: Rounds in which a bucket is compared with one member of it, before all that
+#: is still unlinked in it is compared with all others; and the size of a block.
+STAR_ROUNDS, BLOCK_ROWS = 3, 256
 
 
 def _least_shared(n: int) -> int:
@@ -287,15 +290,39 @@ def _star(members: DataFrame, turn: int) -> DataFrame:
     )
 
 
+def _all_apart(members: DataFrame) -> DataFrame:
+    """``a, b``: all members of a bucket that are not linked yet and may be similar.
+
+    A bucket is cut into blocks, and each pair of blocks is a group of its own, so
+    a great bucket is spread over many tasks.
+    """
+    blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    cut = members.join(blocks, "key").select(
+        "key", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("mine"),
+        F.struct("id", "n", "at", "component").alias("m"),
+    )
+    # in the pair (i, j) of blocks, i <= j, a member of i is on the left, one of j on the right
+    left = cut.select("key", F.col("mine").alias("i"), F.explode(F.sequence("mine", F.col("blocks") - 1)).alias("j"),
+                      F.col("m").alias("x"))
+    right = cut.select("key", F.explode(F.sequence(F.lit(0), "mine")).alias("i"), F.col("mine").alias("j"),
+                       F.col("m").alias("y"))
+    apart = (F.col("x.component") != F.col("y.component")) & _can_be_similar("x", "y")
+    once = (F.col("i") < F.col("j")) | (F.col("x.id") < F.col("y.id"))
+    return left.join(right, ["key", "i", "j"]).filter(once & apart).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
+    ).distinct()
+
+
 def _linked(shared: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, component`` of all classes that are linked, given the buckets ``key, id, n, at``.
 
-    Each bucket is compared with its least member.
+    What is linked already need not be compared. So each bucket is first compared
+    with one member at a time, and then every pair in it that is still apart.
     """
     spark = docs.sparkSession
     links = tried = spark.createDataFrame([], "a long, b long")
     linked, left = spark.createDataFrame([], "node long, component long"), shared
-    for turn in range(1):
+    for turn in range(STAR_ROUNDS + 1):
         members = left.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn(
             "component", F.coalesce("component", "id")
         )
@@ -305,7 +332,7 @@ def _linked(shared: DataFrame, docs: DataFrame) -> DataFrame:
         if members.isEmpty():
             break
         left = members.drop("component")
-        pairs = _star(members, turn)
+        pairs = _star(members, turn) if turn < STAR_ROUNDS else _all_apart(members)
         pairs = settled(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tried = tried.unionByName(pairs)
@@ -324,8 +351,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
     Texts of the same words are one class, so copies are never paired. Classes
     meet in buckets, one for each shingle among the first ones of both in a common
     order of all shingles, rare ones first; a pair similar enough has such a
-    shingle (prefix filter). In a bucket every class is compared with its least one, text
-    against text, unless sizes and places rule the pair out.
+    shingle (prefix filter). In a bucket all pairs are compared, text against text,
+    unless sizes and places rule them out or they are in one group already. To
+    have few pairs in great groups, buckets are compared with single members
+    first. So no pair of similarity 0.8 or more is lost, and none below it linked.
+    Many texts that share their rare shingles and are still not similar are
+    compared with each other, pair by pair.
 
     Null and empty texts are copies of each other. Rows without a doc_id take no
     part. Rows that repeat a doc_id are one document.

@@ -195,6 +195,37 @@ def test_replaced_and_appended_blocks_are_found(spark):
     assert kept == {d for d, c in want.items() if d == c}
 
 
+def test_near_copies_within_a_family_are_found(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 16, raising=False)
+    rng = random.Random(16)
+    draw = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    template, texts = draw(160), []
+    for _ in range(100):
+        own = draw(34)
+        texts += [[*template, *own], [*template, *own[:-12], *draw(12)]]
+    texts = [" ".join(t) for t in texts]
+    links = [(a, b) for a, b in combinations(range(len(texts)), 2) if jaccard(texts[a], texts[b]) >= 0.8]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {r["doc_id"]: r["group_id"] for r in simhash.near_copies(docs).collect()}
+    want = union(range(len(texts)), links)
+    assert len(links) >= 100 and len(set(want.values())) > 50
+    assert got == {d: c for d, c in want.items() if any(d in link for link in links)}
+
+
+def test_a_pair_is_found_whose_buckets_have_another_least_member(spark):
+    rng = random.Random(17)
+    draw = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    texts = []
+    for _ in range(30):
+        words = draw(200)
+        texts += [[*words, *draw(120)], words, [*words[:150], *draw(10), *words[160:]]]
+    texts = [" ".join(t) for t in texts]
+    got = {r["doc_id"] for r in simhash.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    for k in range(0, len(texts), 3):
+        assert jaccard(texts[k], texts[k + 1]) < 0.8 <= jaccard(texts[k + 1], texts[k + 2])
+    assert got == {k for k in range(len(texts)) if k % 3 < 2}
+
+
 def test_near_copies_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None, "a"), (2, "", "b"), (3, "one two", "c"), (4, "One  two", "d"), (4, "One  two", "d"), (5, "six", "e"),
