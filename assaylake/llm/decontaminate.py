@@ -2,7 +2,8 @@
 
 Words of a text that a question may be re-parameterised by are replaced by typed
 placeholders: numbers, names (capitalised inside a sentence) and units (after a
-number). Windows of the template are joined by hash with the windows of the
+number). A capitalised word that opens a sentence may be a name or not, so windows
+are taken under both readings of each. Windows of the template are joined by hash with the windows of the
 benchmark's templates, so that "Tom has 3 kg" finds "Ann has 7 lb". What stood in the
 slots is then compared: along one alignment each value of the benchmark must stand
 for one value of the document, and the other way round.
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.llm.common import batch_of, byte_slices, texts_of
-from assaylake.llm.wordscan import DIGIT, LOWER, UPPER, Prefix, Words, word_hash
+from assaylake.llm.wordscan import DIGIT, LOWER, UPPER, Prefix, Words, mix, powers, word_hash
 from assaylake.session import settled
 
 #: Template words in a window; a shorter item is one window of its own length.
@@ -42,8 +43,9 @@ NUMBER, NAME, UNIT = (np.uint64(k) for k in (1, 2, 3))
 
 _WINDOWS = pa.schema([
     ("id", pa.int64()), ("at", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64())),
+    ("plain", pa.bool_()),
 ])
-_WINDOWS_DDL = "id long, at long, hash long, slots array<long>"
+_WINDOWS_DDL = "id long, at long, hash long, slots array<long>, plain boolean"
 
 
 class Templates:
@@ -62,6 +64,7 @@ class Templates:
         before = np.where(words.first > 0, seen[words.first - 1], -1) if len(words) else words.first
         opens = np.isin(points[np.maximum(before, 0)], [0, *map(ord, ".!?:;\n\r\t\"“”«»([|")]) | (before < 0)
         name = upper & ~opens & ~number
+        maybe = upper & opens & ~number
         after_number = np.r_[False, number[:-1] & (words.text[1:] == words.text[:-1])] if len(words) else number
         unit = after_number.copy()
         unit[after_number] = np.isin(self.hashes[after_number], np.array([word_hash(u) for u in UNITS], np.uint64))
@@ -69,49 +72,67 @@ class Templates:
         self.values = np.select([number, name, unit], [NUMBER, NAME, UNIT], self.hashes)
         self._prefix = Prefix(self.values)
         self._slots = np.r_[0, np.cumsum(self.slot)]
-        self._slot_values = self.hashes[self.slot].view(np.int64)
-
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """First words of the windows with enough literals, and their hashes."""
+        # words that are literals by default, and names under another reading
+        maybe &= ~self.slot
+        self._maybe = np.flatnonzero(maybe)
+        self._maybes = np.r_[0, np.cumsum(maybe)]
+        self._turn = (NAME - self.hashes[self._maybe]) * powers(len(self.words) + 1)[0][self._maybe]
+
+    def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """First words of the windows with enough literals, their hashes, and the reading.
+
+        In reading r the k-th word of a window that may be a name is one if bit k
+        of r is set. Reading 0 has all windows, others those with so many such words.
+        """
         start = np.arange(max(0, len(self.words) - size + 1))
         start = start[self.words.text[start] == self.words.text[start + size - 1]]
-        slots = self._slots[start + size] - self._slots[start]
-        start = start[size - slots >= LEAST_LITERALS]
-        return start, self._prefix.runs(start, start + size).view(np.int64) + size
-
-    def slots_in(self, start: int, size: int) -> np.ndarray:
-        return self._slot_values[self._slots[start] : self._slots[start + size]]
+        literals = size - (self._slots[start + size] - self._slots[start])
+        maybes = self._maybes[start + size] - self._maybes[start]
+        for reading in range(1 << int(maybes.max(initial=0))):
+            on = (maybes >= reading.bit_length()) & (literals - reading.bit_count() >= LEAST_LITERALS)
+            if not on.any():
+                continue
+            first = start[on]
+            sums = self._prefix.sums[first + size] - self._prefix.sums[first]
+            for k in range(reading.bit_length()):
+                if reading >> k & 1:
+                    sums = sums + self._turn[self._maybes[first] + k]
+            yield first, mix(sums * self._prefix.back[first]).view(np.int64) + size, reading
+
+    def slots_in(self, start: int, size: int, reading: int) -> np.ndarray:
+        slot = self.slot[start : start + size]
+        if reading:
+            slot = slot.copy()
+            for k in range(reading.bit_length()):
+                if reading >> k & 1:
+                    slot[self._maybe[self._maybes[start] + k] - start] = True
+        return self.hashes[start : start + size][slot].view(np.int64)
 
 
 def _rows(templates: Templates, ids: pa.Array, size: int, start: np.ndarray, hashes: np.ndarray,
-          lead: int = 0) -> pa.RecordBatch:
+          reading: int) -> pa.RecordBatch:
     text = templates.words.text[start]
-    at = start - templates.words.bounds[text] - lead
-    slots = [templates.slots_in(s, size) for s in start]
-    return batch_of(_WINDOWS, [ids.take(pa.array(text)), at, hashes, pa.array(slots, pa.list_(pa.int64()))])
+    at = start - templates.words.bounds[text]
+    slots = [templates.slots_in(s, size, reading) for s in start]
+    plain = np.full(len(start), reading == 0)
+    return batch_of(_WINDOWS, [ids.take(pa.array(text)), at, hashes, pa.array(slots, pa.list_(pa.int64())), plain])
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``id, at, hash, slots, size`` of every window of the benchmark's items.
+    """``id, at, hash, slots, plain, size`` of every window of the benchmark's items.
 
-    The first word of an item may stand inside a sentence of a document, and be a
-    name there, so the window at 0 is also taken as if a word went before it.
+    ``plain``: no word that opens a sentence is read as a name.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
-            texts = texts_of(batch.column(1))
-            for lead in (0, 1):
-                templates = Templates(["x " + t for t in texts] if lead else texts)
-                bounds = templates.words.bounds
-                n_words = np.diff(bounds) - lead
-                for size in range(LEAST_WORDS, window + 1):
-                    start, hashes = templates.windows(size)
+            templates = Templates(texts_of(batch.column(1)))
+            n_words = np.diff(templates.words.bounds)
+            for size in range(LEAST_WORDS, window + 1):
+                for start, hashes, reading in templates.windows(size):
                     text = templates.words.text[start]
                     mine = n_words[text] >= window if size == window else n_words[text] == size
-                    if lead:
-                        mine &= start == bounds[text] + lead
-                    rows = _rows(templates, batch.column(0), size, start[mine], hashes[mine], lead)
+                    rows = _rows(templates, batch.column(0), size, start[mine], hashes[mine], reading)
                     yield rows.append_column("size", pa.array(np.full(rows.num_rows, size, np.int64)))
 
     return items.filter("item_id is not null").select(
@@ -128,16 +149,17 @@ def _filter(hashes: Iterator[int]) -> bytes:
 
 
 def document_windows(docs: DataFrame, sizes: list[int], wanted) -> DataFrame:
-    """``id, at, hash, slots`` of the documents' windows that pass the filter."""
+    """``id, at, hash, slots, plain`` of the documents' windows that pass the filter."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
         for batch in byte_slices(batches, "text"):
             templates = Templates(texts_of(batch.column(1)))
             for size in sizes:
-                start, hashes = templates.windows(size)
-                hit = bits[hashes & ((1 << FILTER_BITS) - 1)]
-                yield _rows(templates, batch.column(0), size, start[hit], hashes[hit])
+                for start, hashes, reading in templates.windows(size):
+                    hit = bits[hashes & ((1 << FILTER_BITS) - 1)]
+                    if hit.any():
+                        yield _rows(templates, batch.column(0), size, start[hit], hashes[hit], reading)
 
     return docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long"), F.col("text").cast("string")
@@ -162,9 +184,9 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: flo
     sizes = [r["size"] for r in asked.select("size").distinct().collect()]  # ten at the most
     hashes = (r["hash"] for r in asked.select("hash").distinct().toLocalIterator())
     wanted = spark.sparkContext.broadcast(_filter(hashes))
-    found = document_windows(docs, sizes, wanted).select(F.col("id").alias("doc_id"), "at", "hash", "slots")
+    found = document_windows(docs, sizes, wanted).withColumnsRenamed({"id": "doc_id", "plain": "doc_plain"})
     items_side = asked.select(
-        F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots")
+        F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "plain"
     )
     met = settled(
         found.join(items_side, "hash")
@@ -173,18 +195,27 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: flo
             "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at",
             F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("i"), d.alias("d"))).alias("slots"),
             (F.col("slots") == F.col("item_slots")).alias("own"),
+            (F.col("plain") & F.col("doc_plain")).alias("plain"),
         ).distinct(),
         "met",
     )
     along = ["doc_id", "item_id", "shift"]
-    values = met.filter(F.size("slots") > 0).select(*along, F.explode("slots").alias("s")).distinct()
-    related = values.groupBy(*along).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct("s.i").alias("n_i"),
-        F.count_distinct("s.d").alias("n_d"),
-    ).select(*along, ((F.col("n") == F.col("n_i")) & (F.col("n") == F.col("n_d"))).alias("consistent"))
-    kept = met.join(related, along, "left").filter(F.coalesce("consistent", F.lit(True)) | F.col("own"))
-    by_shift = kept.groupBy(*along).agg(F.count_distinct("item_at").alias("n"), F.min("own").alias("own"))
+
+    def consistent(met: DataFrame) -> DataFrame:
+        values = met.filter(F.size("slots") > 0).select(*along, F.explode("slots").alias("s")).distinct()
+        related = values.groupBy(*along).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_distinct("s.i").alias("n_i"),
+            F.count_distinct("s.d").alias("n_d"),
+        ).select(*along, ((F.col("n") == F.col("n_i")) & (F.col("n") == F.col("n_d"))).alias("consistent"))
+        kept = met.join(related, along, "left").filter(F.coalesce("consistent", F.lit(True)) | F.col("own"))
+        return kept.select(*along, "item_at", "own")
+
+    # names that open sentences may add windows, and take away none
+    kept = consistent(met).unionByName(consistent(met.filter("plain")))
+    # a window is the item's own if it is so under one of its readings
+    windows = kept.groupBy(*along, "item_at").agg(F.max("own").alias("own"))
+    by_shift = windows.groupBy(*along).agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("own"))
     totals = asked.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("item_windows"))
     counted = kept.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n_windows"))
     whole = by_shift.join(totals, "item_id").groupBy("doc_id", "item_id").agg(

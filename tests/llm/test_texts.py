@@ -283,6 +283,19 @@ def test_leaks_against_brute_force(spark, documents, texts):
     assert want and got == want
 
 
+def test_names_that_open_sentences_are_names_too(spark):
+    short = "Ann has 7 lb of red apples today"
+    story = "{0} has 3 apples. {0} buys 2 more apples. How many apples does {0} have?"
+    texts = [
+        "Tom has 3 kg of red apples today", "we know that Tom has 3 kg of red apples today", story.format("Ann"),
+        "Tom has 3 apples. Ann buys 2 more apples. How many apples does Eve have?", "so " + story.format("Ann"),
+    ]
+    got = found(spark, texts, [short, story.format("Tom")])
+    assert set(got) == {(0, 0), (1, 0), (2, 1), (4, 1)}
+    assert not any(r["exact"] for r in got.values())
+    assert found(spark, [story.format("Tom")], [story.format("Tom")])[0, 0]["exact"]
+
+
 def test_leaks_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None), (2, ""), (3, QUESTION), (3, QUESTION), (None, QUESTION), (4, "word " * 30000 + QUESTION)], DOCS
