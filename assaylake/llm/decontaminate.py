@@ -6,12 +6,14 @@ number). A capitalised word that opens a sentence may be a name or not, so windo
 are taken under both readings of each. Windows of the template are joined by hash with the windows of the
 benchmark's templates, so that "Tom has 3 kg" finds "Ann has 7 lb". What stood in the
 slots is then compared: along one alignment each value of the benchmark must stand
-for one value of the document, and the other way round.
+for one value of the document, and the other way round. Beside that, any run of ten
+words of an item that a document has word for word is a find, whatever its words are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +26,9 @@ from assaylake.session import settled
 
 #: Template words in a window; a shorter item is one window of its own length.
 WINDOW = 10
-#: Shorter items are not searched for, nor windows with fewer literal words.
+#: Shorter items have no template, nor windows with fewer literal words.
 LEAST_WORDS, LEAST_LITERALS = 5, 5
-#: Share of an item's windows that a document must have.
+#: Share of an item's template windows that a document must have.
 COVERAGE = 0.5
 #: Words that are units when they follow a number.
 UNITS = (
@@ -40,12 +42,14 @@ UNITS = (
 FILTER_BITS = 24
 
 NUMBER, NAME, UNIT = (np.uint64(k) for k in (1, 2, 3))
+#: Reading of a window word for word, and what its hash is turned by.
+VERBATIM, _APART = -1, np.int64(0x5851F42D4C957F2D)
 
 _WINDOWS = pa.schema([
     ("id", pa.int64()), ("at", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64())),
-    ("plain", pa.bool_()),
+    ("plain", pa.bool_()), ("verbatim", pa.bool_()),
 ])
-_WINDOWS_DDL = "id long, at long, hash long, slots array<long>, plain boolean"
+_WINDOWS_DDL = "id long, at long, hash long, slots array<long>, plain boolean, verbatim boolean"
 
 
 class Templates:
@@ -70,7 +74,7 @@ class Templates:
         unit[after_number] = np.isin(self.hashes[after_number], np.array([word_hash(u) for u in UNITS], np.uint64))
         self.slot = number | name | unit
         self.values = np.select([number, name, unit], [NUMBER, NAME, UNIT], self.hashes)
-        self._prefix = Prefix(self.values)
+        self._prefix, self._plain = Prefix(self.values), Prefix(self.hashes)
         self._slots = np.r_[0, np.cumsum(self.slot)]
         # words that are literals by default, and names under another reading
         maybe &= ~self.slot
@@ -99,7 +103,15 @@ class Templates:
                     sums = sums + self._turn[self._maybes[first] + k]
             yield first, mix(sums * self._prefix.back[first]).view(np.int64) + size, reading
 
+    def verbatim(self, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """All windows and the hashes of their words in lower case, in the form of ``windows``."""
+        start = np.arange(max(0, len(self.words) - size + 1))
+        start = start[self.words.text[start] == self.words.text[start + size - 1]]
+        return start, (self._plain.runs(start, start + size).view(np.int64) + size) ^ _APART, VERBATIM
+
     def slots_in(self, start: int, size: int, reading: int) -> np.ndarray:
+        if reading == VERBATIM:
+            return np.zeros(0, np.int64)
         slot = self.slot[start : start + size]
         if reading:
             slot = slot.copy()
@@ -114,22 +126,24 @@ def _rows(templates: Templates, ids: pa.Array, size: int, start: np.ndarray, has
     text = templates.words.text[start]
     at = start - templates.words.bounds[text]
     slots = [templates.slots_in(s, size, reading) for s in start]
-    plain = np.full(len(start), reading == 0)
-    return batch_of(_WINDOWS, [ids.take(pa.array(text)), at, hashes, pa.array(slots, pa.list_(pa.int64())), plain])
+    flags = [np.full(len(start), reading == r) for r in (0, VERBATIM)]
+    return batch_of(_WINDOWS, [ids.take(pa.array(text)), at, hashes, pa.array(slots, pa.list_(pa.int64())), *flags])
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``id, at, hash, slots, plain, size`` of every window of the benchmark's items.
+    """``id, at, hash, slots, plain, verbatim, size`` of every window of the benchmark's items.
 
-    ``plain``: no word that opens a sentence is read as a name.
+    ``plain``: no word that opens a sentence is read as a name. ``verbatim``: the
+    words themselves, all of them if the item is short.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
             templates = Templates(texts_of(batch.column(1)))
             n_words = np.diff(templates.words.bounds)
-            for size in range(LEAST_WORDS, window + 1):
-                for start, hashes, reading in templates.windows(size):
+            for size in range(1, window + 1):
+                templated = templates.windows(size) if size >= LEAST_WORDS else ()
+                for start, hashes, reading in (templates.verbatim(size), *templated):
                     text = templates.words.text[start]
                     mine = n_words[text] >= window if size == window else n_words[text] == size
                     rows = _rows(templates, batch.column(0), size, start[mine], hashes[mine], reading)
@@ -149,14 +163,15 @@ def _filter(hashes: Iterator[int]) -> bytes:
 
 
 def document_windows(docs: DataFrame, sizes: list[int], wanted) -> DataFrame:
-    """``id, at, hash, slots, plain`` of the documents' windows that pass the filter."""
+    """``id, at, hash, slots, plain, verbatim`` of the documents' windows that pass the filter."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
         for batch in byte_slices(batches, "text"):
             templates = Templates(texts_of(batch.column(1)))
             for size in sizes:
-                for start, hashes, reading in templates.windows(size):
+                templated = templates.windows(size) if size >= LEAST_WORDS else ()
+                for start, hashes, reading in chain([templates.verbatim(size)], templated):
                     hit = bits[hashes & ((1 << FILTER_BITS) - 1)]
                     if hit.any():
                         yield _rows(templates, batch.column(0), size, start[hit], hashes[hit], reading)
@@ -175,8 +190,11 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: flo
     difference of places in the two texts. On it, values must be in one-to-one
     relation; if they are not, only windows whose values are the item's own count.
 
-    Items with fewer than five words or five literals have no windows and are
-    never found; null texts have no words, and rows without an id take no part.
+    A run of ten words of the item, or the whole of a shorter item, that a document
+    has word for word (but for case) is a find by itself, even of a single word;
+    if the template's windows are not enough, the row has the verbatim ones.
+    Items with fewer than five words or five literals have no template windows.
+    Null texts have no words, and rows without an id take no part.
     Repeated rows are found once. Empty tables give no rows.
     """
     spark = docs.sparkSession
@@ -184,21 +202,25 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: flo
     sizes = [r["size"] for r in asked.select("size").distinct().collect()]  # ten at the most
     hashes = (r["hash"] for r in asked.select("hash").distinct().toLocalIterator())
     wanted = spark.sparkContext.broadcast(_filter(hashes))
-    found = document_windows(docs, sizes, wanted).withColumnsRenamed({"id": "doc_id", "plain": "doc_plain"})
+    found = document_windows(docs, sizes, wanted).withColumnsRenamed(
+        {"id": "doc_id", "plain": "doc_plain", "verbatim": "doc_verbatim"}
+    )
     items_side = asked.select(
-        F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "plain"
+        F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "plain",
+        "verbatim",
     )
-    met = settled(
+    all_met = settled(
         found.join(items_side, "hash")
-        .filter(F.size("slots") == F.size("item_slots"))
+        .filter((F.size("slots") == F.size("item_slots")) & (F.col("verbatim") == F.col("doc_verbatim")))
         .select(
             "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at",
             F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("i"), d.alias("d"))).alias("slots"),
             (F.col("slots") == F.col("item_slots")).alias("own"),
-            (F.col("plain") & F.col("doc_plain")).alias("plain"),
+            (F.col("plain") & F.col("doc_plain")).alias("plain"), "verbatim",
         ).distinct(),
         "met",
     )
+    met, word_for_word = all_met.filter("not verbatim"), all_met.filter("verbatim")
     along = ["doc_id", "item_id", "shift"]
 
     def consistent(met: DataFrame) -> DataFrame:
@@ -216,17 +238,26 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: flo
     # a window is the item's own if it is so under one of its readings
     windows = kept.groupBy(*along, "item_at").agg(F.max("own").alias("own"))
     by_shift = windows.groupBy(*along).agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("own"))
-    totals = asked.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("item_windows"))
+    each = asked.groupBy(F.col("id").alias("item_id"), "verbatim").agg(F.count_distinct("at").alias("item_windows"))
+    totals, verbatim_totals = (each.filter(c).drop("verbatim") for c in ("not verbatim", "verbatim"))
     counted = kept.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n_windows"))
     whole = by_shift.join(totals, "item_id").groupBy("doc_id", "item_id").agg(
         F.max(F.col("own") & (F.col("n") == F.col("item_windows"))).alias("exact")
     )
     share = F.col("n_windows") / F.col("item_windows")
-    return (
-        counted.join(totals, "item_id").join(whole, ["doc_id", "item_id"])
-        .select("doc_id", "item_id", "n_windows", "item_windows", "exact", share.alias("coverage"))
-        .filter(F.col("coverage") >= coverage)
+    columns = ["doc_id", "item_id", "n_windows", "item_windows", "exact", share.alias("coverage")]
+    templates = counted.join(totals, "item_id").join(whole, ["doc_id", "item_id"]).select(columns)
+    # word for word: all windows along one alignment are the whole item
+    runs = word_for_word.groupBy(*along).agg(F.count_distinct("item_at").alias("n"))
+    longest = runs.groupBy("doc_id", "item_id").agg(F.max("n").alias("n"))
+    verbatim = (
+        word_for_word.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n_windows"))
+        .join(longest, ["doc_id", "item_id"]).join(verbatim_totals, "item_id")
+        .withColumn("exact", F.col("n") == F.col("item_windows")).select(columns)
     )
+    # the template's row if it is enough by itself
+    enough = templates.filter(F.col("coverage") >= coverage)
+    return enough.unionByName(verbatim.join(enough, ["doc_id", "item_id"], "left_anti").select(templates.columns))
 
 
 def drop_leaked(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -296,6 +296,16 @@ def test_names_that_open_sentences_are_names_too(spark):
     assert found(spark, [story.format("Tom")], [story.format("Tom")])[0, 0]["exact"]
 
 
+def test_verbatim_runs_are_found_whatever_their_words(spark):
+    sums = "Compute 12 + 7 * 3 - 4 / 2 using integer arithmetic"
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(59)]
+    texts = [f"Now: {sums}, please.", " ".join(words[:33]), " ".join(words[:9]), "they say Why Not today", "Why, or not"]
+    got = found(spark, texts, [sums, " ".join(words), "why not"])
+    assert set(got) == {(0, 0), (1, 1), (3, 2)}
+    assert got[0, 0]["exact"] and got[0, 0]["coverage"] == 1 and not got[1, 1]["exact"]
+    assert got[1, 1]["n_windows"] == 24 and got[1, 1]["item_windows"] == 50
+
+
 def test_leaks_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None), (2, ""), (3, QUESTION), (3, QUESTION), (None, QUESTION), (4, "word " * 30000 + QUESTION)], DOCS
