@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.llm.common import batch_of, texts_of, with_rank
-from assaylake.llm.tokens import token_ids
+from assaylake.llm.tokens import document_ids
 from assaylake.session import settled
 
 CAPACITY = 2048
@@ -71,7 +71,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = N
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                ids = token_ids(text, vocabulary)
+                ids = document_ids(text, vocabulary)
                 ids.append(END_ID)
                 raw = memoryview(ids.tobytes())
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
@@ -287,7 +287,7 @@ def sequences(docs: DataFrame, packed: DataFrame, vocabulary: str | None = None)
     def slice_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = token_ids(row["text"] or "", vocabulary)
+                ids = document_ids(row["text"] or "", vocabulary)
                 ids.append(END_ID)
                 got = [
                     (s["sequence_id"], s["offset"], row["doc_id"], list(ids[s["start"] : s["start"] + s["length"]]))

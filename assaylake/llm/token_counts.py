@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.llm.common import batch_of, texts_of
-from assaylake.llm.tokens import token_count
+from assaylake.llm.tokens import document_token_count
 from assaylake.session import settled
 
 #: Lengths are summed in blocks of so many, and the blocks among each other, so
@@ -35,7 +35,7 @@ def length_counts(docs: DataFrame, text: str = "text", vocabulary: str | None =
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths = [token_count(x, vocabulary) for x in texts_of(batch.column(0))]
+            lengths = [document_token_count(x, vocabulary) for x in texts_of(batch.column(0))]
             yield batch_of(_COUNTS, np.unique(np.array(lengths, np.int64), return_counts=True))
 
     counted = docs.select(F.col(text).cast("string")).mapInArrow(count, "n_tokens long, n_docs long")

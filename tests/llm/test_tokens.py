@@ -215,3 +215,13 @@ def test_plan_places_every_piece(counts):
             bins[at] += size
     if max(counts.values()) <= 20:
         assert sequences <= 1.2 * len(bins) + 1
+
+
+def test_added_tokens_have_their_own_ids(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  <|endoftext|>  y", "<|endoftext|", "é <|endoftext|>", *ODD]
+    want = dict(enumerate(plain.encode(t, add_special_tokens=False).ids for t in texts))
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    check_packing(packing.pack(docs).collect(), want, lambda ids: ids or [])
+    lengths = {r["n_tokens"]: r["n_docs"] for r in token_counts.token_lengths(docs).collect() if r["n_docs"]}
+    assert lengths == Counter(map(len, want.values()))
