@@ -175,7 +175,7 @@ NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 FREQUENT, MOST_FREQUENT = 4, 1 << 18
 #: Rounds in which a bucket is compared with one member of it, before all that
 #: is still unlinked in it is compared with all others; and the size of a block.
-STAR_ROUNDS, BLOCK_ROWS = 3, 256
+STAR_ROUNDS, BLOCK_ROWS = 1, 256
 
 
 def _least_shared(n: int) -> int:
@@ -353,7 +353,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     order of all shingles, rare ones first; a pair similar enough has such a
     shingle (prefix filter). In a bucket all pairs are compared, text against text,
     unless sizes and places rule them out or they are in one group already. To
-    have few pairs in great groups, buckets are compared with single members
+    have few pairs in great groups, each bucket is compared with one member
     first. So no pair of similarity 0.8 or more is lost, and none below it linked.
     Many texts that share their rare shingles and are still not similar are
     compared with each other, pair by pair.
