@@ -39,7 +39,9 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
-RAW = "script|style|noscript|template|svg|iframe|object|textarea|title|math|canvas|audio|video"
+#: Elements whose content is no text of the page; the first ones run to the end of the page if not closed.
+RAW = "script|style|textarea"
+EMBEDDED = "noscript|template|svg|iframe|object|title|math|canvas|audio|video"
 PARTS = set("nav aside footer header form button select dialog menu fieldset option input".split())
 CONTENT = ("article", "main")
 #: Words in class, id or role of a part that is not content.
@@ -59,7 +61,9 @@ INSIDE_GUESS = 0.005
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + RAW + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>" + RAW + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<closed>svg|math)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*+(?<=/)>"
+    r"|<(?P<embedded>" + EMBEDDED + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?</(?P=embedded)\s*>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<[!?/][^>]*>"
     r"|(?P<text>[^<]+|<)",
@@ -113,7 +117,7 @@ def tokens(html: str) -> Iterator[Token]:
         if (text := m["text"]) is not None:
             yield Token("", text, out, marked)
             continue
-        if m["raw"]:
+        if m["raw"] or m["closed"] or m["embedded"]:
             yield Token("raw", " ", True, marked)
             continue
         if not m["name"]:

@@ -245,6 +245,20 @@ def test_the_region_is_the_best_of_all_runs():
         )
 
 
+@pytest.mark.parametrize("between", [
+    '<svg class="i"/>', "<math/>", '<svg-icon name="x"></svg-icon>', "<video-player></video-player>", "<template-x></template-x>",
+    "<svg><text>no</text></svg>", "<object data='x'>no</object>", "<video src='x'>", "<script>no</script>", "<script-x></script-x>",
+])
+def test_text_after_embedded_elements_stays(between):
+    html = f"<article><p>one two</p>{between}<p>three four</p></article>"
+    assert html_mss.main_text(html, html_mss.tag_weights({})) == "one two three four"
+
+
+def test_unclosed_scripts_run_to_the_end():
+    html = "<article><p>one two</p><script>var x = '<p>no</p>'"
+    assert html_mss.main_text(html, html_mss.tag_weights({})) == "one two"
+
+
 def test_pages_of_odd_rows(spark):
     pages = spark.createDataFrame(
         [(1, "u", None), (2, None, ""), (None, "v", f"<article>{BODY}</article>"), (3, "w", "<p>" + "word " * 200000),
