@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,12 +52,27 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def settled(df: DataFrame, purpose: str) -> DataFrame:
     """The frame, computed once and read back from the scratch folder.
 
-    For small intermediate results that a plan uses several times. Nothing is
+    For intermediate results that a plan uses several times. Nothing is
     recomputed if an executor is lost, and the size is known to the planner.
+    The folder stays until ``release`` or the end of the session.
     """
     path = scratch_path(df.sparkSession, purpose)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[back] = path
+    return back
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of settled frames that no frame still to be computed reads."""
+    for df in frames:
+        if folder := _folders.pop(df, None):
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
