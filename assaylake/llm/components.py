@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.session import settled
+from assaylake.session import release, settled
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -39,8 +39,9 @@ def components(links: DataFrame) -> DataFrame:
     mark = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1000003))
     last = None
     while (now := links.agg(mark.alias("m")).first()["m"]) != last:
-        last = now
+        last, before = now, links
         links = settled(_small_star(_large_star(links)), "links")
+        release(before)
     # stars now: every node has one link, to the least node
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

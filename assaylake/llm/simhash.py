@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from assaylake.llm.common import batch_of, slices, utf8_of
 from assaylake.llm.components import components
-from assaylake.session import settled
+from assaylake.session import release, settled
 
 SEGMENTS = 4
 SEGMENT_BITS = 16
@@ -206,14 +206,22 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     return np.array([r["hash"] for r in reversed(rows)], np.int64).view(np.uint64)
 
 
+def _marks(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap of the set, of two to four bits for each element: whether an odd number of them falls on a bit."""
+    bits = 64 << max(0, math.ceil(math.log2(max(1, len(hashes)) / 32)))
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, same, n, keys``: hash of the words, number of shingles, and the first of them in the common order.
+    """``doc_id, same, n, keys, marks``: hash of the words, number of shingles, the first of them in the common order, bitmap.
 
     Of two sets of similarity 0.8 or more, the first ``n - ceil(0.8 n) + 1``
     elements of each, in any order of all elements, have one in common.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("same", pa.string()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())),
+        ("marks", pa.list_(pa.int64())),
     ])
     last = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
 
@@ -222,7 +230,7 @@ def _sketch(docs: DataFrame) -> DataFrame:
         by_hash = np.argsort(frequent)
         ascending = frequent[by_hash]
         for batch in slices(batches, 2000):
-            same, n, keys = [], [], []
+            same, n, keys, marks = [], [], [], []
             for text in utf8_of(batch.column(1)):
                 words, hashes = _near_hashes(text)
                 same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
@@ -233,10 +241,11 @@ def _sketch(docs: DataFrame) -> DataFrame:
                     rank = np.where(ascending[at] == hashes, by_hash[at] + 1, 0)
                 first = np.argsort(rank, kind="stable")[: len(hashes) - _least_shared(len(hashes)) + 1]
                 keys.append(hashes[first].view(np.int64))
-            yield batch_of(schema, [batch.column(0), same, n, keys])
+                marks.append(_marks(hashes))
+            yield batch_of(schema, [batch.column(0), same, n, keys, marks])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sketch, "doc_id long, same string, n long, keys array<long>"
+        sketch, "doc_id long, same string, n long, keys array<long>, marks array<long>"
     )
 
 
@@ -256,11 +265,42 @@ def _can_be_similar(x: str, y: str) -> Column:
     )
 
 
-def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets of shingles are similar enough, by the whole texts."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+def _near_by_marks(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps differ in no more bits than similar sets may differ in elements.
+
+    Each bit that differs stands for at least one element that only one of the
+    sets has, so nothing similar is lost. Sizes of similar sets differ by a quarter
+    at the most, so one bitmap is at most twice as long; its halves are then added.
+    """
+    sized = classes.select("id", "n", "marks")
+    both = (
+        pairs.join(sized.toDF("a", "left_n", "left"), "a").join(sized.toDF("b", "right_n", "right"), "b")
+    )
+
+    def folded(mine: str, other: str) -> Column:
+        half = F.greatest(F.lit(1), F.floor(F.size(mine) / 2).cast("int"))
+        halves = F.zip_with(F.slice(mine, 1, half), F.slice(mine, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(mine) > F.size(other), halves).otherwise(F.col(mine))
+
+    bits = F.zip_with(folded("left", "right"), folded("right", "left"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    most = (1 - NEAR_SIMILARITY) * (F.col("left_n") + F.col("right_n"))
+    return both.filter(differ * (1 + NEAR_SIMILARITY) <= most + 1e-6).select("a", "b")
+
+
+def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sets of shingles are similar enough.
+
+    Bitmaps leave few pairs besides the similar ones; these are compared by the whole texts.
+    """
+    near = settled(_near_by_marks(pairs, classes), "near")
+    ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # a repeated doc_id would be compared again
+    texts = docs.join(ids, "doc_id", "left_semi").select(
+        F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
+    )
     both = (
-        pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
+        near.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
         .select("a", "b", "left", "right")
     )
@@ -275,7 +315,9 @@ def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 keep.append(shared >= NEAR_SIMILARITY * (len(x) + len(y) - shared))
             yield batch_of(schema, [batch.column(0), batch.column(1)]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(compare, "a long, b long")
+    found = settled(both.mapInArrow(compare, "a long, b long"), "similar")
+    release(near)
+    return found
 
 
 def _star(members: DataFrame, turn: int) -> DataFrame:
@@ -313,7 +355,7 @@ def _all_apart(members: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _linked(shared: DataFrame, docs: DataFrame) -> DataFrame:
+def _linked(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, component`` of all classes that are linked, given the buckets ``key, id, n, at``.
 
     What is linked already need not be compared. So each bucket is first compared
@@ -329,6 +371,7 @@ def _linked(shared: DataFrame, docs: DataFrame) -> DataFrame:
         mixed = members.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
         mixed = mixed.filter("least <> most").select("key")
         members = settled(members.join(mixed, "key"), "mixed")
+        release(left)
         if members.isEmpty():
             break
         left = members.drop("component")
@@ -336,8 +379,9 @@ def _linked(shared: DataFrame, docs: DataFrame) -> DataFrame:
         pairs = settled(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tried = tried.unionByName(pairs)
-            links = links.unionByName(settled(_similar(pairs, docs), "similar"))
+            links = links.unionByName(_similar(pairs, classes, docs))
             linked = settled(components(links), "linked")
+    release(members)
     return linked
 
 
@@ -352,7 +396,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     meet in buckets, one for each shingle among the first ones of both in a common
     order of all shingles, rare ones first; a pair similar enough has such a
     shingle (prefix filter). In a bucket all pairs are compared, text against text,
-    unless sizes and places rule them out or they are in one group already. To
+    unless sizes, places and bitmaps rule them out or they are in one group already. To
     have few pairs in great groups, each bucket is compared with one member
     first. So no pair of similarity 0.8 or more is lost, and none below it linked.
     Many texts that share their rare shingles and are still not similar are
@@ -364,22 +408,25 @@ def near_copies(docs: DataFrame) -> DataFrame:
     docs = docs.filter(F.col("doc_id").isNotNull())
     sketches = settled(_sketch(docs), "sketches")
     classes = settled(
-        sketches.groupBy("same").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys")]),
+        sketches.groupBy("same").agg(
+            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys", "marks")]
+        ),
         "classes",
     )
+    same = settled(sketches.select("doc_id", "same"), "same")
+    release(sketches)
     placed = classes.select("id", "n", F.posexplode("keys").alias("at", "key"))
-    buckets = settled(
-        placed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-        .filter("least <> most").select("key"),
-        "buckets",
-    )
-    linked = _linked(settled(placed.join(buckets, "key"), "shared"), docs)
+    buckets = placed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    shared = settled(placed.join(buckets.filter("least <> most").select("key"), "key"), "shared")
+    linked = _linked(shared, classes, docs)
     named = classes.join(linked, classes["id"] == linked["node"], "left").select(
         "same", F.coalesce("component", "id").alias("group_id"), F.col("component").isNotNull().alias("linked")
     )
-    return sketches.select("doc_id", "same").join(named, "same").filter("linked or doc_id <> group_id").select(
-        "doc_id", "group_id"
-    ).distinct()
+    groups = settled(
+        same.join(named, "same").filter("linked or doc_id <> group_id").select("doc_id", "group_id").distinct(), "groups"
+    )
+    release(same, classes, linked)
+    return groups
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
@@ -388,10 +435,10 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     The least doc_id of a group stays. All columns stay as they are. A repeated
     doc_id is left with one row; rows without a doc_id stay.
     """
-    gone = near_copies(docs).filter("doc_id <> group_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1 and doc_id is not null")
     again = settled(again.select("doc_id"), "repeated")
+    gone = settled(near_copies(docs).filter("doc_id <> group_id").select("doc_id").distinct(), "gone")
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     once = left.join(again, "doc_id", "left_anti").select(docs.columns)
     first = left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
     return once.unionByName(first)

@@ -9,6 +9,7 @@ from verification.compare import connect, differences
 
 import __spark_entry__ as entry
 from assaylake.llm import cuckoo_lines, importance, oracles, packing, queries
+from assaylake.session import settled
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,19 +54,19 @@ def test_pipeline_stage_by_stage(spark):
     assert names == ("quality", "lines", "near_duplicates", "decontamination", "packing")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
 
-    good = stages[0](spark, docs, SF)
+    good = settled(stages[0](spark, docs, SF), "test")
     assert good.columns == docs.columns
     chosen = importance.resample(docs, labels).filter("selected")
     assert ids(good) == ids(chosen)
 
-    cut = stages[1](spark, good, SF)
+    cut = settled(stages[1](spark, good, SF), "test")
     assert cut.columns == docs.columns
     want = {r["doc_id"]: r["text"] for r in cuckoo_lines.dedupe_lines(good).collect()}
     assert {r["doc_id"]: r["text"] for r in cut.collect()} == want
     assert all(r["n_chars"] == len(r["text"]) for r in cut.collect())
 
     texts = {r["doc_id"]: r["text"] for r in cut.collect()}
-    once = stages[2](spark, cut, SF)
+    once = settled(stages[2](spark, cut, SF), "test")
     assert once.columns == docs.columns
     shingles = {}
     for d, t in texts.items():
@@ -77,16 +78,16 @@ def test_pipeline_stage_by_stage(spark):
     for d in gone:  # only documents with a near copy go
         assert any(similar(shingles[d], shingles[o]) for o in texts if o != d)
     left = sorted(kept)
-    twins = [(a, b) for k, a in enumerate(left) for b in left[k + 1 :] if similar(shingles[a], shingles[b])]
-    assert len(twins) <= 0.1 * len(gone) + 1
+    assert [(a, b) for k, a in enumerate(left) for b in left[k + 1 :] if similar(shingles[a], shingles[b])] == []
 
-    clean = stages[3](spark, once, SF)
+    clean = settled(stages[3](spark, once, SF), "test")
     assert clean.columns == docs.columns
     items = [" ".join(re.findall(r"\w+", r["text"].lower())) for r in
              spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    unleaked = ids(clean)
     for d in kept:
         text = " ".join(re.findall(r"\w+", texts[d].lower()))
-        assert (d in ids(clean)) == (not any(f" {i} " in f" {text} " for i in items))
+        assert (d in unleaked) == (not any(f" {i} " in f" {text} " for i in items))
 
     packed = stages[4](spark, clean, SF).collect()
     assert {r["doc_id"] for r in packed} == ids(clean)
@@ -108,7 +109,8 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
         f"{sf}/labels.parquet")
     spark.createDataFrame([(1, None), (None, "x")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
     packed = {r["doc_id"] for r in corpus_pipeline.run(spark, sf).collect()}
-    assert {None, 50} <= packed and not packed & set(range(51, 70))
+    # of the equal lines the last stays; the others' texts are empty then, and copies of the empty text of 1
+    assert {None, 1, 69} <= packed and not packed & {2, *range(50, 69)}
     empty = str(tmp_path / "empty")
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")

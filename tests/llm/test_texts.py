@@ -212,6 +212,35 @@ def test_near_copies_within_a_family_are_found(spark, monkeypatch):
     assert got == {d: c for d, c in want.items() if any(d in link for link in links)}
 
 
+@pytest.mark.parametrize("n", [1, 31, 32, 33, 64, 65, 1000, 20000])
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_elements(spark, n):
+    rng = np.random.default_rng(n)
+    both = rng.integers(0, 1 << 63, n, np.uint64)
+    rows = []
+    for k, more in enumerate((0, n // 20, n // 10, n // 4)):
+        own = rng.integers(0, 1 << 63, more, np.uint64)
+        sets = np.unique(both), np.unique(np.r_[both, own])
+        rows += [(2 * k + i, len(s), simhash._marks(s).tolist()) for i, s in enumerate(sets)]
+    classes = spark.createDataFrame(rows, "id long, n long, marks array<long>")
+    pairs = spark.createDataFrame([(0, 1), (2, 3), (4, 5), (6, 7), (0, 7)], "a long, b long")
+    got = {tuple(r) for r in simhash._near_by_marks(pairs, classes).collect()}
+    assert got == {(0, 1), (2, 3), (4, 5), (6, 7), (0, 7)}  # all are of similarity 0.8 or more
+    other = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+    apart = spark.createDataFrame([*rows[:1], (9, len(other), simhash._marks(other).tolist())], classes.schema)
+    assert simhash._near_by_marks(spark.createDataFrame([(0, 9)], "a long, b long"), apart).count() == (n == 1 and len(
+        simhash._marks(both)) == 1 and bool((simhash._marks(both) ^ simhash._marks(other) == 0).all()))
+
+
+def test_a_hot_bucket_of_dissimilar_texts(spark):
+    rng = random.Random(5)
+    boiler = " ".join(f"licence{k}" for k in range(40))  # a third of each text, in all of them
+    texts = [boiler + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(600)]
+    texts += [t + " tail" for t in texts[:5]] + ["word " * 300_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {r["doc_id"]: r["group_id"] for r in simhash.near_copies(docs).collect()}
+    assert got == {d: g for g in range(5) for d in (g, 600 + g)}
+
+
 def test_a_pair_is_found_whose_buckets_have_another_least_member(spark):
     rng = random.Random(17)
     draw = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
