@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from assaylake.llm.common import table
+from assaylake.llm.cover_tree import mine
 from assaylake.llm.cuckoo_lines import dedupe_lines
 from assaylake.llm.decontaminate import leaks
 from assaylake.llm.hilbert import shard
@@ -15,8 +16,10 @@ from assaylake.llm.importance import resample
 from assaylake.llm.oph import fingerprint_edits
 from assaylake.llm.packing import pack
 from assaylake.llm.simhash import simhash_groups
+from assaylake.llm.sum_of_squares import pack_online
 from assaylake.llm.token_counts import token_lengths
 from assaylake.llm.toxicity import toxicity
+from assaylake.llm.value_dictionaries import compress
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +62,18 @@ def op10_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_online(table(spark, sf_dir, "documents"))
+
+
+def op12_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_value_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -70,4 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_one_permutation_minhash": op8_one_permutation_minhash,
     "op9_cuckoo_line_dedup": op9_cuckoo_line_dedup,
     "op10_subword_toxicity": op10_subword_toxicity,
+    "op11_sum_of_squares_packing": op11_sum_of_squares_packing,
+    "op12_cover_tree_negatives": op12_cover_tree_negatives,
+    "op13_value_dictionaries": op13_value_dictionaries,
 }

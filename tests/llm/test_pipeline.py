@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 def test_every_query_is_registered():
     got = entry.queries()
     numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= got.keys()
     assert oracles.ORACLES.keys() <= entry.oracle_sql().keys() <= got.keys()
 
@@ -30,6 +30,9 @@ COLUMNS = {
     "op8": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     "op9": "doc_id n_lines n_dropped kept_sha256",
     "op10": "doc_id held_out score predicted",
+    "op11": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op12": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13": "vec_id code error label_error codebooks_sha256",
 }
 
 
