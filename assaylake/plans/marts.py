@@ -215,13 +215,16 @@ def user_engagement(silver: Silver, load_ts, fanout: bool = True) -> DataFrame:
         .groupBy("UserId")
         .agg(F.count(F.lit(1)).alias("badge_rows"), F.count("Id").alias("badges"))
     )
+    return engagement_of(silver.users, owner_engagement(silver.posts, votes, fanout), badges, load_ts, fanout)
+
+
+def owner_engagement(posts: DataFrame, votes: DataFrame, fanout: bool = True) -> DataFrame:
+    """Sums per owner; with ``fanout`` a post counts once for each of its votes."""
     one = F.lit(1).cast("long")
     per_post = F.greatest(or_zero("vote_rows"), one) if fanout else one
-    per_user = F.greatest(or_zero("badge_rows"), one) if fanout else one
-
-    owned = silver.posts.filter(F.col("OwnerUserId").isNotNull())
+    owned = posts.filter(F.col("OwnerUserId").isNotNull())
     weight = F.col("weight")
-    posts = (
+    return (
         owned.join(votes, owned["Id"] == votes["PostId"], "left")
         .withColumn("weight", per_post)
         .groupBy("OwnerUserId")
@@ -235,7 +238,15 @@ def user_engagement(silver: Silver, load_ts, fanout: bool = True) -> DataFrame:
             F.sum("total_votes").alias("votes"),
         )
     )
-    u = silver.users.select("id", "display_name", "reputation", "location")
+
+
+def engagement_of(
+    users: DataFrame, posts: DataFrame, badges: DataFrame, load_ts, fanout: bool = True
+) -> DataFrame:
+    """The engagement mart of these users, from sums per owner and badges per user."""
+    one = F.lit(1).cast("long")
+    per_user = F.greatest(or_zero("badge_rows"), one) if fanout else one
+    u = users.select("id", "display_name", "reputation", "location")
     active = (
         u.filter(F.col("id").isNotNull())
         .join(posts, u["id"] == posts["OwnerUserId"], "left")
@@ -275,7 +286,12 @@ def badges_summary(silver: Silver, load_ts) -> DataFrame:
         count_if(F.col("TagBased")).alias("tag_based_badges"),
         F.count_distinct("Name").alias("unique_badge_types"),
     )
-    u = silver.users.select(F.col("id").alias("user_id"), "display_name", "reputation")
+    return badges_of(silver.users, per_user, load_ts)
+
+
+def badges_of(users: DataFrame, per_user: DataFrame, load_ts) -> DataFrame:
+    """The badge mart, from counts per ``user_id``."""
+    u = users.select(F.col("id").alias("user_id"), "display_name", "reputation")
     return per_user.join(u, "user_id", "left").select(
         "user_id",
         _or_unknown("display_name").alias("display_name"),

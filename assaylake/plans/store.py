@@ -1,27 +1,33 @@
 """History tables on a catalog without row-level writes.
 
-A table is an external Parquet table, bucketed by the merge key and partitioned by
-the version that wrote a row. A merge joins the incoming rows with the buckets that
-they touch, writes those buckets anew under the next version, and leaves the files
-of all other buckets where they are. The load log records, for each bucket, the
-version that is live; that entry is the commit, and the table's name, a view,
-follows it. Readers see the old or the new state, never a mixture, and a failed run
-leaves only unlogged files that the next run removes. Files that none of the last
-few versions reads are deleted. One writer per table is assumed.
-
-Bucketing by the merge key lets the next merge read the history in place: only
-the incoming rows are shuffled.
+A keyed table is a Parquet table with a partition column of its own, ``_slice``: the
+hash of the merge key, modulo the number of slices. It is also bucketed by the key,
+into as many buckets, so a slice is one file and Spark joins the table in place. A
+merge joins the incoming rows with the slices that they touch, and writes those
+with dynamic partition overwrite: Spark replaces these partitions and leaves all
+others alone. Only the incoming rows are shuffled.
+
+What a merge costs in writing is the touched slices: rows whose keys are spread touch
+all of them, and then the table is written anew. A table that takes few and scattered
+changes belongs on a catalog with row-level writes; see ``merge_into``.
+
+A failed write leaves the table as it was, unless it fails while Spark exchanges the
+partitions; a merge is repeated with the same result. Whole tables are replaced by
+writing a new folder and pointing the table's name, a view, at it. The load log has one
+entry for each write. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import ts_lit
@@ -32,41 +38,40 @@ log = logging.getLogger(__name__)
 
 LOG_SCHEMA = (
     "table string, version int, op string, rows long, load_ts timestamp, path string, "
-    "bucket_keys array<string>, buckets int, live array<int>, unique_keys boolean"
+    "keys array<string>, slices int, unique_keys boolean"
 )
-#: Partition column of the data tables; the views do not show it.
-VERSION = "_version"
-#: A source whose share of a bucket is below this is hashed, so the history is not sorted.
+#: Partition column of keyed tables; the views do not show it.
+SLICE = "_slice"
+#: A source whose share of a slice is below this is hashed, so the history is not sorted.
 HASH_BYTES = 64 << 20
-_BUCKET_FILE = re.compile(r"_(\d{5})\.c\d{3}")
 
 
 class State(NamedTuple):
-    """What the log says of a table: one entry of ``live`` for each bucket, or one in all."""
+    """What the log says of a table; ``slices`` is None for a table without key."""
 
     version: int
     rows: int
     path: str
     keys: tuple[str, ...]
-    buckets: int | None
-    live: tuple[int, ...]
+    slices: int | None
     unique_keys: bool
 
 
 class TableStore:
-    """Versioned tables below one base folder, which all executors can reach.
+    """Tables below one base folder, which all executors can reach.
 
-    ``buckets`` is the number of files a keyed table is split into; choose it so
-    that one bucket fits a task. By default a new table gets as many as there are
+    ``buckets`` is the number of slices a keyed table is split into; choose it so
+    that one slice fits a task. By default a new table gets as many as there are
     shuffle partitions, and an old one keeps its number. ``keep`` is the number of
-    versions that stay readable, the current one included.
+    folders of a table that stay, the current one included; a new one begins
+    when the whole table is written.
     """
 
     def __init__(
         self, spark: SparkSession, base: str, buckets: int | None = None, keep: int = 2
     ):
         if keep < 2:
-            raise ValueError("the version being read cannot be the one being written")
+            raise ValueError("the folder being read cannot be the one being written")
         self.spark = spark
         self.base = base.rstrip("/")
         self.buckets = buckets
@@ -123,14 +128,10 @@ class TableStore:
         return logged if logged is not None else self.spark.createDataFrame([], LOG_SCHEMA)
 
     def _attach(self) -> None:
-        """Point every table at its last committed version."""
-        whole = F.struct("version", "rows", "path", "bucket_keys", "buckets", "live", "unique_keys")
+        """Point every table at what its last write has left."""
+        whole = F.struct(*State._fields)
         for e in self._log().groupBy("table").agg(F.max_by(whole, "version").alias("e")).collect():
-            e = e.asDict(recursive=True)
-            state = State(
-                e["e"]["version"], e["e"]["rows"], e["e"]["path"], tuple(e["e"]["bucket_keys"]),
-                e["e"]["buckets"], tuple(e["e"]["live"]), e["e"]["unique_keys"],
-            )
+            state = State(*e["e"])._replace(keys=tuple(e["e"]["keys"]))
             self._current[e["table"]] = state
             self.create_namespace(e["table"].split(".")[0])
             self._attach_data(e["table"], state)
@@ -142,15 +143,13 @@ class TableStore:
             return
         fields = self.spark.read.parquet(state.path).schema.fields
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        clustered = ""
-        if state.buckets:
+        layout = ""
+        if state.slices:
             keys = ", ".join(f"`{k}`" for k in state.keys)
-            clustered = f"CLUSTERED BY ({keys}) INTO {state.buckets} BUCKETS"
-        self.spark.sql(
-            f"CREATE TABLE {data} ({ddl}) USING parquet PARTITIONED BY ({VERSION}) {clustered} "
-            f"LOCATION '{state.path}'"
-        )
-        self.spark.sql(f"ALTER TABLE {data} RECOVER PARTITIONS")
+            layout = f"PARTITIONED BY ({SLICE}) CLUSTERED BY ({keys}) INTO {state.slices} BUCKETS"
+        self.spark.sql(f"CREATE TABLE {data} ({ddl}) USING parquet {layout} LOCATION '{state.path}'")
+        if state.slices:
+            self.spark.sql(f"ALTER TABLE {data} RECOVER PARTITIONS")
 
     def _location(self, data: str) -> str | None:
         """Where a data table of the catalog lies. One that is not this store's is an error."""
@@ -164,98 +163,92 @@ class TableStore:
 
     def _point(self, name: str, state: State) -> None:
         data = _data_table(name, state.path)
-        columns = [f"`{c}`" for c in self.spark.table(data).columns if c != VERSION]
-        live = sorted(set(state.live))
-        condition = f"{VERSION} IN ({', '.join(map(str, live))})"
-        if len(live) > 1:
-            versions = ", ".join(map(str, state.live))
-            bucket = f"pmod(hash({', '.join(f'`{k}`' for k in state.keys)}), {state.buckets})"
-            condition += f" AND {VERSION} = element_at(array({versions}), {bucket} + 1)"
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)} FROM {data} WHERE {condition}"
-        )
+        columns = [f"`{c}`" for c in self.spark.table(data).columns if c != SLICE]
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)} FROM {data}")
 
     # ---- writes -------------------------------------------------------------
 
     def _publish(
         self, name: str, df: DataFrame, op: str, load_ts, keys: Sequence[str],
-        unique_keys: bool, touched: Sequence[int] | None = None,
-        untouched_rows: Callable[[], int] = lambda: 0, by_key: bool = False,
+        unique_keys: bool, by_key: bool = False,
     ) -> int:
-        """Write the next version and log it; returns the rows of the table.
+        """Write the frame as the whole table, in a new folder; returns its rows.
 
-        Without ``touched`` the frame is the whole table, else the rows of these
-        buckets, read from the table and thus in their places. ``by_key`` tells
-        that the frame's last shuffle, if any, is by the keys.
+        ``by_key`` tells that the frame's last shuffle, if any, is by the keys.
         """
         namespace, table = name.split(".")
         self.create_namespace(namespace)
         last = self._current.get(name)
         version = last.version + 1 if last else 1
         keys = tuple(keys)
-        if touched is None:
-            buckets = self._buckets_for(last, keys)
-            path = f"{self.base}/{namespace}/{table}/g{version}"
-            live = (version,) * (buckets or 1)
-        else:
-            buckets, path = last.buckets, last.path
-            hit = set(touched)
-            live = tuple(version if b in hit else v for b, v in enumerate(last.live))
+        slices = self._slices_for(last, keys)
+        path = f"{self.base}/{namespace}/{table}/g{version}"
         data = _data_table(name, path)
-        self._remove(path if touched is None else f"{path}/{VERSION}={version}")  # of a failed run
-        if touched is None and self._location(data) is not None:
+        self._remove(path)  # of a failed run
+        if self._location(data) is not None:
             self.spark.sql(f"DROP TABLE {data}")
+        if slices:
+            if not by_key:
+                df = df.repartition(slices, *keys)
+            df = df.withColumn(SLICE, slice_of(df, keys, slices))
+        writer = df.write.format("parquet").option("path", path)
+        if slices:
+            writer = writer.partitionBy(SLICE).bucketBy(slices, *keys)
+        with self._set("spark.sql.shuffle.partitions", slices if by_key else None):
+            writer.saveAsTable(data)
+        return self._logged(name, op, load_ts, State(version, 0, path, keys, slices, unique_keys))
 
-        if buckets and touched is None and not by_key:
-            df = df.repartition(buckets, *keys)
-        counted = Observation()
-        writer = (
-            df.observe(counted, F.count(F.lit(1)).alias("rows"))
-            .withColumn(VERSION, F.lit(version))
-            .write.format("parquet").mode("append").option("path", path).partitionBy(VERSION)
+    def _replace_slices(self, name: str, df: DataFrame, load_ts, unique_keys: bool) -> int:
+        """Write the frame in place of the table's slices that it has rows of."""
+        last = self._current[name]
+        data = _data_table(name, last.path)
+        rows = df.withColumn(SLICE, slice_of(df, last.keys, last.slices)).select(self.spark.table(data).columns)
+        with self._set("spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            rows.write.insertInto(data, overwrite=True)
+        self.spark.catalog.refreshTable(data)
+        return self._logged(
+            name, "merge", load_ts, last._replace(version=last.version + 1, unique_keys=unique_keys)
         )
-        if buckets:
-            writer = writer.bucketBy(buckets, *keys)
-        with self._shuffling(buckets if by_key else None):
-            writer.saveAsTable(data)
-        rows = counted.get["rows"] + untouched_rows()
 
-        ints = lambda xs: F.array(*[F.lit(int(x)) for x in xs]).cast("array<int>")
+    def _logged(self, name: str, op: str, load_ts, state: State) -> int:
+        """Enter a write into the log and show its result under the table's name; returns its rows.
+
+        The rows are counted from the files' footers; no column is read.
+        """
+        state = state._replace(rows=self.spark.table(_data_table(name, state.path)).count())
         entry = self.spark.range(1).select(
             F.lit(name).alias("table"),
-            F.lit(version).alias("version"),
+            F.lit(state.version).alias("version"),
             F.lit(op).alias("op"),
-            F.lit(rows).cast("long").alias("rows"),
+            F.lit(state.rows).cast("long").alias("rows"),
             ts_lit(load_ts).alias("load_ts"),
-            F.lit(path).alias("path"),
-            F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("bucket_keys"),
-            F.lit(buckets).cast("int").alias("buckets"),
-            ints(live).alias("live"),
-            F.lit(unique_keys).alias("unique_keys"),
+            F.lit(state.path).alias("path"),
+            F.array(*[F.lit(k) for k in state.keys]).cast("array<string>").alias("keys"),
+            F.lit(state.slices).cast("int").alias("slices"),
+            F.lit(state.unique_keys).alias("unique_keys"),
         )
         entry.coalesce(1).write.mode("append").parquet(self._log_path)
-        self._current[name] = State(version, rows, path, keys, buckets, live, unique_keys)
-        self._point(name, self._current[name])
+        self._current[name] = state
+        self._point(name, state)
         self._clean(name)
-        log.info("%s %s v%d: %d rows", op, name, version, rows)
-        return rows
+        log.info("%s %s v%d: %d rows", op, name, state.version, state.rows)
+        return state.rows
 
-    def _buckets_for(self, last: State | None, keys: tuple[str, ...]) -> int | None:
+    def _slices_for(self, last: State | None, keys: tuple[str, ...]) -> int | None:
         if not keys:
             return None
         if self.buckets:
             return self.buckets
-        if last and last.buckets and last.keys == keys:
-            return last.buckets
+        if last and last.slices and last.keys == keys:
+            return last.slices
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     @contextmanager
-    def _shuffling(self, partitions: int | None) -> Iterator[None]:
-        """Plan shuffles into so many partitions, so that one by the bucket keys is also the buckets'."""
-        key = "spark.sql.shuffle.partitions"
+    def _set(self, key: str, value: object) -> Iterator[None]:
+        """A setting of the session, for one write; None leaves it alone."""
         before = self.spark.conf.get(key)
-        if partitions:
-            self.spark.conf.set(key, str(partitions))
+        if value is not None:
+            self.spark.conf.set(key, str(value))
         try:
             yield
         finally:
@@ -284,14 +277,14 @@ class TableStore:
     ) -> int:
         """Upsert ``source``; the first merge creates the table. Returns its rows.
 
-        The source is written out once, so that looking for its buckets, for null
+        The source is written out once, so that looking for its slices, for null
         keys and for conflicts does not compute it again, and a lost executor
         costs no recomputation of it. ``by_key`` tells that the source's last
         shuffle is by the keys, as after ``latest_rows``; a first load then needs
         no other.
         """
         keys = _names(keys)
-        # several rows per key may pile up in one bucket, so do not bucket them
+        # several rows per key may pile up in one slice, so do not slice them
         place_by = keys if source_unique else []
         if not self.exists(name):
             if drop_null_keys:
@@ -301,44 +294,76 @@ class TableStore:
             )
         last = self._current[name]
         unique = source_unique and (last.unique_keys or not last.rows)
-        target = self.read(name)
         staging = f"{self.base}/_staging/{name}"
         source.write.mode("overwrite").parquet(staging)
         staged = self.spark.read.schema(source.schema).parquet(staging)
         if not source_unique:
-            require_no_conflicts(target, staged, keys)
+            require_no_conflicts(self.read(name), staged, keys)
         null_keys = not staged.filter(any_null(keys)).isEmpty()
         options = {"drop_null_keys": drop_null_keys, "source_has_null_keys": null_keys}
-        fits = last.buckets and tuple(place_by) == last.keys and self.buckets in (None, last.buckets)
+        fits = last.slices and tuple(place_by) == last.keys and self.buckets in (None, last.slices)
         if not fits:
-            merged = upsert(target, staged, keys, update_cols, **options)
+            merged = upsert(self.read(name), staged, keys, update_cols, **options)
             return self._publish(name, merged, "merge", load_ts, place_by, unique_keys=unique)
 
-        place = bucket_of(target, keys, last.buckets)
-        share = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) / last.buckets
-        same_types = staged.select([
-            F.col(f"`{k}`").cast(target.schema[k].dataType).alias(k) for k in keys
-        ])
-        touched = [  # at most as many numbers as there are buckets
-            r[0] for r in same_types.select(bucket_of(same_types, keys, last.buckets)).distinct().collect()
-        ]
+        touched = self._touched(name, staged)
         if not touched:
             return last.rows
-        untouched = lambda: 0
-        if len(touched) < last.buckets:
-            target = target.filter(place.isin(*touched))
-            if null_keys and len(keys) > 1:  # scanned twice, so it cannot be counted by the way
-                read = target.count()
-                untouched = lambda: last.rows - read
-            else:
-                seen = Observation()
-                target = target.observe(seen, F.count(F.lit(1)).alias("rows"))
-                untouched = lambda: last.rows - seen.get["rows"]
-        merged = upsert(target, staged, keys, update_cols, hash_source=share * 3 < HASH_BYTES, **options)
-        return self._publish(
-            name, merged, "merge", load_ts, place_by, unique_keys=unique,
-            touched=touched, untouched_rows=untouched,
+        share = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) / last.slices
+        merged = upsert(
+            self.slices(name, touched), staged, keys, update_cols, hash_source=share * 3 < HASH_BYTES, **options
         )
+        return self._replace_slices(name, merged, load_ts, unique)
+
+    def add_sums(self, name: str, delta: DataFrame, by: Sequence[str], load_ts) -> int:
+        """Add to a table of sums, which has one row for each ``by``; returns its rows.
+
+        All other columns are sums. ``delta`` has the same columns and is read twice, so it
+        should be written out. Only the slices of its keys are written. Groups stay
+        when their sums become 0, as a slice without rows would not be replaced.
+        """
+        state = self._current[name]
+        touched = self._touched(name, delta)
+        if not touched:
+            return state.rows
+        old = self.slices(name, touched)
+        both = old.unionByName(delta.select(*[F.col(f.name).cast(f.dataType) for f in old.schema.fields]))
+        sums = [F.sum(c).alias(c) for c in old.columns if c not in by]
+        return self._replace_slices(
+            name, both.groupBy(*by).agg(*sums).select(old.columns), load_ts, state.unique_keys
+        )
+
+    def _touched(self, name: str, rows: DataFrame) -> list[int]:
+        """The slices that the keys of these rows lie in; at most as many as there are."""
+        state = self._current[name]
+        types = self.read(name).schema
+        keys = rows.select([F.col(f"`{k}`").cast(types[k].dataType).alias(k) for k in state.keys])
+        return sorted(r[0] for r in keys.select(slice_of(keys, state.keys, state.slices)).distinct().collect())
+
+    def slices(self, name: str, numbers: Sequence[int]) -> DataFrame:
+        """The table's rows in these slices; no other partition is read."""
+        state = self._current[name]
+        data = self.spark.table(_data_table(name, state.path))
+        if len(numbers) < state.slices:
+            data = data.filter(F.col(SLICE).isin(*numbers))
+        return data.drop(SLICE)
+
+    def rows_of_keys(self, name: str, keys: DataFrame) -> DataFrame:
+        """The table's rows that have one of these keys; only their slices are read, in place.
+
+        ``keys`` has the columns that place the table's rows, without repetition, and is
+        read twice. A single null key matches nothing; null parts of several match.
+        """
+        state = self._current[name]
+        if not state.keys:
+            raise ValueError(f"{name} has no key")
+        keys = keys.select(*state.keys)
+        if len(state.keys) == 1:
+            keys = keys.dropna()
+            return self.slices(name, self._touched(name, keys)).join(keys, list(state.keys), "left_semi")
+        rows = self.slices(name, self._touched(name, keys)).alias("t")
+        same = [F.col(f"t.{k}").eqNullSafe(F.col(f"k.{k}")) for k in state.keys]
+        return rows.join(keys.alias("k"), reduce(and_, same), "left_semi")
 
     # ---- files --------------------------------------------------------------
 
@@ -354,41 +379,20 @@ class TableStore:
             fs.delete(jpath, True)
 
     def _clean(self, name: str) -> None:
-        """Delete what none of the last ``keep`` versions reads."""
-        entries = self._log().filter(F.col("table") == name).orderBy(F.desc("version")).limit(self.keep).collect()
-        needed: dict[str, list[set[int]]] = {}
-        for e in entries:
-            live = needed.setdefault(_plain(e["path"]), [set() for _ in e["live"]])
-            for b, v in enumerate(e["live"]):
-                live[b].add(v)
+        """Delete the folders of the table but for the last ``keep``."""
         namespace, table = name.split(".")
         fs, root = self._fs(f"{self.base}/{namespace}/{table}")
-        for generation in fs.listStatus(root):
-            path = generation.getPath()
-            live = needed.get(_plain(path.toString()))
-            if live is None:
-                data = _data_table(name, path.toString())
-                if self._location(data) is not None:
-                    self.spark.sql(f"DROP TABLE {data}")
-                fs.delete(path, True)
-                continue
-            for folder in fs.listStatus(path):
-                if not (m := re.fullmatch(rf"{VERSION}=(\d+)", folder.getPath().getName())):
-                    continue
-                version = int(m[1])
-                if not any(version in versions for versions in live):
-                    fs.delete(folder.getPath(), True)
-                    continue
-                for file in fs.listStatus(folder.getPath()):
-                    bucket = _BUCKET_FILE.search(file.getPath().getName())
-                    if bucket and len(live) > int(bucket[1]) and version not in live[int(bucket[1])]:
-                        fs.delete(file.getPath(), False)
-        self.spark.catalog.refreshTable(_data_table(name, self._current[name].path))
-
-
-def bucket_of(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
-    """The bucket in which Spark puts a row of a table bucketed by these keys."""
-    return F.pmod(F.hash(*[df[f"`{k}`"] for k in keys]), F.lit(buckets))
+        folders = [f.getPath() for f in fs.listStatus(root) if re.fullmatch(r"g\d+", f.getPath().getName())]
+        for path in sorted(folders, key=lambda p: int(p.getName()[1:]))[: -self.keep]:
+            data = _data_table(name, path.toString())
+            if self._location(data) is not None:
+                self.spark.sql(f"DROP TABLE {data}")
+            fs.delete(path, True)
+
+
+def slice_of(df: DataFrame, keys: Sequence[str], slices: int) -> Column:
+    """The slice of a row, by the hash of its keys."""
+    return F.pmod(F.hash(*[df[f"`{k}`"] for k in keys]), F.lit(slices))
 
 
 def _data_table(name: str, path: str) -> str:

@@ -27,11 +27,9 @@ def test_merge_creates_then_updates_and_logs(spark, store):
     name = "silver.t"
     assert not store.exists(name)
     assert store.merge(name, frame(spark, [(1, "a"), (2, "b")]), "id", TS1) == 2
-    first = store.read(name)
     assert store.merge(name, frame(spark, [(2, "B"), (3, "c")]), "id", TS2) == 3
     assert rows(store.read(name)) == [(1, "a"), (2, "B"), (3, "c")]
-    # a reader that began before the merge still sees its version
-    assert rows(first) == [(1, "a"), (2, "b")]
+    assert store.read(name).columns == ["id", "v"]
     log = [tuple(r) for r in store.history(name).select("version", "op", "rows").collect()]
     assert log == [(1, "create", 2), (2, "merge", 3)]
     assert store.tables("silver") == ["t"]
@@ -104,13 +102,12 @@ def test_merge_does_not_shuffle_the_history(spark, store):
     assert merged.count() == 100
 
 
-def files(path):
-    """Parquet files by bucket, as names."""
-    return {f.name for f in path.rglob("part-*.parquet")}
-
-
-def bucket(name):
-    return int(re.search(r"_(\d{5})\.c", name)[1])
+def slices(path):
+    """Parquet files by slice, with their times."""
+    out = {}
+    for f in path.rglob("part-*.parquet"):
+        out.setdefault(int(re.search(r"_slice=(\d+)", f.parent.name)[1]), set()).add((f.name, f.stat().st_mtime_ns))
+    return out
 
 
 def test_only_the_last_versions_keep_files(spark, store, tmp_path):
@@ -127,37 +124,65 @@ def test_only_the_last_versions_keep_files(spark, store, tmp_path):
     assert "silver" in store.namespaces()
 
 
-def test_a_merge_writes_only_the_buckets_it_touches(spark, tmp_path, namespaces):
+def test_a_merge_writes_only_the_slices_it_touches(spark, tmp_path, namespaces):
     store = TableStore(spark, f"{tmp_path}/tables", buckets=16)
     store.merge("silver.t", frame(spark, [(i, "a") for i in range(400)]), "id", TS1)
     folder = tmp_path / "tables" / "silver" / "t"
-    before = files(folder)
-    assert sorted(map(bucket, before)) == list(range(16))
+    assert sorted(slices(folder)) == list(range(16))
     for keys, ts in (([3], TS2), ([3, 5000], TS2), ([7], TS2)):
         source = frame(spark, [(k, f"new {k}") for k in keys])
         hit = {r[0] for r in source.select(F.pmod(F.hash("id"), F.lit(16))).collect()}
-        had = files(folder)
+        had = slices(folder)
         n = store.merge("silver.t", source, "id", ts)
-        written = files(folder) - had
-        assert {bucket(f) for f in written} == hit and len(written) == len(hit)
+        now = slices(folder)
+        assert {k for k in now if now[k] != had[k]} == hit and all(len(f) == 1 for f in now.values())
         assert n == store.read("silver.t").count()
     got = dict(rows(store.read("silver.t")))
     assert len(got) == 401
     assert {k: v for k, v in got.items() if v != "a"} == {3: "new 3", 5000: "new 5000", 7: "new 7"}
-    # two versions read each bucket at the most
-    assert len(files(folder)) <= 32
-    again = TableStore(spark, store.base)
     spark.sql("DROP SCHEMA silver CASCADE")
     again = TableStore(spark, store.base)
     assert dict(rows(again.read("silver.t"))) == got
     assert again.merge("silver.t", frame(spark, []), "id", TS2) == 401
 
 
+def test_only_the_slices_of_the_keys_are_read(spark, tmp_path, namespaces):
+    store = TableStore(spark, f"{tmp_path}/tables", buckets=16)
+    store.merge("silver.t", frame(spark, [(i, "a") for i in range(400)]), "id", TS1)
+    got = store.rows_of_keys("silver.t", spark.createDataFrame([(3,), (None,), (999,)], "id long"))
+    assert rows(got) == [(3, "a")]
+    text = plan(got)
+    assert re.search(r"PartitionFilters: \[.*_slice#\d+ IN \(|PartitionFilters: \[.*_slice#\d+ = ", text), text
+    store.overwrite("silver.u", spark.createDataFrame([(1, None, 5), (1, "x", 6), (None, None, 7)], "a int, b string, n int"),
+                    TS1, ["a", "b"])
+    keys = spark.createDataFrame([(1, None), (None, None), (2, "x")], "a int, b string")
+    assert rows(store.rows_of_keys("silver.u", keys)) == [(1, None, 5), (None, None, 7)]
+    with pytest.raises(ValueError):
+        store.overwrite("silver.w", frame(spark, [(1, "a")]), TS1)
+        store.rows_of_keys("silver.w", keys)
+
+
+def test_sums_are_added_in_their_slices(spark, tmp_path, namespaces):
+    store = TableStore(spark, f"{tmp_path}/tables", buckets=8)
+    sums = "id long, year int, n long"
+    store.overwrite("work.s", spark.createDataFrame([(i, 2000 + i % 2, i) for i in range(100)], sums), TS1, "id")
+    folder = tmp_path / "tables" / "work" / "s"
+    had = slices(folder)
+    delta = spark.createDataFrame([(5, 2001, -5), (5, 2000, 1), (1000, None, 4)], sums)
+    assert store.add_sums("work.s", delta, ["id", "year"], TS2) == 102
+    now = slices(folder)
+    assert sum(now[k] != had.get(k) for k in now) <= 2
+    got = {tuple(r)[:2]: r["n"] for r in store.read("work.s").collect()}
+    assert got[5, 2001] == 0 and got[5, 2000] == 1 and got[1000, None] == 4 and got[7, 2001] == 7
+    assert store.add_sums("work.s", delta.limit(0), ["id", "year"], TS2) == 102
+
+
 def test_the_written_merge_neither_sorts_nor_shuffles_the_history(spark, store, monkeypatch):
     store.merge("silver.t", frame(spark, [(i, "a") for i in range(1000)]), "id", TS1)
     plans = []
-    publish = TableStore._publish
-    monkeypatch.setattr(TableStore, "_publish", lambda self, n, df, *a, **k: (plans.append(plan(df)), publish(self, n, df, *a, **k))[1])
+    replace = TableStore._replace_slices
+    monkeypatch.setattr(TableStore, "_replace_slices",
+                        lambda self, n, df, *a: (plans.append(plan(df)), replace(self, n, df, *a))[1])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         store.merge("silver.t", frame(spark, [(1, "b"), (2, "c")]), "id", TS2)
@@ -169,22 +194,28 @@ def test_the_written_merge_neither_sorts_nor_shuffles_the_history(spark, store,
     assert store.read("silver.t").count() == 1000
 
 
+def test_rows_are_counted_from_footers(spark, store):
+    store.merge("silver.t", frame(spark, [(i, "a") for i in range(10)]), "id", TS1)
+    counted = spark.table("silver.t__g1").groupBy().count()
+    assert "ReadSchema: struct<>" in plan(counted)
+
+
 def test_another_number_of_buckets_places_the_rows_anew(spark, tmp_path, namespaces):
     base = f"{tmp_path}/tables"
     TableStore(spark, base, buckets=8).merge("silver.t", frame(spark, [(i, "a") for i in range(300)]), "id", TS1)
     seven = TableStore(spark, base, buckets=7)
     assert seven.merge("silver.t", frame(spark, [(1, "b")]), "id", TS2) == 300
     live = tmp_path / "tables" / "silver" / "t" / "g2"
-    assert sorted(map(bucket, files(live))) == list(range(7))
+    assert sorted(slices(live)) == list(range(7))
     # without a number, a table keeps the one it has
     assert TableStore(spark, base).merge("silver.t", frame(spark, [(400, "c")]), "id", TS2) == 301
-    assert len(files(live)) == 8
+    assert sorted(slices(live)) == list(range(7))
 
 
 def test_keyed_tables_are_bucketed_by_default(spark, tmp_path, namespaces):
     store = TableStore(spark, f"{tmp_path}/tables")
     store.merge("silver.t", frame(spark, [(1, "a")]), "id", TS1)
-    assert store.history("silver.t").first()["buckets"] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert store.history("silver.t").first()["slices"] == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_first_load_has_one_exchange(spark, tmp_path, namespaces, monkeypatch):
@@ -199,7 +230,7 @@ def test_first_load_has_one_exchange(spark, tmp_path, namespaces, monkeypatch):
     df = latest_rows(spark.read.parquet(f"{tmp_path}/in"), "id", ["v"])
     assert store.merge("silver.t", df, "id", TS1, by_key=True) == 90
     assert plans[0].split("\n\n")[0].count("Exchange") == 1
-    assert sorted(map(bucket, files(tmp_path / "tables" / "silver"))) == list(range(6))
+    assert sorted(slices(tmp_path / "tables" / "silver")) == list(range(6))
 
 
 def test_a_table_of_another_store_is_not_taken_over(spark, tmp_path, namespaces):
