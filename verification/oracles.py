@@ -182,6 +182,15 @@ VOTE_COLUMNS = ["Id", "PostId", "VoteTypeId", "UserId", "BountyAmount", "Creatio
 BADGE_COLUMNS = ["Id", "UserId", "Name", "Class", "TagBased", "Date"]
 
 
+def _bags(table: str) -> str:
+    """Rows and values of each Id; the values as sorted lists in which null is a value."""
+    lists = ", ".join(
+        f"list_sort(list(coalesce(cast({c} as varchar), chr(1)))) as {n}"
+        for c, n in (("Score", "scores"), ("Title", "titles"), ("Tags", "tags"))
+    )
+    return f"select Id, count(*) as n, {lists} from {table} group by Id"
+
+
 # ---- generators -------------------------------------------------------------
 
 
@@ -425,6 +434,23 @@ ORACLES: dict[str, str] = {
         {"VoteTypeId": "5", "BountyAmount": "cast(null as bigint)"}, VOTE_ORDER),
     "chain_gold_posts_user_year": sql(posts_user_year(ts=TS2)),
     "chain_gold_engagement": sql(ENGAGEMENT),
+    "refresh_posts_user_year": sql(posts_user_year()),
+    "refresh_posts_user_year_type": sql(posts_user_year_type()),
+    "refresh_vote_stats": sql(VOTE_STATS),
+    "refresh_top_tags": sql(TOP_TAGS),
+    "refresh_user_engagement": sql(ENGAGEMENT),
+    "refresh_badges_summary": sql(f"select * from ({badges_summary()}) where user_id is not null"),
+    "reconcile_by_digests": sql(
+        """select coalesce(l.Id, r.Id) as Id, coalesce(l.n, 0) as left_rows, coalesce(r.n, 0) as right_rows,
+            case when l.n is null or r.n is null then '' else concat_ws(',',
+                case when l.scores <> r.scores then 'Score' end, case when l.titles <> r.titles then 'Title' end,
+                case when l.tags <> r.tags then 'Tags' end) end as changed
+        from lefts l full join rights r on l.Id = r.Id
+        where l.n is distinct from r.n or l.scores <> r.scores or l.titles <> r.titles or l.tags <> r.tags""",
+        "copies as (select Id, if(Id % 101 = 0, Score + 1, Score) as Score, if(Id % 89 = 0, null, Title) as Title, Tags "
+        "from posts where Id % 97 <> 0 union all select Id, Score, Title, Tags from posts where Id % 103 = 0)",
+        f"lefts as ({_bags('posts')})", f"rights as ({_bags('copies')})",
+    ),
     "load_log": sql(f"""select 'votes' as "table", 1 as version, 'create' as op, count(*) as rows
             from votes where anio <= {LAST_OLD_YEAR}
         union all select 'votes', 2, 'merge', count(*) from votes

@@ -21,8 +21,9 @@ from assaylake.operators.normalize import (
     union_positional,
 )
 from assaylake.operators.profile import null_profile, row_counts, table_counts
+from assaylake.operators.reconcile import table_differences
 from assaylake.operators.upsert import merge_conflicts, upsert
-from assaylake.plans import jobs, marts, reports
+from assaylake.plans import jobs, marts, refresh, reports
 from assaylake.plans.store import TableStore
 from assaylake.session import pin_utc, scratch_path
 from assaylake.sources import extract, generators
@@ -180,6 +181,17 @@ def null_profile_filled(spark, d):
     return null_profile(users, ["id", "display_name", "reputation", "account_id", "location"])
 
 
+@query
+def reconcile_by_digests(spark, d):
+    """The posts against a copy that lacks some, repeats some and has other values in some."""
+    posts = m.view(spark, d, "posts")
+    copy = posts.filter("Id % 97 <> 0").withColumns({
+        "Score": F.expr("if(Id % 101 = 0, Score + 1, Score)"),
+        "Title": F.expr("if(Id % 89 = 0, null, Title)"),
+    })
+    return table_differences(posts, copy.unionByName(posts.filter("Id % 103 = 0")), ["Id"], ["Score", "Title", "Tags"])
+
+
 @query
 def reconcile_posts_mart(spark, d):
     """A mart that was stored before the last year arrived."""
@@ -628,6 +640,64 @@ def chain_gold_engagement(spark, d):
     return _gold_chain(spark, d, ["vote_stats_per_post", "user_engagement"], "user_engagement", LOAD_TS)
 
 
+def _refreshed(spark, d, mart: str) -> DataFrame:
+    """A mart of an older state of all tables, brought up to date by what a load changes."""
+    store, namespace = _store(spark)
+    silver = m.silver(spark, d)
+    silver = silver._replace(users=silver.users.withColumn("anio", F.lit(LAST_OLD_YEAR)))
+    specs_ = (specs.USERS, specs.POSTS, specs.VOTES, specs.BADGES)
+    older = (
+        silver.users.filter("id % 5 <> 0").withColumns({"display_name": F.lit("old name"), "reputation": F.lit(1).cast("long")}),
+        silver.posts.filter(F.col("anio") <= LAST_OLD_YEAR).withColumns(
+            {"Score": F.col("Score") + 7, "ViewCount": F.lit(None).cast("long")}),
+        silver.votes.filter("Id % 3 <> 0").withColumn("VoteTypeId", F.lit(5)),
+        silver.badges.filter("Id % 4 <> 0").withColumn("Class", F.lit(9)),
+    )
+    for spec, df in zip(specs_, older, strict=True):
+        store.merge(f"{namespace}.{spec.table}", add_load_metadata(df, LOAD_TS), spec.key, LOAD_TS, spec.update_cols)
+    places = {"silver": namespace, "work": f"{namespace}_work"}
+    refresh.build_sums(store, LOAD_TS, **places)
+    jobs.run_gold(store, LOAD_TS, [mart], f"{namespace}_gold", namespace, places["work"])
+    changes = {
+        spec.entity: refresh.merge_changes(
+            store, f"{namespace}.{spec.table}", add_load_metadata(df, LOAD_TS), spec, LOAD_TS)
+        for spec, df in zip(specs_, silver[:4], strict=True)
+    }
+    refresh.refresh_gold(store, changes, LOAD_TS, [mart], f"{namespace}_gold", **places)
+    # rows of no user are inserted by each full run and not refreshed
+    return store.read(f"{namespace}_gold.{mart}").filter(F.col(marts.MARTS[mart].keys[0]).isNotNull())
+
+
+@query
+def refresh_posts_user_year(spark, d):
+    return _refreshed(spark, d, "cant_post_x_user_hist")
+
+
+@query
+def refresh_posts_user_year_type(spark, d):
+    return _refreshed(spark, d, "cant_post_x_user_type_hist")
+
+
+@query
+def refresh_vote_stats(spark, d):
+    return _refreshed(spark, d, "vote_stats_per_post")
+
+
+@query
+def refresh_top_tags(spark, d):
+    return _refreshed(spark, d, "top_tags")
+
+
+@query
+def refresh_user_engagement(spark, d):
+    return _refreshed(spark, d, "user_engagement")
+
+
+@query
+def refresh_badges_summary(spark, d):
+    return _refreshed(spark, d, "badges_summary")
+
+
 @query
 def load_log(spark, d):
     store, namespace = _store(spark)
