@@ -52,7 +52,7 @@ def merged(store, tables, ts=TS1):
 
 @pytest.fixture
 def store(spark, tmp_path, namespaces):
-    return TableStore(spark, f"{tmp_path}/tables", buckets=8)
+    return TableStore(spark, f"{tmp_path}/tables", buckets=2)
 
 
 def test_refreshed_marts_equal_full_runs(spark, tmp_path, store):
@@ -102,8 +102,8 @@ def test_rows_without_ids_are_inserted_and_counted(spark, store):
 
 
 def test_a_refresh_reads_and_writes_the_slices_it_hits(spark, tmp_path, namespaces, monkeypatch):
-    store = TableStore(spark, f"{tmp_path}/tables", buckets=64)
-    tables = load(spark, 4, range(400))
+    store = TableStore(spark, f"{tmp_path}/tables", buckets=16)
+    tables = load(spark, 4, range(100))
     merged(store, tables)
     refresh.build_sums(store, TS1)
     jobs.run_gold(store, TS1, ["vote_stats_per_post"], work="work")

@@ -345,6 +345,16 @@ ORACLES: dict[str, str] = {
         timestamp '2020-05-01 10:00:00' as creation_date from customer""",
     "coerce_lenient": """select event_id as Id, case when event_id % 5 = 0 then null else user_id end as UserId,
         case when event_id % 7 = 0 then null else ts end as Date from events""",
+    "quarantine_rejects": """with raw as (select event_id as Id, user_id, event_id % 5 = 0 as bad_user,
+            event_id % 11 = 0 as blank, event_id % 7 = 0 as bad_date from events)
+        select Id, 'UserId' as "column", concat('x', Id) as raw from raw where bad_user
+        union all select Id, 'Date', 'not a date' from raw where bad_date
+        union all select Id, null, case when blank then null else cast(user_id as varchar) end from raw
+            where not bad_user and not bad_date""",
+    "footer_ranges": sql(
+        """select cast(anio as int) as anio, count(*) as rows, min(Id) as min_Id, max(Id) as max_Id,
+            min(PostId) as min_PostId, max(PostId) as max_PostId, min(VoteTypeId) as min_VoteTypeId,
+            max(VoteTypeId) as max_VoteTypeId from votes_raw group by anio"""),
     "silver_posts_typed": f"""select o_orderkey as Id,
         case when o_orderkey % 97 = 0 then null else cast(o_orderkey % 4 as int) end as PostTypeId,
         case when o_orderkey % 101 = 0 then null else o_orderdate end as CreationDate,

@@ -21,6 +21,7 @@ from assaylake.operators.normalize import (
     union_positional,
 )
 from assaylake.operators.profile import null_profile, row_counts, table_counts
+from assaylake.operators.quarantine import quarantine
 from assaylake.operators.reconcile import table_differences
 from assaylake.operators.upsert import merge_conflicts, upsert
 from assaylake.plans import jobs, marts, refresh, reports
@@ -37,6 +38,7 @@ from assaylake.sources.bronze import (
     write_year_partitions,
     year_partition_path,
 )
+from assaylake.sources.footers import footer_profile
 from verification import mapping as m
 
 LOAD_TS = "2026-01-01 00:00:00"
@@ -269,6 +271,27 @@ def coerce_lenient(spark, d):
     return coerce_columns(raw, {"UserId": "long", "Date": "timestamp"})
 
 
+@query
+def quarantine_rejects(spark, d):
+    """Values that no cast can read, with the rows' key; and the accepted rows by column None."""
+    raw = m.base(spark, d, "events").selectExpr(
+        "event_id as Id",
+        "case when event_id % 5 = 0 then concat('x', event_id) when event_id % 11 = 0 then ' ' else cast(user_id as string) end as UserId",
+        "case when event_id % 7 = 0 then 'not a date' when event_id % 13 = 0 then null else cast(ts as string) end as Date",
+    )
+    split = quarantine(raw, {"UserId": "long", "Date": "timestamp"}, f"{scratch_path(spark, 'quarantine')}/events")
+    kept = split.accepted.select("Id", F.lit(None).cast("string").alias("column"), F.col("UserId").cast("string").alias("raw"))
+    return split.values("Id").unionByName(kept)
+
+
+@query
+def footer_ranges(spark, d):
+    """Rows and ranges of each year's votes, from the footers of a dataset in folders of years."""
+    path = scratch_path(spark, "footers")
+    write_year_partitions(m.view(spark, d, "votes"), path, "votes")
+    return footer_profile(spark, f"{path}/votes", ["Id", "PostId", "VoteTypeId"], ["anio"])
+
+
 @query
 def silver_posts_typed(spark, d):
     raw = m.base(spark, d, "orders").selectExpr(
@@ -577,9 +600,9 @@ def expected_files_(spark, d):
 # ---- the store and the chain, each time in folders and a namespace of their own
 
 
-def _store(spark) -> tuple[TableStore, str]:
+def _store(spark, buckets: int | None = None) -> tuple[TableStore, str]:
     base = scratch_path(spark, "chain")
-    return TableStore(spark, base), f"chain_{uuid.uuid4().hex[:12]}"
+    return TableStore(spark, base, buckets), f"chain_{uuid.uuid4().hex[:12]}"
 
 
 def _silver_chain(spark, raw: DataFrame, changes: dict[str, str], spec, columns: list[str]) -> DataFrame:
@@ -642,7 +665,7 @@ def chain_gold_engagement(spark, d):
 
 def _refreshed(spark, d, mart: str) -> DataFrame:
     """A mart of an older state of all tables, brought up to date by what a load changes."""
-    store, namespace = _store(spark)
+    store, namespace = _store(spark, min(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     silver = m.silver(spark, d)
     silver = silver._replace(users=silver.users.withColumn("anio", F.lit(LAST_OLD_YEAR)))
     specs_ = (specs.USERS, specs.POSTS, specs.VOTES, specs.BADGES)
