@@ -30,3 +30,10 @@ def test_without_the_text_operators(tmp_path):
 def test_other_import_errors_are_not_swallowed(tmp_path):
     (copied(tmp_path) / "corpus_pipeline.py").write_text("import no_such_module\n")
     assert "no_such_module" in names(tmp_path).stderr
+
+
+def test_missing_modules_of_the_text_operators_leave_these_out(tmp_path):
+    (copied(tmp_path) / "corpus_pipeline.py").write_text("raise ModuleNotFoundError('no', name='tiktoken')\n")
+    found = names(tmp_path)
+    assert found.returncode == 0 and "tiktoken is not installed" in found.stderr
+    assert "op1_" not in found.stdout and "mart_posts_user_year" in found.stdout
