@@ -7,12 +7,15 @@ a group of its own. The reader is chosen for these plans only.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 #: Types whose statistics are exact and of one order: no text, which may be cut off, and no doubles, for NaN.
 EXACT = {"boolean", "tinyint", "smallint", "int", "bigint", "date"}
 _SETTINGS = {"spark.sql.parquet.aggregatePushdown": "true"}
@@ -52,9 +55,17 @@ def footer_profile(spark: SparkSession, path: str, columns: Sequence[str] = (),
 
     ``columns`` are whole numbers, dates or booleans; ``by`` are partition columns. There is one row for each
     partition value, which the driver holds anyway to list the files. An empty
-    dataset has 0 rows and null ranges; nulls do not count for ranges.
+    dataset has 0 rows and null ranges; nulls do not count for ranges. A file in which a
+    column has nulls only has no range in its footer; then the columns are read.
     """
-    with pushed_aggregates(spark):
+    try:
+        with pushed_aggregates(spark):
+            plan = footer_plan(spark, path, columns, by)
+            rows, schema = plan.collect(), plan.schema
+    except Exception as e:
+        if not columns or "FAILED_READ_FILE" not in str(e):
+            raise
+        log.warning("no ranges in some footers, columns are read: %s", path)
         plan = footer_plan(spark, path, columns, by)
         rows, schema = plan.collect(), plan.schema
     # files without rows have nothing to add up
