@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import islice, repeat
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -265,27 +267,31 @@ def _can_be_similar(x: str, y: str) -> Column:
     )
 
 
-def _near_by_marks(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose bitmaps differ in no more bits than similar sets may differ in elements.
+def _marks_near(left: str, right: str, sizes: Column) -> Column:
+    """Whether two bitmaps differ in no more bits than similar sets, of these sizes together, may differ in elements.
 
     Each bit that differs stands for at least one element that only one of the
     sets has, so nothing similar is lost. Sizes of similar sets differ by a quarter
     at the most, so one bitmap is at most twice as long; its halves are then added.
     """
-    sized = classes.select("id", "n", "marks")
-    both = (
-        pairs.join(sized.toDF("a", "left_n", "left"), "a").join(sized.toDF("b", "right_n", "right"), "b")
-    )
 
     def folded(mine: str, other: str) -> Column:
         half = F.greatest(F.lit(1), F.floor(F.size(mine) / 2).cast("int"))
         halves = F.zip_with(F.slice(mine, 1, half), F.slice(mine, half + 1, half), lambda x, y: x.bitwiseXOR(y))
         return F.when(F.size(mine) > F.size(other), halves).otherwise(F.col(mine))
 
-    bits = F.zip_with(folded("left", "right"), folded("right", "left"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    bits = F.zip_with(folded(left, right), folded(right, left), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
-    most = (1 - NEAR_SIMILARITY) * (F.col("left_n") + F.col("right_n"))
-    return both.filter(differ * (1 + NEAR_SIMILARITY) <= most + 1e-6).select("a", "b")
+    return differ * (1 + NEAR_SIMILARITY) <= (1 - NEAR_SIMILARITY) * sizes + 1e-6
+
+
+def _near_by_marks(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose bitmaps allow that they are similar."""
+    sized = classes.select("id", "n", "marks")
+    both = (
+        pairs.join(sized.toDF("a", "left_n", "left"), "a").join(sized.toDF("b", "right_n", "right"), "b")
+    )
+    return both.filter(_marks_near("left", "right", F.col("left_n") + F.col("right_n"))).select("a", "b")
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -332,16 +338,38 @@ def _star(members: DataFrame, turn: int) -> DataFrame:
     )
 
 
-def _all_apart(members: DataFrame) -> DataFrame:
+def _first_of_equal(shared: DataFrame) -> DataFrame:
+    """The buckets without those that have the same members as another one.
+
+    Of such buckets the first in the common order stays, as the places of the shingles
+    in any one member tell. Members are compared by number, least id and 64 bits of hash.
+    """
+    sets = shared.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("id")).alias("hash"),
+        F.min(F.struct("id", "at")).alias("least"),
+    )
+    first = sets.groupBy("members", "hash", "least.id").agg(F.min_by("key", "least.at").alias("key"))
+    return shared.join(first.select("key"), "key")
+
+
+#: Keys before a bucket's, of a member's, that are held against those of another member.
+EARLIER = 4
+
+
+def _all_apart(members: DataFrame, classes: DataFrame) -> DataFrame:
     """``a, b``: all members of a bucket that are not linked yet and may be similar.
 
     A bucket is cut into blocks, and each pair of blocks is a group of its own, so
-    a great bucket is spread over many tasks.
+    a great bucket is spread over many tasks. Bitmaps are compared where the pairs
+    meet, so few of them leave the join. Two members that also share one of the keys just before the
+    bucket's meet there; as this holds for all buckets but their first, no pair is lost.
     """
+    earlier = F.slice("keys", F.greatest(F.col("at") - EARLIER, F.lit(0)) + 1, F.least("at", F.lit(EARLIER)))
+    known = members.join(classes.select("id", "keys", "marks"), "id").withColumn("earlier", earlier)
     blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    cut = members.join(blocks, "key").select(
+    cut = known.join(blocks, "key").select(
         "key", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("mine"),
-        F.struct("id", "n", "at", "component").alias("m"),
+        F.struct("id", "n", "at", "component", "earlier", "marks").alias("m"),
     )
     # in the pair (i, j) of blocks, i <= j, a member of i is on the left, one of j on the right
     left = cut.select("key", F.col("mine").alias("i"), F.explode(F.sequence("mine", F.col("blocks") - 1)).alias("j"),
@@ -349,8 +377,12 @@ def _all_apart(members: DataFrame) -> DataFrame:
     right = cut.select("key", F.explode(F.sequence(F.lit(0), "mine")).alias("i"), F.col("mine").alias("j"),
                        F.col("m").alias("y"))
     apart = (F.col("x.component") != F.col("y.component")) & _can_be_similar("x", "y")
-    once = (F.col("i") < F.col("j")) | (F.col("x.id") < F.col("y.id"))
-    return left.join(right, ["key", "i", "j"]).filter(once & apart).select(
+    before = F.coalesce(F.arrays_overlap("x.earlier", "y.earlier"), F.lit(False))
+    near = _marks_near("x.marks", "y.marks", F.col("x.n") + F.col("y.n"))
+    one, two = left.alias("l"), right.alias("r")
+    same = reduce(and_, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("key", "i", "j")])
+    once = (F.col("l.i") < F.col("l.j")) | (F.col("x.id") < F.col("y.id"))
+    return one.join(two, same & once & apart & ~before & near).select(
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
     ).distinct()
 
@@ -375,7 +407,7 @@ def _linked(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
         if members.isEmpty():
             break
         left = members.drop("component")
-        pairs = _star(members, turn) if turn < STAR_ROUNDS else _all_apart(members)
+        pairs = _star(members, turn) if turn < STAR_ROUNDS else _all_apart(members, classes)
         pairs = settled(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tried = tried.unionByName(pairs)
@@ -418,7 +450,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     placed = classes.select("id", "n", F.posexplode("keys").alias("at", "key"))
     buckets = placed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     shared = settled(placed.join(buckets.filter("least <> most").select("key"), "key"), "shared")
-    linked = _linked(shared, classes, docs)
+    linked = _linked(settled(_first_of_equal(shared), "buckets"), classes, docs)
+    release(shared)
     named = classes.join(linked, classes["id"] == linked["node"], "left").select(
         "same", F.coalesce("component", "id").alias("group_id"), F.col("component").isNotNull().alias("linked")
     )
