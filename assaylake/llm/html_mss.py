@@ -5,6 +5,10 @@ more so the more often a tag of its kind stands outside the content of labelled
 pages. The contiguous run of the highest sum, found in one scan, is the content
 region; menus, adverts, forms and the like inside it are left out.
 
+What is left out inside is decided for whole parts, elements whose kind or name speaks
+against content, after the page is read: a part that wraps the page's content is none,
+whatever its name, and neither is running text under a doubtful name.
+
 Labelled pages are those that mark their content themselves (``article`` or
 ``main``); the weights learned from them serve all pages.
 """
@@ -32,7 +36,7 @@ LEFT_OUT = -0.05
 #: Weight, in tags, of the first guess at the share outside content.
 GUESS = 10.0
 
-# ---- fixed values: HTML's elements and the usual names of page parts --------
+# ---- fixed values: HTML's elements ------------------------------------------
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements inside a line of text; all others begin a new block.
 INLINE = set(
@@ -42,19 +46,28 @@ INLINE = set(
 #: Elements whose content is no text of the page; the first ones run to the end of the page if not closed.
 RAW = "script|style|textarea"
 EMBEDDED = "noscript|template|svg|iframe|object|title|math|canvas|audio|video"
-PARTS = set("nav aside footer header form button select dialog menu fieldset option input".split())
+PARTS = set("nav aside footer header button select dialog menu fieldset option input".split())
 CONTENT = ("article", "main")
-#: Words in class, id or role of a part that is not content.
-NAMES = set(
-    "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner "
-    "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
-    "signup login menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer header masthead "
-    "comment comments commentlist reply replies respond disqus discussion share sharing social related "
-    "recommended recommendations widget widgets toolbar pagination pager copyright disclaimer search skip "
-    "complementary contentinfo hidden".split()
-)
 # ---- end of fixed values ----------------------------------------------------
 
+#: Words of a class, id or role that name a part which is not content, and words that may.
+SURE = set(
+    "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored banner cookie cookies consent "
+    "gdpr popup modal newsletter subscription menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer "
+    "masthead comment comments commentlist reply replies disqus recommended recommendations widget widgets "
+    "pagination pager complementary contentinfo hidden".split()
+)
+DOUBTFUL = set(
+    "header notice notices alert overlay promo promotion subscribe signup login respond discussion share sharing "
+    "social related toolbar copyright disclaimer search skip".split()
+)
+#: Words that turn a name into the state of something else.
+STATES = set("has with without no is enabled disabled open opened closed on off".split())
+#: A part under a doubtful name with more words than this, and less than this share of them in links, is running text.
+PROSE_WORDS, PROSE_LINKS = 40, 0.3
+#: An ``article`` or ``main`` with this share of a page's words marks its content.
+MARK_SHARE = 0.25
+
 #: First guess at the share of a tag's kind outside content.
 GUESSES = {"article": 1.0, "main": 1.0, "body": 1.0, "html": 1.0, "head": 1.0, "section": 0.2, "div": 0.2}
 INSIDE_GUESS = 0.005
@@ -69,8 +82,12 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTR = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
+
+#: How sure it is that a part is no content.
+CONTENT_PART, MAYBE, NAMED, ELEMENT, HIDDEN = range(5)
 
 
 class Token(NamedTuple):
@@ -82,43 +99,100 @@ class Token(NamedTuple):
     marked: bool
 
 
-def _is_part(name: str, attrs: str, in_content: bool) -> bool:
-    if name in ("html", "body", *CONTENT):
-        return False
-    if name in PARTS:
-        return name != "header" or not in_content
-    if not attrs or attrs == "/":
-        return False
-    for attr, value in _ATTR.findall(attrs):
-        attr, value = attr.lower(), value.strip("\"'")
-        if attr == "hidden" or attr == "aria-hidden" and value.lower() == "true":
-            return True
-        if attr == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-                return True
-            continue
-        words = {w.lower() for w in _PIECES.findall(value)}
+class Part:
+    """An element that may be no content, with what is inside it."""
+
+    __slots__ = ("around", "sure", "words", "linked", "marked", "headed", "marks", "out")
+
+    def __init__(self, around: Part | None, sure: int, marked: bool):
+        self.around, self.sure, self.marked = around, sure, marked
+        self.words = self.linked = 0
+        self.headed = self.out = False
+        self.marks: list[Part] = []
+
+
+def attributes(text: str) -> dict[str, str]:
+    """Names, in lower case, and values of a tag's attributes; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTR.findall(text):
+        found.setdefault(name.lower(), value.strip("\"'") if value[:1] in "\"'" else value)
+    return found
+
+
+def _named(values: str, in_content: bool) -> int:
+    """What the words of classes, ids and roles say of an element."""
+    best = CONTENT_PART
+    for name in values.split():
+        words = [w.lower() for w in _PIECES.findall(name)]
         if in_content:
-            words.discard("header")
-        if words & NAMES:
-            return True
-    return False
+            words = [w for w in words if w != "header"]
+        if len(words) > 1 and not STATES.isdisjoint(words):
+            continue
+        known = [w for w in words if w in SURE or w in DOUBTFUL]
+        if known:
+            best = max(best, NAMED if len(known) == len(words) or not SURE.isdisjoint(known) else MAYBE)
+    return best
+
+
+def _sure(name: str, attrs: str, in_content: bool) -> int:
+    """How sure it is, by its tag alone, that an element is no content."""
+    if name in ("html", "body"):
+        return CONTENT_PART
+    given = attributes(attrs) if attrs and attrs != "/" else {}
+    if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or _HIDING.search(given.get("style", "")):
+        return HIDDEN
+    if name in PARTS and (name != "header" or not in_content):
+        return ELEMENT
+    by_name = _named(" ".join(given.get(a, "") for a in ("class", "id", "role")), in_content)
+    if name == "form":
+        return max(by_name, NAMED)
+    return by_name if name not in CONTENT or by_name == NAMED else CONTENT_PART
+
+
+def _decide(parts: list[Part], words: int, headings: int) -> None:
+    """Which parts are left out; parts come after those around them.
+
+    A named part is kept if it wraps the content: it holds an article or main that
+    marks content, or the page's only heading of the first rank, or most of the page's
+    words while no article does. Under a doubtful name marked content's running text is kept.
+    """
+    marked = any(2 * m.words > words for p in parts for m in p.marks)
+    for p in parts:
+        if p.sure in (MAYBE, NAMED):
+            wraps = any(m.words >= MARK_SHARE * words for m in p.marks) or p.headed and headings == 1 and not p.marked
+            most = 2 * p.words > words and not marked and not p.marked and (not headings or p.headed)
+            prose = p.marked and p.words > PROSE_WORDS and p.linked < PROSE_LINKS * p.words
+            p.out = not (wraps or most or p.sure == MAYBE and prose)
+        else:
+            p.out = p.sure >= ELEMENT
+        p.out = p.out or p.around is not None and p.around.out
 
 
 def tokens(html: str) -> Iterator[Token]:
     """Tags and texts of a page; scripts, styles, comments and the like are skipped.
 
-    An element that is never closed ends with the one around it; a new ``article``
-    or ``main`` ends any part that is left out.
+    An element that is never closed ends with the one around it.
     """
-    open_: list[tuple[str, bool, bool]] = []  # name, left out, within marked content
+    open_: list[tuple[str, Part | None, bool]] = []  # name, innermost part, within marked content
+    found: list[tuple[str, str, Part | None, bool]] = []
+    parts: list[Part] = []
+    marks: list[tuple[str, Part]] = []  # open articles and mains
+    words = links = headings = 0
     for m in _TOKEN.finditer(html):
-        out, marked = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
+        part, marked = (open_[-1][1], open_[-1][2]) if open_ else (None, False)
         if (text := m["text"]) is not None:
-            yield Token("", text, out, marked)
+            n = len(text.split())
+            if part is None or part.sure < ELEMENT:
+                words += n
+            at = part
+            while at is not None:
+                at.words, at.linked, at = at.words + n, at.linked + (n if links else 0), at.around
+            for _, mark in marks:
+                mark.words += n
+            found.append(("", text, part, marked))
             continue
         if m["raw"] or m["closed"] or m["embedded"]:
-            yield Token("raw", " ", True, marked)
+            found.append(("raw", " ", part, marked))
             continue
         if not m["name"]:
             continue
@@ -128,19 +202,40 @@ def tokens(html: str) -> Iterator[Token]:
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == name:
                     # a part that is left out ends only with itself or what is around it
-                    out, marked = open_[k][1], open_[k][2]
+                    part, marked = open_[k][1], open_[k][2]
+                    closed = [e[0] for e in open_[k:]]
+                    links -= closed.count("a")
+                    for _ in range(min(len(marks), sum(c in CONTENT for c in closed))):
+                        marks.pop()
                     del open_[k:]
-                    yield Token("/" + name, space, out, marked and name not in CONTENT)
+                    found.append(("/" + name, space, part, marked and name not in CONTENT))
                     break
             else:
-                yield Token("/" + name, space, out, marked)
+                found.append(("/" + name, space, part, marked))
             continue
-        if name in CONTENT:
-            out = False
-        out = out or _is_part(name, m["attrs"], marked)
-        yield Token(name, space, out, marked)
+        if name == "h1":
+            headings += 1
+            at = part
+            while at is not None:
+                at.headed, at = True, at.around
+        if sure := _sure(name, m["attrs"], marked):
+            part = Part(part, sure, marked)
+            parts.append(part)
+        mark = name in CONTENT and not sure
+        found.append((name, space, part, marked))
         if name not in VOID and not m["attrs"].endswith("/"):
-            open_.append((name, out, marked or name in CONTENT))
+            open_.append((name, part, marked or mark))
+            links += name == "a"
+            if name in CONTENT:
+                own = Part(None, CONTENT_PART, marked)
+                marks.append((name, own))
+                at = part
+                while mark and at is not None:
+                    at.marks.append(own)
+                    at = at.around
+    _decide(parts, words, headings)
+    for kind, text, part, marked in found:
+        yield Token(kind, text, kind == "raw" or part is not None and part.out, marked)
 
 
 def kind_counts(html: str) -> Counter:
