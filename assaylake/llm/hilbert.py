@@ -52,25 +52,47 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
+#: Distinct values of a text dimension, with their counts, from which its edges are taken; and bytes of an edge.
+TEXT_VALUES, EDGE_BYTES = 10_000, 256
+
+
+def _is_text(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() in ("string", "binary")
+
+
 def _ordinal(df: DataFrame, name: str) -> Column:
-    """The dimension as a number in the same order; of text the first seven bytes count."""
-    if df.schema[name].dataType.typeName() in ("string", "binary"):
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(name).cast("double")
+    """The dimension as something that compares in its own order: text as bytes, else a number."""
+    return F.col(name).cast("binary" if _is_text(df, name) else "double")
+
+
+def _text_edges(df: DataFrame, name: str, shares: Sequence[float]) -> list[bytes]:
+    """Quantiles of a text dimension, by rank of its whole values.
+
+    Of more than ``TEXT_VALUES`` distinct values a sample by hash is taken, each with
+    the number of all its rows. An edge is cut to ``EDGE_BYTES``, which moves it a little.
+    """
+    values = df.select(_ordinal(df, name).alias("v")).filter("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    some = values.orderBy(F.xxhash64("v"), "v").limit(TEXT_VALUES).select(F.substring("v", 1, EDGE_BYTES).alias("v"), "n")
+    rows = sorted((bytes(r["v"]), r["n"]) for r in some.collect())
+    if not rows:
+        return []
+    upto = np.cumsum([n for _, n in rows])
+    return [rows[int(np.searchsorted(upto, share * upto[-1]))][0] for share in shares]
 
 
 def quantise(df: DataFrame, dims: Sequence[str], bits: int = BITS) -> DataFrame:
     """Adds ``__q0``, ``__q1``, ... from 0 to 2^bits - 1, in the order of ``dims``; null is 0.
 
-    The edges are approximate quantiles over all rows, a few numbers each.
+    The edges of numbers are approximate quantiles over all rows, those of text
+    quantiles by rank; they are a few values each.
     """
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    found = df.agg(*[
-        F.percentile_approx(_ordinal(df, d), shares, ACCURACY).alias(f"e{i}") for i, d in enumerate(dims)
+    numbers = [d for d in dims if not _is_text(df, d)]
+    found = df.agg(F.lit(0), *[
+        F.percentile_approx(_ordinal(df, d), shares, ACCURACY).alias(d) for d in numbers
     ]).first()
     for i, d in enumerate(dims):
-        edges = sorted(set(found[f"e{i}"] or []))
+        edges = sorted(set(_text_edges(df, d, shares) if d not in numbers else found[d] or []))
         above = sum((F.when(_ordinal(df, d) > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
         df = df.withColumn(f"__q{i}", above)
     return df

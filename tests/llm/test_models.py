@@ -222,6 +222,43 @@ def test_parts_that_are_no_content(html):
     assert text_of(f"<html><head><title>Title here</title></head><body>{html}</body></html>") == WANT
 
 
+@pytest.mark.parametrize("html", [
+    f"<div class='layout has-sidebar'>{BODY}</div>",
+    f"<form id='aspnetForm' method=post><div>{BODY}</div></form>",
+    f"<article><div class='content share-enabled'>{BODY}</div></article>",
+    f"<div id='search-results'><h1></h1>{BODY}</div>",
+    f"<div class='content comments-open'><article>{BODY}</article><section class='comments'><p>First</p></section></div>",
+    f"<div class='widget-area page-menu'><main>{BODY}</main><div class='widget'>Words of a widget</div></div>",
+    f"<div data-hidden='false' title='the hidden cost of tea'>{BODY}</div><div hidden>not this</div>",
+    f"<main><article>{BODY}</article><section class='comments'><article class='comment-body'><p>" + "I disagree " * 30
+    + "</p></article></section></main>",
+])
+def test_names_do_not_empty_a_page(html):
+    assert text_of(f"<html><body>{html}</body></html>") == WANT
+
+
+def test_running_text_under_a_doubtful_name_stays():
+    prose = " ".join(f"word{k}" for k in range(60))
+    links = "".join(f"<a href='{k}'>More like this one</a>" for k in range(20))
+    for name in ("related-work", "search-methods"):
+        page = f"<article>{BODY}<section class='{name}'><p>{prose}</p></section></article>"
+        assert text_of(page) == f"{WANT} {prose}"
+    assert text_of(f"<article>{BODY}<section class='related-work'>{links}</section></article>") == WANT
+
+
+def test_attributes_are_names_and_values():
+    assert html_mss.attributes(''' class="a b" data-hidden='x hidden' title="it's = hidden" id=k checked''') == {
+        "class": "a b", "data-hidden": "x hidden", "title": "it's = hidden", "id": "k", "checked": ""}
+
+
+def test_only_the_scan_tells_this_page():
+    """No element or name speaks against the small print around the text; the tags between do."""
+    small = "".join(f"<div><div><p>{w} {w}</p></div></div>" for w in ("imprint", "contact", "jobs", "press"))
+    page = f"<body><div>{small}</div><div>{BODY}</div><div>{small}</div></body>"
+    assert text_of(page) == WANT
+    assert not any(t.out for t in html_mss.tokens(page))
+
+
 def test_references_blocks_and_broken_markup():
     assert text_of("<article><p>a&amp;b &lt;i&gt; &#233;&nbsp;x</p><h2>c</h2>d<br>e<i>f</i><p>g") == "a&b <i> é x c d ef g"
     assert text_of("plain words & more < less") == "plain words & more < less"
@@ -309,6 +346,20 @@ def test_shards_of_odd_rows(spark):
     assert len(few) == 3 and {r["slot"] for r in few} == {0}
 
 
+def test_text_counts_beyond_a_common_prefix(spark):
+    rows = [(k, f"https://www.example.org/{k % 16:02d}", k % 7) for k in range(1600)] + [(9000 + k, None, 1) for k in range(5)]
+    rows += [(9100 + k, "a" * 100_000, 2) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n int")
+    cells = hilbert.quantise(docs, ["source", "n"]).groupBy("source").agg({"__q0": "min", "__q1": "max"}).collect()
+    by = {r["source"]: r["min(__q0)"] for r in cells}
+    urls = sorted(s for s in by if s and s.startswith("https"))
+    assert len({by[s] for s in urls}) >= 15 and [by[s] for s in urls] == sorted(by[s] for s in urls)
+    assert by[None] == 0
+    raw = docs.withColumn("source", docs["source"].cast("binary"))
+    got = {bytes(r["source"]): r["__q0"] for r in hilbert.quantise(raw, ["source"]).filter("source is not null").collect()}
+    assert got == {s.encode(): q for s, q in by.items() if s is not None}
+
+
 def test_files_cover_small_boxes(spark, tmp_path):
     docs = read(spark, "documents", LARGER)
     hilbert.write_shards(docs, str(tmp_path / "out"))
