@@ -20,14 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.llm.common import batch_of, slices, texts_of
-from assaylake.session import settled
+from assaylake.session import release, settled
 
 #: A key has at least so many code points, and is repeated from so many documents on.
 LEAST_CHARS, LEAST_DOCS = 40, 5
 #: Keys of a shard, about, and slots of a bucket.
 SHARD_KEYS, SLOTS = 1 << 15, 4
-#: Filters of more bytes than this in all are not sent to the tasks; the exact join then stands alone.
-MOST_FILTER_BYTES = 64 << 20
+#: Filters of up to so many bytes in all are sent to the tasks that read the texts; greater ones
+#: meet the keys by shard, at most about so many keys at once.
+MOST_FILTER_BYTES, PROBE_KEYS = 64 << 20, 1 << 20
+#: Keys of an index's shard, on average, at which all shards are split; and stashed keys at which a filter is made anew.
+FULL_SHARD, MOST_STASHED = 4 * SHARD_KEYS, 64
 KICKS = 200
 
 _WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -212,17 +215,42 @@ def _shards_for(keys: int) -> int:
     return max(1, -(-keys // SHARD_KEYS))
 
 
+def _probed(keys: DataFrame, filters: DataFrame, shards: int, parts: int) -> DataFrame:
+    """The rows of ``doc_id, hi, lo`` whose key passes its shard's filter.
+
+    Keys and filters meet by shard; a shard's keys are dealt over ``parts`` groups by
+    their document, so a key that very many documents hold is no group of one task.
+    """
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
+    dealt = keys.select(shard_of(F.col("hi"), shards).alias("shard"), part.alias("part"), "doc_id", "hi", "lo")
+    copies = filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "filter")
+
+    def probe(keys: pa.Table, filters: pa.Table) -> pa.Table:
+        keys = keys.select(["doc_id", "hi", "lo"])
+        if not keys.num_rows or not filters.num_rows:
+            return _POSTINGS.empty_table()
+        held = CuckooFilter.unpacked(filters["filter"][0].as_py())
+        passed = held.has(keys["hi"].to_numpy(), keys["lo"].to_numpy())
+        return keys.filter(pa.array(passed)).cast(_POSTINGS)
+
+    by = ["shard", "part"]
+    return dealt.groupBy(*by).cogroup(copies.groupBy(*by)).applyInArrow(probe, "doc_id long, hi long, lo long")
+
+
 def droppable(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """``doc_id, hi, lo``: the keys that each document loses, by counts of repeated keys."""
     spark = docs.sparkSession
     n = counts.count()
     shards = _shards_for(n)
+    made = build_filters(counts.select("hi", "lo"), shards)
     # two bytes a slot, a load of 40 % at least: the size is known before anything is collected
-    sent = None
     if 5 * n <= MOST_FILTER_BYTES:
-        made = build_filters(counts.select("hi", "lo"), shards)
         sent = spark.sparkContext.broadcast((shards, {r["shard"]: bytes(r["filter"]) for r in made.collect()}))
-    maybe = postings(docs, sent)
+        maybe = postings(docs, sent)
+    else:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
+        # a key has LEAST_CHARS bytes at least
+        maybe = _probed(postings(docs), settled(made, "filters"), shards, max(1, -(-size // (LEAST_CHARS * shards * PROBE_KEYS))))
     return maybe.join(counts.select("hi", "lo", "last_doc"), ["hi", "lo"]).filter("doc_id <> last_doc").select(
         "doc_id", "hi", "lo"
     )
@@ -328,47 +356,81 @@ class LineIndex:
     def _read(self, what: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{what}/v{self.version}")
 
-    def _keep(self, held: DataFrame) -> None:
-        held = self._write("postings", held)
-        counts = self._write("counts", reference_counts(held))
-        self._write("filters", build_filters(counts, _shards_for(counts.count())))
-        self.version += 1
+    def _shards(self) -> int:
+        """Into how many shards the filters in use are cut; it stays as the index grows."""
+        return self._read("shards").first()["shards"]
 
-    def insert(self, docs: DataFrame) -> None:
-        """Adds documents. One that the index holds already keeps its lines and gets the new ones."""
-        new = postings(docs)
-        if not self.version:
-            self._keep(new.distinct())
-            return
-        new = settled(new.distinct(), "new-postings")
-        held, counts = self._read("postings"), self._read("counts")
-        filters = self._read("filters")
+    def _rebuild(self, counts: DataFrame) -> None:
         shards = _shards_for(counts.count())
-        known = new.groupBy("hi", "lo").agg(F.lit(1).alias("one"))
-        by_shard = known.select(shard_of(F.col("hi"), shards).alias("shard"), "hi", "lo")
+        self._write("filters", build_filters(counts, shards))
+        self._write("shards", self.spark.createDataFrame([(shards,)], "shards long"))
 
-        def probe(_: tuple, keys: pa.Table, filters: pa.Table) -> pa.Table:
-            hi, lo = keys["hi"].to_numpy(), keys["lo"].to_numpy()
-            held = [CuckooFilter.unpacked(x.as_py()) for x in filters["filter"]]
-            maybe = held[0].has(hi, lo) if held else np.zeros(len(hi), bool)
-            return pa.table({"hi": hi[maybe], "lo": lo[maybe]})
+    def insert(self, docs: DataFrame) -> None:
+        """Adds documents. One that the index holds already keeps its lines and gets the new ones.
 
-        maybe = by_shard.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(probe, "hi long, lo long")
+        The filters take the new keys in place. Only a filter that has become full is made
+        anew, from the counts of its shard; and all are when the shards have grown too large.
+        """
+        new = settled(postings(docs).distinct(), "new-postings")
+        if not self.version:
+            held = self._write("postings", new)
+            self._rebuild(self._write("counts", reference_counts(held)))
+            self.version += 1
+            return
+        held, old, filters, shards = self._read("postings"), self._read("counts"), self._read("filters"), self._shards()
+        known = new.groupBy("hi", "lo").agg(F.lit(0).cast("long").alias("doc_id"))
+        maybe = settled(_probed(known, filters, shards, 1).select("hi", "lo"), "maybe")
         # only rows of keys that the index may hold can be there already
         again = held.join(maybe, ["hi", "lo"], "left_semi")
-        fresh = new.join(again, ["doc_id", "hi", "lo"], "left_anti")
-        self._keep(held.select("doc_id", "hi", "lo").unionByName(fresh.select("doc_id", "hi", "lo")))
+        fresh = new.join(again, ["doc_id", "hi", "lo"], "left_anti").select("doc_id", "hi", "lo")
+        held = self._write("postings", held.select("doc_id", "hi", "lo").unionByName(fresh))
+        counts = self._write("counts", reference_counts(held))
+        if counts.count() > FULL_SHARD * shards:
+            self._rebuild(counts)
+        else:
+            # keys that do not pass are surely new, the others if the counts do not have them
+            strange = known.join(maybe, ["hi", "lo"], "left_anti").select("hi", "lo").unionByName(
+                maybe.join(old, ["hi", "lo"], "left_anti")
+            )
+            self._write("filters", self._taught(filters, strange, counts, shards))
+            self._write("shards", self._read("shards"))
+        self.version += 1
+        release(new, maybe)
+
+    def _taught(self, filters: DataFrame, keys: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
+        """The filters with these keys added; a filter without new keys stays as it is."""
+
+        def learn(shard: tuple, filters: pa.Table, keys: pa.Table) -> pa.Table:
+            held = [f.as_py() for f in filters["filter"]]
+            made = CuckooFilter.unpacked(held[0]) if held else CuckooFilter.sized(keys.num_rows)
+            made.add(keys["hi"].to_numpy(), keys["lo"].to_numpy())
+            return pa.table({
+                "shard": [shard[0].as_py()], "filter": pa.array([made.packed()], pa.binary()),
+                "stashed": [len(made.stash)],
+            })
+
+        by_shard = keys.select(shard_of(F.col("hi"), shards).alias("shard"), "hi", "lo")
+        taught = settled(
+            filters.groupBy("shard").cogroup(by_shard.groupBy("shard")).applyInArrow(
+                learn, "shard long, filter binary, stashed long"
+            ),
+            "taught",
+        )
+        full = taught.filter(F.col("stashed") > MOST_STASHED).select("shard")
+        again = counts.withColumn("shard", shard_of(F.col("hi"), shards)).join(full, "shard", "left_semi")
+        return taught.filter(F.col("stashed") <= MOST_STASHED).select("shard", "filter").unionByName(
+            build_filters(again, shards)
+        )
 
     def delete(self, doc_ids: DataFrame) -> None:
-        """Takes documents (column ``doc_id``) out; counts and filters are as if they had never been in.
+        """Takes documents (column ``doc_id``) out; counts are as if they had never been in.
 
         The filters forget the keys that no document holds any more, in place.
         """
-        held = self._read("postings")
+        held, shards = self._read("postings"), self._shards()
         left = self._write("postings", held.join(doc_ids.select("doc_id").distinct(), "doc_id", "left_anti"))
         old = self._read("counts")
         counts = self._write("counts", reference_counts(left))
-        shards = _shards_for(old.count())
         dead = old.join(counts, ["hi", "lo"], "left_anti").select(
             shard_of(F.col("hi"), shards).alias("shard"), "hi", "lo"
         )
@@ -378,13 +440,10 @@ class LineIndex:
             made.remove(keys["hi"].to_numpy(), keys["lo"].to_numpy())
             return pa.table({"shard": [shard[0].as_py()], "filter": pa.array([made.packed()], pa.binary())})
 
-        filters = self._read("filters")
-        forgot = filters.groupBy("shard").cogroup(dead.groupBy("shard")).applyInArrow(
+        self._write("filters", self._read("filters").groupBy("shard").cogroup(dead.groupBy("shard")).applyInArrow(
             forget, "shard long, filter binary"
-        )
-        if _shards_for(counts.count()) != shards:  # fewer keys, fewer shards
-            forgot = build_filters(counts, _shards_for(counts.count()))
-        self._write("filters", forgot)
+        ))
+        self._write("shards", self._read("shards"))
         self.version += 1
 
     def counts(self) -> DataFrame:
