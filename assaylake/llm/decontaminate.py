@@ -2,8 +2,8 @@
 
 Words of a text that a question may be re-parameterised by are replaced by typed
 placeholders: numbers, names (capitalised inside a sentence) and units (after a
-number). A capitalised word that opens a sentence may be a name or not, so windows
-are taken under both readings of each. Windows of the template are joined by hash with the windows of the
+number). A capitalised word that opens a sentence may be a name or not, so a window with
+such words has two readings: all of them are literals, or all are names. Windows of the template are joined by hash with the windows of the
 benchmark's templates, so that "Tom has 3 kg" finds "Ann has 7 lb". What stood in the
 slots is then compared: along one alignment each value of the benchmark must stand
 for one value of the document, and the other way round. Beside that, any run of ten
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.llm.common import batch_of, byte_slices, texts_of
-from assaylake.llm.wordscan import DIGIT, LOWER, UPPER, Prefix, Words, mix, powers, word_hash
+from assaylake.llm.wordscan import DIGIT, LOWER, UPPER, Prefix, Words, word_hash
 from assaylake.session import settled
 
 #: Template words in a window; a shorter item is one window of its own length.
@@ -40,10 +40,12 @@ UNITS = (
 ).split()
 #: Bits of the filter that windows pass before the join; its size is fixed.
 FILTER_BITS = 24
+#: Windows of items that are sent to all tasks; of more, each goes to so many tasks that share a document's windows.
+MOST_SENT, SALTS = 100_000, 16
 
 NUMBER, NAME, UNIT = (np.uint64(k) for k in (1, 2, 3))
-#: Reading of a window word for word, and what its hash is turned by.
-VERBATIM, _APART = -1, np.int64(0x5851F42D4C957F2D)
+#: Readings of a window: words that open sentences are literals, or names; or word for word, and what its hash is turned by.
+PLAIN, NAMES, VERBATIM, _APART = 0, 1, -1, np.int64(0x5851F42D4C957F2D)
 
 _WINDOWS = pa.schema([
     ("id", pa.int64()), ("at", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64())),
@@ -72,53 +74,53 @@ class Templates:
         after_number = np.r_[False, number[:-1] & (words.text[1:] == words.text[:-1])] if len(words) else number
         unit = after_number.copy()
         unit[after_number] = np.isin(self.hashes[after_number], np.array([word_hash(u) for u in UNITS], np.uint64))
-        self.slot = number | name | unit
-        self.values = np.select([number, name, unit], [NUMBER, NAME, UNIT], self.hashes)
-        self._prefix, self._plain = Prefix(self.values), Prefix(self.hashes)
-        self._slots = np.r_[0, np.cumsum(self.slot)]
-        # words that are literals by default, and names under another reading
-        maybe &= ~self.slot
-        self._maybe = np.flatnonzero(maybe)
+        slot = number | name | unit
+        maybe &= ~slot
         self._maybes = np.r_[0, np.cumsum(maybe)]
-        self._turn = (NAME - self.hashes[self._maybe]) * powers(len(self.words) + 1)[0][self._maybe]
+        values = np.select([number, name, unit], [NUMBER, NAME, UNIT], self.hashes)
+        #: By reading: which words are placeholders, and their prefix sums.
+        self._slot = slot, slot | maybe
+        self._slots = tuple(np.r_[0, np.cumsum(x)] for x in self._slot)
+        self._prefix = Prefix(values), Prefix(np.where(maybe, NAME, values))
+        self._plain = Prefix(self.hashes)
+
+    def _starts(self, size: int) -> np.ndarray:
+        start = np.arange(max(0, len(self.words) - size + 1))
+        return start[self.words.text[start] == self.words.text[start + size - 1]]
 
     def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """First words of the windows with enough literals, their hashes, and the reading.
 
-        In reading r the k-th word of a window that may be a name is one if bit k
-        of r is set. Reading 0 has all windows, others those with so many such words.
+        The reading ``NAMES`` has the windows in which a word opens a sentence.
         """
-        start = np.arange(max(0, len(self.words) - size + 1))
-        start = start[self.words.text[start] == self.words.text[start + size - 1]]
-        literals = size - (self._slots[start + size] - self._slots[start])
-        maybes = self._maybes[start + size] - self._maybes[start]
-        for reading in range(1 << int(maybes.max(initial=0))):
-            on = (maybes >= reading.bit_length()) & (literals - reading.bit_count() >= LEAST_LITERALS)
-            if not on.any():
-                continue
+        start = self._starts(size)
+        for reading in (PLAIN, NAMES):
+            literals = size - (self._slots[reading][start + size] - self._slots[reading][start])
+            on = literals >= LEAST_LITERALS
+            if reading == NAMES:
+                on &= self._maybes[start + size] > self._maybes[start]
             first = start[on]
-            sums = self._prefix.sums[first + size] - self._prefix.sums[first]
-            for k in range(reading.bit_length()):
-                if reading >> k & 1:
-                    sums = sums + self._turn[self._maybes[first] + k]
-            yield first, mix(sums * self._prefix.back[first]).view(np.int64) + size, reading
-
-    def verbatim(self, size: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """All windows and the hashes of their words in lower case, in the form of ``windows``."""
-        start = np.arange(max(0, len(self.words) - size + 1))
-        start = start[self.words.text[start] == self.words.text[start + size - 1]]
-        return start, (self._plain.runs(start, start + size).view(np.int64) + size) ^ _APART, VERBATIM
+            yield first, self._prefix[reading].runs(first, first + size).view(np.int64) + size, reading
+
+    def verbatim(self, size: int, once: bool = False) -> tuple[np.ndarray, np.ndarray, int]:
+        """All windows and the hashes of their words in lower case, in the form of ``windows``.
+
+        With ``once`` a text's equal windows are one.
+        """
+        start = self._starts(size)
+        hashes = (self._plain.runs(start, start + size).view(np.int64) + size) ^ _APART
+        if once and len(start):
+            text = self.words.text[start]
+            order = np.lexsort((start, hashes, text))
+            new = np.r_[True, (np.diff(hashes[order]) != 0) | (np.diff(text[order]) != 0)]
+            keep = np.sort(order[new])
+            start, hashes = start[keep], hashes[keep]
+        return start, hashes, VERBATIM
 
     def slots_in(self, start: int, size: int, reading: int) -> np.ndarray:
         if reading == VERBATIM:
             return np.zeros(0, np.int64)
-        slot = self.slot[start : start + size]
-        if reading:
-            slot = slot.copy()
-            for k in range(reading.bit_length()):
-                if reading >> k & 1:
-                    slot[self._maybe[self._maybes[start] + k] - start] = True
-        return self.hashes[start : start + size][slot].view(np.int64)
+        return self.hashes[start : start + size][self._slot[reading][start : start + size]].view(np.int64)
 
 
 def _rows(templates: Templates, ids: pa.Array, size: int, start: np.ndarray, hashes: np.ndarray,
@@ -126,7 +128,7 @@ def _rows(templates: Templates, ids: pa.Array, size: int, start: np.ndarray, has
     text = templates.words.text[start]
     at = start - templates.words.bounds[text]
     slots = [templates.slots_in(s, size, reading) for s in start]
-    flags = [np.full(len(start), reading == r) for r in (0, VERBATIM)]
+    flags = [np.full(len(start), reading == r) for r in (PLAIN, VERBATIM)]
     return batch_of(_WINDOWS, [ids.take(pa.array(text)), at, hashes, pa.array(slots, pa.list_(pa.int64())), *flags])
 
 
@@ -154,24 +156,34 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     ).mapInArrow(cut, f"{_WINDOWS_DDL}, size long").distinct()
 
 
-def _filter(hashes: Iterator[int]) -> bytes:
-    """Bits of which a window's hash must hit a set one; 2 MB whatever the benchmark."""
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    for h in hashes:
-        bits[h & ((1 << FILTER_BITS) - 1)] = True
-    return np.packbits(bits).tobytes()
+def _filter(hashes: DataFrame) -> bytes:
+    """Bits of which a window's hash must hit a set one; 2 MB whatever the benchmark.
+
+    They are set in words of 64, by the tasks; the driver gets each word that has a bit.
+    """
+    bit = F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = hashes.select(
+        F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit")
+    ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    made = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for r in words.collect():
+        made[r["word"]] = r["bits"]
+    return made.tobytes()
 
 
-def document_windows(docs: DataFrame, sizes: list[int], wanted) -> DataFrame:
-    """``id, at, hash, slots, plain, verbatim`` of the documents' windows that pass the filter."""
+def document_windows(docs: DataFrame, sizes: list[int], wanted, window: int = WINDOW) -> DataFrame:
+    """``id, at, hash, slots, plain, verbatim`` of the documents' windows that pass the filter.
+
+    A short item is one window, so one place of its words in a document is enough.
+    """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
+        bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8), bitorder="little").view(bool)
         for batch in byte_slices(batches, "text"):
             templates = Templates(texts_of(batch.column(1)))
             for size in sizes:
                 templated = templates.windows(size) if size >= LEAST_WORDS else ()
-                for start, hashes, reading in chain([templates.verbatim(size)], templated):
+                for start, hashes, reading in chain([templates.verbatim(size, once=size < window)], templated):
                     hit = bits[hashes & ((1 << FILTER_BITS) - 1)]
                     if hit.any():
                         yield _rows(templates, batch.column(0), size, start[hit], hashes[hit], reading)
@@ -200,17 +212,22 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: flo
     spark = docs.sparkSession
     asked = settled(item_windows(items, window), "item-windows")
     sizes = [r["size"] for r in asked.select("size").distinct().collect()]  # ten at the most
-    hashes = (r["hash"] for r in asked.select("hash").distinct().toLocalIterator())
-    wanted = spark.sparkContext.broadcast(_filter(hashes))
-    found = document_windows(docs, sizes, wanted).withColumnsRenamed(
+    wanted = spark.sparkContext.broadcast(_filter(asked.select("hash")))
+    found = document_windows(docs, sizes, wanted, window).withColumnsRenamed(
         {"id": "doc_id", "plain": "doc_plain", "verbatim": "doc_verbatim"}
     )
     items_side = asked.select(
         F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "plain",
         "verbatim",
     )
+    if asked.count() <= MOST_SENT:
+        on, items_side = ["hash"], F.broadcast(items_side)
+    else:  # a window that very many documents have is shared by several tasks
+        on = ["hash", "salt"]
+        found = found.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        items_side = items_side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     all_met = settled(
-        found.join(items_side, "hash")
+        found.join(items_side, on)
         .filter((F.size("slots") == F.size("item_slots")) & (F.col("verbatim") == F.col("doc_verbatim")))
         .select(
             "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at",

@@ -335,6 +335,51 @@ def test_verbatim_runs_are_found_whatever_their_words(spark):
     assert got[1, 1]["n_windows"] == 24 and got[1, 1]["item_windows"] == 50
 
 
+def reworded(text, rng):
+    """Names, numbers and units replaced by others, each by one other."""
+    names = dict(zip(["Tom", "Anna", "Omar", "Lucy"], rng.sample(["Bob", "Mia", "Ravi", "Jane", "Kofi", "Lena"], 4), strict=True))
+    units = dict(zip(["kg", "miles", "hours", "liters"], rng.sample(["lb", "km", "days", "gallons", "cups", "years"], 4), strict=True))
+    values = {}
+    for n in re.findall(r"\d+", text):
+        values.setdefault(n, str(1000 + len(values) * 7 + rng.randrange(7)))
+    return re.sub(r"\w+", lambda m: names.get(m[0]) or units.get(m[0]) or values.get(m[0]) or m[0], text)
+
+
+def test_recall_of_reparameterised_questions(spark):
+    rng = random.Random(11)
+    verbs, things = ["buys", "loses", "sells", "finds", "packs"], ["apples", "boxes", "tickets", "stones", "books"]
+    items = []
+    for k in range(60):
+        a, b = rng.sample(["Tom", "Anna", "Omar", "Lucy"], 2)
+        v, w, t = rng.choice(verbs), rng.choice(verbs), rng.choice(things)
+        items.append(rng.choice([
+            f"{a} {v} {k + 2} {t} in the morning. {b} {w} {k + 70} more of them at noon. How many {t} do {a} and {b} have together now?",
+            f"{a} drives {k + 20} miles to see {b}. The way back by train takes {k + 3} hours longer. How long is {a} away from home in all?",
+            f"A tank holds {k + 40} liters of water and {a} {v} {k + 5} kg of sand for it. What does the tank weigh when {b} has filled it?",
+            f"If {a} {v} {k + 9} {t} for {b} and then {w} {k + 200} others, what share of the {t} is left for {b} at the end?",
+        ]))
+    docs = [f"Some text before it. {reworded(x, rng)} And some more after it." for x in items]
+    docs += ["Tom and Anna have nothing to do with it. They drive home in the morning and have 3 books with them."] * 3
+    got = found(spark, docs, items)
+    recall = sum((k, k) in got for k in range(len(items))) / len(items)
+    assert recall >= 0.9 and not any(d >= len(items) for d, _ in got)
+
+
+def test_many_openers_give_two_readings(spark):
+    text = "\n".join(f"Line{chr(97 + k % 26)} has Word and So on." for k in range(3000))
+    templates = decontaminate.Templates([text])
+    windows = [(reading, len(first)) for first, _, reading in templates.windows(10)]
+    assert [r for r, _ in windows] == [0, 1] and all(n <= len(templates.words) for _, n in windows)
+
+
+def test_a_common_item_is_shared_by_several_tasks(spark, monkeypatch):
+    texts = ["why not " * 5 + f"own words {k}" for k in range(50)] + [QUESTION.replace("Tom", "Bob"), "nothing here"]
+    want = set(found(spark, texts, ["why not", QUESTION]))
+    assert want == {(k, 0) for k in range(50)} | {(50, 1)}
+    monkeypatch.setattr(decontaminate, "MOST_SENT", 0)
+    assert set(found(spark, texts, ["why not", QUESTION])) == want
+
+
 def test_leaks_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None), (2, ""), (3, QUESTION), (3, QUESTION), (None, QUESTION), (4, "word " * 30000 + QUESTION)], DOCS
@@ -497,6 +542,43 @@ def test_lines_of_odd_rows_with_and_without_filters(spark, monkeypatch, most):
     assert cuckoo_lines.dedupe_lines(docs.limit(0)).collect() == []
 
 
+def test_keys_meet_their_filters_by_shard(spark, documents, texts, monkeypatch):
+    want = digest(cuckoo_lines.dedupe_lines(documents))
+    for name, value in (("MOST_FILTER_BYTES", 0), ("SHARD_KEYS", 1), ("PROBE_KEYS", 5)):
+        monkeypatch.setattr(cuckoo_lines, name, value)
+    probed = []
+    probe = cuckoo_lines._probed
+    monkeypatch.setattr(cuckoo_lines, "_probed", lambda *a: (probed.append(a[2:]), probe(*a))[1])
+    assert digest(cuckoo_lines.dedupe_lines(documents)) == want == plain(texts.items())
+    ((shards, parts),) = probed
+    assert shards > 1 and parts > 1
+
+
+def test_an_insert_leaves_other_filters_as_they_are(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cuckoo_lines, "SHARD_KEYS", 50)
+    monkeypatch.setattr(cuckoo_lines, "FULL_SHARD", 200)
+    line = lambda k: f"line number {k} of the documents, long enough to count"
+    index = cuckoo_lines.LineIndex(spark, str(tmp_path))
+    index.insert(spark.createDataFrame([(d, "\n".join(line(10 * d + k) for k in range(10))) for d in range(100)], DOCS))
+    old = {r["shard"]: bytes(r["filter"]) for r in index.filters().collect()}
+    assert len(old) == 20
+    index.insert(spark.createDataFrame([(500, line(5000) + "\n" + line(3))], DOCS))
+    new = {r["shard"]: bytes(r["filter"]) for r in index.filters().collect()}
+    assert sum(new[s] != old[s] for s in old) == 1 and new.keys() == old.keys()
+    assert index.counts().filter("n_docs = 2").count() == 1 and index.counts().count() == 1001
+    # filters that become full are made anew, and all are when the shards have grown too large
+    for base, least in ((1000, 20), (3000, 21)):
+        index.insert(spark.createDataFrame([(base + d, "\n".join(line(10 * (base + d) + k) for k in range(10)))
+                                            for d in range(250)], DOCS))
+        held = index.counts().collect()
+        made = {r["shard"]: cuckoo_lines.CuckooFilter.unpacked(bytes(r["filter"])) for r in index.filters().collect()}
+        assert len(made) >= least
+        shards = index._shards()
+        for r in held:
+            hi, lo = np.array([r["hi"]]), np.array([r["lo"]])
+            assert made[int(cuckoo_lines.shard_of(hi, shards)[0])].has(hi, lo)[0]
+
+
 def test_replaced_texts_keep_the_other_columns(spark):
     rows = lines_fixture()
     docs = spark.createDataFrame(rows, DOCS).selectExpr("'z' as hi", "*", "1L as n_chars")
@@ -545,9 +627,10 @@ def test_an_index_takes_documents_in_and_out(spark, documents, texts, tmp_path):
         counts[r["hi"], r["lo"]] = r["n_docs"]
     want = Counter(k for _, t in left for k in {cuckoo_lines.line_key(x) for x in t.split("\n")} - {None})
     assert counts == want
+    shards = index._shards()
     for r in index.filters().collect():
         held = cuckoo_lines.CuckooFilter.unpacked(bytes(r["filter"]))
         marks = int((held.slots > 0).sum()) + len(held.stash)
-        assert marks == sum(1 for hi, _ in want if hi % index.filters().count() == r["shard"])
+        assert marks == sum(1 for hi, _ in want if hi % shards == r["shard"])
     index.insert(documents.filter(documents["doc_id"].isin(gone)))  # as if nothing had been
     assert digest(index.dedupe(documents)) == plain(texts.items())
