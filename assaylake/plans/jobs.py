@@ -161,14 +161,14 @@ def run_silver(
     dedupe: bool = True,
     namespace: str = "silver",
 ) -> dict[str, int]:
-    """Merge the four history tables; rows per table."""
+    """Merge the four history tables; rows per table. The loads' nulls are in ``store.profiles``."""
     store.create_namespace(namespace)
     rows = {}
     for spec in (USERS, POSTS, VOTES, BADGES):
         name = f"{namespace}.{spec.table}"
         frame = silver_frame(spark, bronze, spec, load_ts, years, dedupe)
         rows[name] = store.merge(
-            name, frame, spec.key, load_ts, spec.update_cols, source_unique=dedupe, by_key=dedupe
+            name, frame, spec.key, load_ts, spec.update_cols, source_unique=dedupe, by_key=dedupe, profile=True
         )
     return rows
 

@@ -27,7 +27,7 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import ts_lit
@@ -40,6 +40,7 @@ LOG_SCHEMA = (
     "table string, version int, op string, rows long, load_ts timestamp, path string, "
     "keys array<string>, slices int, unique_keys boolean"
 )
+PROFILE_SCHEMA = "table string, version int, column string, rows long, nulls long, load_ts timestamp"
 #: Partition column of keyed tables; the views do not show it.
 SLICE = "_slice"
 #: A source whose share of a slice is below this is hashed, so the history is not sorted.
@@ -76,7 +77,7 @@ class TableStore:
         self.base = base.rstrip("/")
         self.buckets = buckets
         self.keep = keep
-        self._log_path = f"{self.base}/_load_log"
+        self._log_path, self._profile_path = f"{self.base}/_load_log", f"{self.base}/_load_profile"
         self._current: dict[str, State] = {}
         self._attach()
 
@@ -123,6 +124,19 @@ class TableStore:
             entries = entries.filter(F.col("table") == name)
         return entries.orderBy("table", "version")
 
+    def profiles(self, name: str | None = None) -> DataFrame:
+        """Rows and nulls of the loads that were profiled: one row per version and column."""
+        entries = read_if_present(self.spark, self._profile_path)
+        entries = self.spark.createDataFrame([], PROFILE_SCHEMA) if entries is None else entries
+        return (entries if name is None else entries.filter(F.col("table") == name)).orderBy("table", "version", "column")
+
+    def _log_profile(self, name: str, columns: Sequence[str], seen: dict, load_ts) -> None:
+        version = self._current[name].version
+        rows = [(name, version, c, seen["rows"], seen[f"nulls{i}"]) for i, c in enumerate(columns)]
+        entries = self.spark.createDataFrame(rows, "table string, version int, column string, rows long, nulls long")
+        entries = entries.withColumn("load_ts", ts_lit(load_ts)).select("table", "version", "column", "rows", "nulls", "load_ts")
+        entries.coalesce(1).write.mode("append").parquet(self._profile_path)
+
     def _log(self) -> DataFrame:
         logged = read_if_present(self.spark, self._log_path)
         return logged if logged is not None else self.spark.createDataFrame([], LOG_SCHEMA)
@@ -274,9 +288,13 @@ class TableStore:
         source_unique: bool = True,
         drop_null_keys: bool = False,
         by_key: bool = False,
+        profile: bool = False,
     ) -> int:
         """Upsert ``source``; the first merge creates the table. Returns its rows.
 
+        ``profile`` counts the source's rows and the nulls of its columns while it is
+        written, without another scan; ``profiles`` has them.
+
         The source is written out once, so that looking for its slices, for null
         keys and for conflicts does not compute it again, and a lost executor
         costs no recomputation of it. ``by_key`` tells that the source's last
@@ -289,13 +307,21 @@ class TableStore:
         if not self.exists(name):
             if drop_null_keys:
                 source = source.dropna(subset=keys)
-            return self._publish(
+            columns, seen = source.columns, Observation()
+            if profile:
+                source = source.observe(seen, *_null_counts(columns))
+            rows = self._publish(
                 name, source, "create", load_ts, place_by, unique_keys=source_unique, by_key=by_key
             )
+            if profile:
+                self._log_profile(name, columns, seen.get, load_ts)
+            return rows
         last = self._current[name]
         unique = source_unique and (last.unique_keys or not last.rows)
         staging = f"{self.base}/_staging/{name}"
-        source.write.mode("overwrite").parquet(staging)
+        seen = Observation()
+        observed = source.observe(seen, *_null_counts(source.columns)) if profile else source
+        observed.write.mode("overwrite").parquet(staging)
         staged = self.spark.read.schema(source.schema).parquet(staging)
         if not source_unique:
             require_no_conflicts(self.read(name), staged, keys)
@@ -304,14 +330,22 @@ class TableStore:
         fits = last.slices and tuple(place_by) == last.keys and self.buckets in (None, last.slices)
         if not fits:
             merged = upsert(self.read(name), staged, keys, update_cols, **options)
-            return self._publish(name, merged, "merge", load_ts, place_by, unique_keys=unique)
-
-        touched = self._touched(name, staged)
-        if not touched:
+            rows = self._publish(name, merged, "merge", load_ts, place_by, unique_keys=unique)
+        elif not (touched := self._touched(name, staged)):
             return last.rows
+        else:
+            rows = self._merge_slices(name, touched, staged, update_cols, load_ts, unique, options)
+        if profile:
+            self._log_profile(name, source.columns, seen.get, load_ts)
+        return rows
+
+    def _merge_slices(
+        self, name: str, touched: Sequence[int], staged: DataFrame, update_cols, load_ts, unique: bool, options: dict
+    ) -> int:
+        last = self._current[name]
         share = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) / last.slices
         merged = upsert(
-            self.slices(name, touched), staged, keys, update_cols, hash_source=share * 3 < HASH_BYTES, **options
+            self.slices(name, touched), staged, last.keys, update_cols, hash_source=share * 3 < HASH_BYTES, **options
         )
         return self._replace_slices(name, merged, load_ts, unique)
 
@@ -390,6 +424,11 @@ class TableStore:
             fs.delete(path, True)
 
 
+def _null_counts(columns: Sequence[str]) -> list[Column]:
+    nulls = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"nulls{i}") for i, c in enumerate(columns)]
+    return [F.count(F.lit(1)).alias("rows"), *nulls]
+
+
 def slice_of(df: DataFrame, keys: Sequence[str], slices: int) -> Column:
     """The slice of a row, by the hash of its keys."""
     return F.pmod(F.hash(*[df[f"`{k}`"] for k in keys]), F.lit(slices))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -169,6 +170,65 @@ def write_year_partitions(
     df.write.mode("overwrite").partitionBy("anio").parquet(f"{base.rstrip('/')}/{entity}")
 
 
+def input_fingerprints(spark: SparkSession, inputs: Mapping[int, str]) -> DataFrame:
+    """``anio, files, bytes, digest`` of each year's input, from the listing of its files.
+
+    The digest is of paths, lengths and times, in any order. File contents stay unread.
+    """
+    frames = [
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        .load(path).select(F.lit(year).cast("int").alias("anio"), "path", "length", "modificationTime")
+        for year, path in inputs.items()
+    ]
+    return reduce(DataFrame.unionAll, frames).groupBy("anio").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("digest"),
+    )
+
+
+def refresh_years(
+    spark: SparkSession,
+    inputs: Mapping[int, str],
+    base: str,
+    entity: str,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> list[int]:
+    """Bring a dataset of years (``write_year_partitions``) up to date with its inputs; the years that were written.
+
+    A year is stale if its input's fingerprint is not the one noted when it was
+    written. Stale years are written in one pass and replace their folders; files of
+    other years are not touched. A year without input files, or whose input has no rows, keeps what it has.
+    """
+    if not inputs:
+        return []
+    target, noted = f"{base.rstrip('/')}/{entity}", f"{base.rstrip('/')}/_inputs/{entity}"
+    present = {y: p for y, p in inputs.items() if read_if_present(spark, p) is not None}
+    for year in sorted(inputs.keys() - present.keys()):
+        log.warning("input of %s %s absent: %s", entity, year, inputs[year])
+    if not present:
+        return []
+    now = input_fingerprints(spark, present).collect()  # a row for each year
+    known = read_if_present(spark, noted)
+    before = {r["anio"]: r for r in known.collect()} if known is not None else {}
+    stale = {}
+    for r in now:
+        if before.get(r["anio"]) != r:
+            df = spark.read.parquet(present[r["anio"]])
+            if df.isEmpty():
+                log.warning("empty, skipped: %s", present[r["anio"]])
+                continue
+            df = prepare(df) if prepare else df
+            stale[r["anio"]] = df.withColumn("anio", F.lit(r["anio"]).cast("int"))
+    if not stale:
+        return []
+    rows = union_by_name(list(stale.values()))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("anio").parquet(target)
+    noted_now = {**before, **{r["anio"]: r for r in now if r["anio"] in stale}}
+    entries = spark.createDataFrame(list(noted_now.values()), "anio int, files long, bytes long, digest long")
+    entries.coalesce(1).write.mode("overwrite").parquet(noted)
+    return sorted(stale)
+
+
 def read_back(spark: SparkSession, path: str, head: int = 5) -> tuple[int, list[str], DataFrame]:
     """Rows, columns and a small sample of a dataset just written."""
     df = spark.read.parquet(path)

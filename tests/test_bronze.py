@@ -208,3 +208,28 @@ def test_job_settings_respect_the_cluster(spark):
         assert tuned(spark).conf.get(key) == "5m"
     finally:
         spark.conf.set(key, before)
+
+
+def test_only_stale_years_are_written(spark, tmp_path):
+    base, raw = str(tmp_path), {y: f"{tmp_path}/raw/{y}" for y in (2019, 2020, 2021)}
+    one = lambda *ids: spark.createDataFrame([(i, f"v{i}") for i in ids], "id long, v string")
+    for y in (2019, 2020):
+        one(y, y + 100).write.parquet(raw[y])
+    assert bronze.refresh_years(spark, raw, base, "posts") == [2019, 2020]  # 2021 is not there yet
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "posts").rglob("part-*")}
+    before = files()
+    assert bronze.refresh_years(spark, raw, base, "posts") == [] and files() == before
+    one(5, 6, 7).write.mode("overwrite").parquet(raw[2020])
+    one(8).write.parquet(raw[2021])
+    assert bronze.refresh_years(spark, raw, base, "posts") == [2020, 2021]
+    now = files()
+    kept = {f for f in now if "anio=2019" in str(f)}
+    assert kept and all(now[f] == before[f] for f in kept)
+    got = bronze.read_year_partitions(spark, base, "posts")
+    want = [(5, 2020), (6, 2020), (7, 2020), (8, 2021), (2019, 2019), (2119, 2019)]
+    assert sorted(tuple(r) for r in got.select("id", "anio").collect()) == want
+    # an input without rows, or one that has gone, leaves what is there
+    one(1).limit(0).write.mode("overwrite").parquet(raw[2021])
+    assert bronze.refresh_years(spark, {2021: raw[2021], 2030: f"{base}/none"}, base, "posts") == []
+    assert bronze.refresh_years(spark, {}, base, "posts") == []
+    assert bronze.read_year_partitions(spark, base, "posts", [2021]).count() == 1

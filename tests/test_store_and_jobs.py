@@ -36,6 +36,19 @@ def test_merge_creates_then_updates_and_logs(spark, store):
     assert store.sample(name, 2).count() == 2
 
 
+def test_loads_are_profiled_while_they_are_written(spark, store):
+    from assaylake.operators.profile import null_profile
+
+    loads = [frame(spark, [(1, "a"), (2, None), (None, None)]), frame(spark, [(2, "b"), (3, None)])]
+    for df, ts in zip(loads, (TS1, TS2), strict=True):
+        store.merge("silver.t", df, "id", ts, profile=True)
+    store.merge("silver.t", frame(spark, [(9, "z")]), "id", TS2)
+    got = {(r["version"], r["column"]): (r["rows"], r["nulls"]) for r in store.profiles("silver.t").collect()}
+    want = {(v, c): (df.count(), n) for v, df in enumerate(loads, 1) for c, n in null_profile(df).first().asDict().items()}
+    assert got == want
+    assert store.profiles("silver.none").collect() == []
+
+
 def test_empty_table_from_a_schema(spark, store):
     df = frame(spark, [(1, "a")])
     assert store.create_if_absent("silver.t", df, TS1, "id")

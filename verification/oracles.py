@@ -351,6 +351,13 @@ ORACLES: dict[str, str] = {
         union all select Id, 'Date', 'not a date' from raw where bad_date
         union all select Id, null, case when blank then null else cast(user_id as varchar) end from raw
             where not bad_user and not bad_date""",
+    "refresh_stale_years": sql(
+        f"""select * replace (case when anio = {LAST_OLD_YEAR} then 5 else VoteTypeId end as VoteTypeId),
+            anio = {LAST_OLD_YEAR} as written from votes_raw"""),
+    "load_profile": sql(" union all ".join(
+        f"""select cast({version} as int) as version, '{c}' as "column", count(*) as rows, count(*) filter ({c} is null) as nulls
+            from votes where anio {sign} {LAST_OLD_YEAR}"""
+        for version, sign in ((1, "<="), (2, ">=")) for c in VOTE_COLUMNS)),
     "footer_ranges": sql(
         """select cast(anio as int) as anio, count(*) as rows, min(Id) as min_Id, max(Id) as max_Id,
             min(PostId) as min_PostId, max(PostId) as max_PostId, min(VoteTypeId) as min_VoteTypeId,

@@ -34,6 +34,7 @@ from assaylake.sources.bronze import (
     read_all,
     read_year_partitions,
     read_years,
+    refresh_years,
     write_bronze,
     write_year_partitions,
     year_partition_path,
@@ -284,6 +285,32 @@ def quarantine_rejects(spark, d):
     return split.values("Id").unionByName(kept)
 
 
+@query
+def refresh_stale_years(spark, d):
+    """A dataset of years after one year's input has changed: that year anew, the others as they were."""
+    raw, base, votes = scratch_path(spark, "raw"), scratch_path(spark, "years"), m.view(spark, d, "votes")
+    years = [r[0] for r in votes.select("anio").distinct().collect()]
+    inputs = {y: f"{raw}/{y}" for y in years}
+    for y in years:
+        votes.filter(F.col("anio") == y).drop("anio").write.parquet(inputs[y])
+    refresh_years(spark, inputs, base, "votes")
+    changed = votes.filter(F.col("anio") == LAST_OLD_YEAR).withColumn("VoteTypeId", F.lit(5))
+    changed.drop("anio").write.mode("overwrite").parquet(inputs[LAST_OLD_YEAR])
+    again = refresh_years(spark, inputs, base, "votes")
+    return read_year_partitions(spark, base, "votes").withColumn("written", F.col("anio").isin(again))
+
+
+@query
+def load_profile(spark, d):
+    """Nulls of two loads, counted while they were written."""
+    store, namespace = _store(spark)
+    votes = m.silver(spark, d).votes
+    name = f"{namespace}.votes"
+    store.merge(name, votes.filter(F.col("anio") <= LAST_OLD_YEAR), "Id", LOAD_TS, profile=True)
+    store.merge(name, votes.filter(F.col("anio") >= LAST_OLD_YEAR), "Id", LATER_TS, profile=True)
+    return store.profiles(name).select("version", "column", "rows", "nulls")
+
+
 @query
 def footer_ranges(spark, d):
     """Rows and ranges of each year's votes, from the footers of a dataset in folders of years."""
