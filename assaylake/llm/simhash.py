@@ -215,15 +215,26 @@ def _marks(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+#: Words of 64 bits of the bitmap that travels with the members of buckets.
+BRIEF = 16
+
+
+def _brief(marks: np.ndarray) -> np.ndarray:
+    """The bitmap with halves added until it has ``BRIEF`` words; its bound is weaker and holds."""
+    while len(marks) > BRIEF:
+        marks = marks[: len(marks) // 2] ^ marks[len(marks) // 2 :]
+    return marks
+
+
 def _sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, same, n, keys, marks``: hash of the words, number of shingles, the first of them in the common order, bitmap.
+    """``doc_id, same, n, keys, marks, brief``: hash of the words, number of shingles, the first of them in the common order, bitmaps.
 
     Of two sets of similarity 0.8 or more, the first ``n - ceil(0.8 n) + 1``
     elements of each, in any order of all elements, have one in common.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("same", pa.string()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())),
-        ("marks", pa.list_(pa.int64())),
+        ("marks", pa.list_(pa.int64())), ("brief", pa.list_(pa.int64())),
     ])
     last = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
 
@@ -244,10 +255,10 @@ def _sketch(docs: DataFrame) -> DataFrame:
                 first = np.argsort(rank, kind="stable")[: len(hashes) - _least_shared(len(hashes)) + 1]
                 keys.append(hashes[first].view(np.int64))
                 marks.append(_marks(hashes))
-            yield batch_of(schema, [batch.column(0), same, n, keys, marks])
+            yield batch_of(schema, [batch.column(0), same, n, keys, marks, list(map(_brief, marks))])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sketch, "doc_id long, same string, n long, keys array<long>, marks array<long>"
+        sketch, "doc_id long, same string, n long, keys array<long>, marks array<long>, brief array<long>"
     )
 
 
@@ -360,16 +371,15 @@ def _all_apart(members: DataFrame, classes: DataFrame) -> DataFrame:
     """``a, b``: all members of a bucket that are not linked yet and may be similar.
 
     A bucket is cut into blocks, and each pair of blocks is a group of its own, so
-    a great bucket is spread over many tasks. Bitmaps are compared where the pairs
+    a great bucket is spread over many tasks. Brief bitmaps are compared where the pairs
     meet, so few of them leave the join. Two members that also share one of the keys just before the
     bucket's meet there; as this holds for all buckets but their first, no pair is lost.
     """
     earlier = F.slice("keys", F.greatest(F.col("at") - EARLIER, F.lit(0)) + 1, F.least("at", F.lit(EARLIER)))
-    known = members.join(classes.select("id", "keys", "marks"), "id").withColumn("earlier", earlier)
     blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    cut = known.join(blocks, "key").select(
+    cut = members.join(blocks, "key").join(classes.select("id", "keys", "brief"), "id").select(
         "key", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("mine"),
-        F.struct("id", "n", "at", "component", "earlier", "marks").alias("m"),
+        F.struct("id", "n", "at", "component", earlier.alias("earlier"), "brief").alias("m"),
     )
     # in the pair (i, j) of blocks, i <= j, a member of i is on the left, one of j on the right
     left = cut.select("key", F.col("mine").alias("i"), F.explode(F.sequence("mine", F.col("blocks") - 1)).alias("j"),
@@ -378,7 +388,7 @@ def _all_apart(members: DataFrame, classes: DataFrame) -> DataFrame:
                        F.col("m").alias("y"))
     apart = (F.col("x.component") != F.col("y.component")) & _can_be_similar("x", "y")
     before = F.coalesce(F.arrays_overlap("x.earlier", "y.earlier"), F.lit(False))
-    near = _marks_near("x.marks", "y.marks", F.col("x.n") + F.col("y.n"))
+    near = _marks_near("x.brief", "y.brief", F.col("x.n") + F.col("y.n"))
     one, two = left.alias("l"), right.alias("r")
     same = reduce(and_, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("key", "i", "j")])
     once = (F.col("l.i") < F.col("l.j")) | (F.col("x.id") < F.col("y.id"))
@@ -441,7 +451,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     sketches = settled(_sketch(docs), "sketches")
     classes = settled(
         sketches.groupBy("same").agg(
-            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys", "marks")]
+            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys", "marks", "brief")]
         ),
         "classes",
     )
