@@ -70,4 +70,8 @@ def footer_profile(spark: SparkSession, path: str, columns: Sequence[str] = (),
         rows, schema = plan.collect(), plan.schema
     # files without rows have nothing to add up
     at = schema.names.index("rows")
-    return spark.createDataFrame([(*r[:at], r[at] or 0, *r[at + 1 :]) for r in rows], schema)
+    found = [(*r[:at], r[at] or 0, *r[at + 1 :]) for r in rows]
+    literal = lambda r: F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields, strict=True)])
+    if not found:
+        return spark.range(0).select(literal([None] * len(schema.fields)).alias("r")).select("r.*")
+    return spark.range(1).select(F.inline(F.array(*map(literal, found))))

@@ -32,8 +32,8 @@ def test_no_products_and_no_python(spark, name):
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas",
                  "FlatMapGroups", "Scan ExistingRDD"):
         assert node not in text
-    # broadcasts only where the side was counted or cut to k rows
-    bounded = {"topk_posts_user", "readme_top_posters", "upsert_small_source"}
+    # broadcasts only where the side was counted or cut to k rows, or is ranges of a fixed number
+    bounded = {"topk_posts_user", "readme_top_posters", "upsert_small_source", "reconcile_by_digests"}
     assert ("BroadcastExchange" in text) == (name in bounded)
 
 
