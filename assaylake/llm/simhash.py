@@ -29,6 +29,8 @@ from assaylake.session import release, settled
 SEGMENTS = 4
 SEGMENT_BITS = 16
 DISTANCE = 3
+#: Words of a shingle of the fingerprint.
+PRINT_WORDS = 3
 
 _BLOCK = 1 << 14
 
@@ -68,7 +70,7 @@ def majority(blocks: Iterable[np.ndarray], words: int = 1) -> np.ndarray:
     return np.packbits(2 * counts > n, bitorder="little").view(np.uint64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = PRINT_WORDS) -> DataFrame:
     """``doc_id, fp``: the 64-bit fingerprint of every whole text, as a signed long.
 
     A-Z are lower-cased, words are split at ASCII white space, repeated shingles
@@ -135,7 +137,7 @@ def links_within(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return found.select("x", "y").distinct()
 
 
-def simhash_groups(docs: DataFrame, distance: int = DISTANCE, shingle: int = 3) -> DataFrame:
+def simhash_groups(docs: DataFrame, distance: int = DISTANCE, shingle: int = PRINT_WORDS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row.
 
     Documents are linked if their fingerprints differ in at most ``distance`` bits;
@@ -148,7 +150,11 @@ def simhash_groups(docs: DataFrame, distance: int = DISTANCE, shingle: int = 3)
     gets the id of its fingerprint's group and links no others; null if it is
     alone there. An empty table gives no rows; other columns are not read.
     """
-    prints = settled(fingerprints(docs, shingle), "fingerprints")
+    return _grouped(settled(fingerprints(docs, shingle), "fingerprints"), distance)
+
+
+def _grouped(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of written ``doc_id, fp``, as ``simhash_groups`` says."""
     classes = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("class_id")), "classes")
     links = links_within(classes.select("fp"), distance)
     a = classes.select(F.col("fp").alias("x"), F.col("class_id").alias("a"))
@@ -227,14 +233,14 @@ def _brief(marks: np.ndarray) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, same, n, keys, marks, brief``: hash of the words, number of shingles, the first of them in the common order, bitmaps.
+    """``doc_id, same, n, keys, marks, brief, fp``: hash of the words, number of shingles, the first of them in the common order, bitmaps, fingerprint.
 
     Of two sets of similarity 0.8 or more, the first ``n - ceil(0.8 n) + 1``
     elements of each, in any order of all elements, have one in common.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("same", pa.string()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())),
-        ("marks", pa.list_(pa.int64())), ("brief", pa.list_(pa.int64())),
+        ("marks", pa.list_(pa.int64())), ("brief", pa.list_(pa.int64())), ("fp", pa.int64()),
     ])
     last = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
 
@@ -243,7 +249,7 @@ def _sketch(docs: DataFrame) -> DataFrame:
         by_hash = np.argsort(frequent)
         ascending = frequent[by_hash]
         for batch in slices(batches, 2000):
-            same, n, keys, marks = [], [], [], []
+            same, n, keys, marks, prints = [], [], [], [], []
             for text in utf8_of(batch.column(1)):
                 words, hashes = _near_hashes(text)
                 same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
@@ -255,10 +261,12 @@ def _sketch(docs: DataFrame) -> DataFrame:
                 first = np.argsort(rank, kind="stable")[: len(hashes) - _least_shared(len(hashes)) + 1]
                 keys.append(hashes[first].view(np.int64))
                 marks.append(_marks(hashes))
-            yield batch_of(schema, [batch.column(0), same, n, keys, marks, list(map(_brief, marks))])
+                prints.append(majority(shingle_hashes(words, PRINT_WORDS))[0])
+            prints = np.array(prints, np.uint64).view(np.int64)
+            yield batch_of(schema, [batch.column(0), same, n, keys, marks, list(map(_brief, marks)), prints])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sketch, "doc_id long, same string, n long, keys array<long>, marks array<long>, brief array<long>"
+        sketch, "doc_id long, same string, n long, keys array<long>, marks array<long>, brief array<long>, fp long"
     )
 
 
@@ -337,6 +345,14 @@ def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return found
 
 
+def _ring_pairs(classes: DataFrame) -> DataFrame:
+    """``a, b``: the classes of a SimHash group, as ``simhash_groups`` finds them, with the least one of it."""
+    groups = _grouped(classes.select(F.col("id").alias("doc_id"), "fp"))
+    return groups.filter("component_id <> doc_id").select(
+        F.col("component_id").alias("a"), F.col("doc_id").alias("b")
+    ).distinct()
+
+
 def _star(members: DataFrame, turn: int) -> DataFrame:
     """``a, b``: one member of each bucket, another one each turn, with those not yet linked to it."""
     order = F.xxhash64(F.lit(turn), "id") if turn else F.col("id")
@@ -400,12 +416,12 @@ def _all_apart(members: DataFrame, classes: DataFrame) -> DataFrame:
 def _linked(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, component`` of all classes that are linked, given the buckets ``key, id, n, at``.
 
-    What is linked already need not be compared. So each bucket is first compared
-    with one member at a time, and then every pair in it that is still apart.
+    What is linked already need not be compared. So the SimHash groups are compared
+    first, then each bucket with one member at a time, and then every pair in it that is still apart.
     """
-    spark = docs.sparkSession
-    links = tried = spark.createDataFrame([], "a long, b long")
-    linked, left = spark.createDataFrame([], "node long, component long"), shared
+    tried = settled(_ring_pairs(classes), "ring")
+    links = _similar(tried, classes, docs)
+    linked, left = settled(components(links), "linked"), shared
     for turn in range(STAR_ROUNDS + 1):
         members = left.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn(
             "component", F.coalesce("component", "id")
@@ -434,8 +450,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     shingles (A-Z lower-cased) is at least 0.8; groups are the connected
     documents, named by their least doc_id.
 
-    Texts of the same words are one class, so copies are never paired. Classes
-    meet in buckets, one for each shingle among the first ones of both in a common
+    Texts of the same words are one class, so copies are never paired. SimHash groups,
+    by pigeonring, come first: each class is compared with the least one of its group. What
+    the fingerprints miss, or a group's least one is not similar to, is found by buckets. Classes
+    meet in them, one for each shingle among the first ones of both in a common
     order of all shingles, rare ones first; a pair similar enough has such a
     shingle (prefix filter). In a bucket all pairs are compared, text against text,
     unless sizes, places and bitmaps rule them out or they are in one group already. To
@@ -451,7 +469,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     sketches = settled(_sketch(docs), "sketches")
     classes = settled(
         sketches.groupBy("same").agg(
-            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys", "marks", "brief")]
+            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys", "marks", "brief", "fp")]
         ),
         "classes",
     )

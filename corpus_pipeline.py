@@ -35,6 +35,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies, the one of the least id.
 
+    The SimHash groups, found by pigeonring, are compared by their texts; a prefix filter adds the
+    near copies whose fingerprints are too far apart.
     Rows without an id stay; of rows that repeat an id one stays; null and empty texts are copies.
     """
     small_batches(spark)

@@ -255,6 +255,26 @@ def test_a_pair_is_found_whose_buckets_have_another_least_member(spark):
     assert got == {k for k in range(len(texts)) if k % 3 < 2}
 
 
+def test_near_copies_come_from_the_pigeonring_first_and_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "_first_of_equal", lambda shared: shared.limit(0))  # no buckets
+    rng = random.Random(18)
+    draw = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    words, ends = draw(2000), [draw(1), draw(1)]
+    texts = [" ".join([*words, *end]) for end in ends]
+    # the same fingerprint, of one shingle that is repeated, and few common shingles
+    texts += [" ".join([*["word"] * 300, *draw(12)]) for _ in range(2)]
+    # similar, with fingerprints too far apart
+    third = [*words[:1900], *draw(100)]
+    texts += [" ".join(third)]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    group = {r["doc_id"]: r["component_id"] for r in simhash.simhash_groups(docs).collect()}
+    assert group == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4}
+    assert jaccard(texts[2], texts[3]) < 0.8 <= jaccard(texts[0], texts[4])
+    assert {r["doc_id"]: r["group_id"] for r in simhash.near_copies(docs).collect()} == {0: 0, 1: 0}
+    monkeypatch.undo()
+    assert {r["doc_id"]: r["group_id"] for r in simhash.near_copies(docs).collect()} == {0: 0, 1: 0, 4: 0}
+
+
 def test_near_copies_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None, "a"), (2, "", "b"), (3, "one two", "c"), (4, "One  two", "d"), (4, "One  two", "d"), (5, "six", "e"),
