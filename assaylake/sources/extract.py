@@ -6,9 +6,10 @@ rows in key order, so that it does not depend on file layout.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from assaylake.functions.columns import coerce, in_year
 from assaylake.operators.dedupe import latest_order
 
 
-# ranges that the first key is counted in
+# shares of the rows that the first key is looked up at
 _RANGES = 1000
 # rank error of the approximate percentile, as a share of all rows: 1 / accuracy
 _ACCURACY = 10_000
@@ -44,9 +45,9 @@ def first_rows(
     ``as_type`` is the type in which the first key is ordered, for numbers that
     arrive as text; what cannot be read as that comes last, as nulls do.
 
-    The first key is counted in ranges. Rows of the ranges that fit into ``n`` are
-    taken by a filter where they are read, however many they are; only the range in
-    which the n-th row falls is put in order.
+    Two percentiles of the first key, next to the n-th row, cut the rows into ranges, which are
+    counted. Rows of the ranges that fit into ``n`` are taken by a filter where they are
+    read, however many they are; only the range in which the n-th row falls is put in order.
     """
     if n is None:
         return df
@@ -57,11 +58,13 @@ def first_rows(
         first, dtype = coerce(first, dtype, as_type), T._parse_datatype_string(as_type)
     place = _ordinal(first, dtype)
     shares = [k / _RANGES for k in range(1, _RANGES)]
-    edges = sorted(set(df.agg(F.percentile_approx(place, shares, _ACCURACY)).first()[0] or []))
-    bounds = F.array(*[F.lit(e) for e in edges]).cast("array<double>")
+    found, total = df.agg(F.percentile_approx(place, shares, _ACCURACY), F.count(place)).first()
+    # the percentiles on both sides of the n-th row, one further off than the rank error
+    at = math.floor(n * _RANGES / max(total, 1)) - 1
+    edges = sorted({found[k] for k in (at - 1, at + 2) if 0 <= k < len(found)}) if found else []
     # range r holds the rows above edge r - 1 up to edge r; nulls are after all
     number = F.when(place.isNull(), F.lit(len(edges) + 1)).otherwise(
-        F.size(F.filter(bounds, lambda e: e < place))
+        reduce(add, [(place > F.lit(e)).cast("int") for e in edges], F.lit(0))
     )
     counts = dict(df.groupBy(number.alias("r")).count().collect())  # a row for each range
     left = n

@@ -157,6 +157,17 @@ def test_caps_are_exact(spark, monkeypatch, ranges):
     assert extract.extract_head(df.limit(0), 5, "Id").collect() == []
 
 
+def test_a_row_is_held_against_two_percentiles_only(spark, monkeypatch):
+    def searched(*_):
+        raise AssertionError("a list is searched for each row")
+
+    monkeypatch.setattr(F, "filter", searched)
+    df = spark.range(0, 50000, 1, 8).selectExpr("cast(id * 7919 % 50000 as string) as Id")
+    for n in (1, 300, 24999, 49990):
+        got = extract.first_rows(df, n, "Id", as_type="long")
+        assert got.count() == n and got.agg(F.max(F.col("Id").cast("long"))).first()[0] == n - 1
+
+
 def test_a_large_cap_is_read_by_many_tasks(spark):
     got = extract.extract_head(spark.range(0, 100000, 1, 8).toDF("Id"), 60000, "Id")
     used = got.select(F.spark_partition_id().alias("p")).distinct().count()
