@@ -168,6 +168,33 @@ def upsert(
     return result if drop_null_keys or whole else result.unionByName(source.filter(null_key))
 
 
+def changed_rows(
+    target: DataFrame, source: DataFrame, keys: str | Sequence[str], columns: Sequence[str],
+    update_cols: Sequence[str] | None = None, hash_source: bool = False,
+) -> DataFrame:
+    """``old, new``: the rows that an upsert changes in these columns, as structs, before and after it.
+
+    ``old`` is null where a row is inserted; a source row with a null in a key always is.
+    The source must hold one row per key. ``hash_source`` is as in ``upsert``.
+    """
+    keys = _key_list(keys)
+    source, update = _aligned(target, source, keys, update_cols)
+    if hash_source:
+        source = source.hint("shuffle_hash")
+    t, s = target.withColumn("_t", F.lit(True)).alias("t"), source.alias("s")
+    matched = F.col("t._t").isNotNull()
+    after = {
+        c: F.col(f"s.{c}") if c in update else F.when(matched, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
+        for c in columns
+    }
+    same = reduce(and_, [F.col(f"t.{c}").eqNullSafe(after[c]) for c in columns])
+    joined = s.join(t, reduce(and_, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]), "left")
+    return joined.filter(~matched | ~same).select(
+        F.when(matched, F.struct(*[F.col(f"t.{c}") for c in columns])).alias("old"),
+        F.struct(*[after[c].alias(c) for c in columns]).alias("new"),
+    )
+
+
 def merge_conflicts(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Keys with several source rows that exist in the target.
 

@@ -24,6 +24,7 @@ import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
+from math import ceil
 from operator import and_
 from typing import NamedTuple
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import ts_lit
-from assaylake.operators.upsert import any_null, require_no_conflicts, upsert
+from assaylake.operators.upsert import any_null, changed_rows, require_no_conflicts, upsert
 from assaylake.sources.bronze import read_if_present
 
 log = logging.getLogger(__name__)
@@ -45,6 +46,8 @@ PROFILE_SCHEMA = "table string, version int, column string, rows long, nulls lon
 SLICE = "_slice"
 #: A source whose share of a slice is below this is hashed, so the history is not sorted.
 HASH_BYTES = 64 << 20
+#: Bytes of its source files that a slice is to hold at the most, where the number of slices follows from them.
+SLICE_BYTES = 16 << 20
 
 
 class State(NamedTuple):
@@ -275,8 +278,10 @@ class TableStore:
         self._publish(name, df.limit(0), "create", load_ts, _names(keys), unique_keys=True)
         return True
 
-    def overwrite(self, name: str, df: DataFrame, load_ts, keys: str | Sequence[str] = ()) -> int:
-        return self._publish(name, df, "overwrite", load_ts, _names(keys), unique_keys=False)
+    def overwrite(
+        self, name: str, df: DataFrame, load_ts, keys: str | Sequence[str] = (), by_key: bool = False
+    ) -> int:
+        return self._publish(name, df, "overwrite", load_ts, _names(keys), unique_keys=False, by_key=by_key)
 
     def merge(
         self,
@@ -289,6 +294,7 @@ class TableStore:
         drop_null_keys: bool = False,
         by_key: bool = False,
         profile: bool = False,
+        written: bool = False,
     ) -> int:
         """Upsert ``source``; the first merge creates the table. Returns its rows.
 
@@ -297,7 +303,8 @@ class TableStore:
 
         The source is written out once, so that looking for its slices, for null
         keys and for conflicts does not compute it again, and a lost executor
-        costs no recomputation of it. ``by_key`` tells that the source's last
+        costs no recomputation of it; ``written`` tells that it is already, as a
+        settled frame. ``by_key`` tells that the source's last
         shuffle is by the keys, as after ``latest_rows``; a first load then needs
         no other.
         """
@@ -321,8 +328,11 @@ class TableStore:
         staging = f"{self.base}/_staging/{name}"
         seen = Observation()
         observed = source.observe(seen, *_null_counts(source.columns)) if profile else source
-        observed.write.mode("overwrite").parquet(staging)
-        staged = self.spark.read.schema(source.schema).parquet(staging)
+        if written and not profile:
+            staged = source
+        else:
+            observed.write.mode("overwrite").parquet(staging)
+            staged = self.spark.read.schema(source.schema).parquet(staging)
         if not source_unique:
             require_no_conflicts(self.read(name), staged, keys)
         null_keys = not staged.filter(any_null(keys)).isEmpty()
@@ -343,12 +353,25 @@ class TableStore:
         self, name: str, touched: Sequence[int], staged: DataFrame, update_cols, load_ts, unique: bool, options: dict
     ) -> int:
         last = self._current[name]
-        share = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) / last.slices
         merged = upsert(
-            self.slices(name, touched), staged, last.keys, update_cols, hash_source=share * 3 < HASH_BYTES, **options
+            self.slices(name, touched), staged, last.keys, update_cols, hash_source=self._hashed(name, staged), **options
         )
         return self._replace_slices(name, merged, load_ts, unique)
 
+    def _hashed(self, name: str, staged: DataFrame) -> bool:
+        """Whether a slice's share of a written source is small enough to be hashed."""
+        return planned_bytes(staged) / self._current[name].slices * 3 < HASH_BYTES
+
+    def changes(
+        self, name: str, source: DataFrame, columns: Sequence[str], update_cols: Sequence[str] | None = None
+    ) -> DataFrame:
+        """What a merge of a written source is going to change, as ``changed_rows``; reads the touched slices only."""
+        state = self._current[name]
+        if not state.keys:
+            raise ValueError(f"{name} has no key")
+        rows = self.slices(name, self._touched(name, source.dropna(subset=list(state.keys))))
+        return changed_rows(rows, source, state.keys, columns, update_cols, self._hashed(name, source))
+
     def add_sums(self, name: str, delta: DataFrame, by: Sequence[str], load_ts) -> int:
         """Add to a table of sums, which has one row for each ``by``; returns its rows.
 
@@ -363,8 +386,10 @@ class TableStore:
         old = self.slices(name, touched)
         both = old.unionByName(delta.select(*[F.col(f.name).cast(f.dataType) for f in old.schema.fields]))
         sums = [F.sum(c).alias(c) for c in old.columns if c not in by]
+        # a slice is in one task, which writes one file of it
+        placed = both.repartition(state.slices, *state.keys)
         return self._replace_slices(
-            name, both.groupBy(*by).agg(*sums).select(old.columns), load_ts, state.unique_keys
+            name, placed.groupBy(*by).agg(*sums).select(old.columns), load_ts, state.unique_keys
         )
 
     def _touched(self, name: str, rows: DataFrame) -> list[int]:
@@ -434,6 +459,16 @@ def slice_of(df: DataFrame, keys: Sequence[str], slices: int) -> Column:
     return F.pmod(F.hash(*[df[f"`{k}`"] for k in keys]), F.lit(slices))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size of a frame as the planner knows it; of files, that of the files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def slices_for(frames: Sequence[DataFrame], least: int) -> int:
+    """So many slices that each one's share of the largest frame is at most ``SLICE_BYTES``."""
+    return max(least, *[ceil(planned_bytes(df) / SLICE_BYTES) for df in frames])
+
+
 def _data_table(name: str, path: str) -> str:
     return f"{name}__{path.rstrip('/').rsplit('/', 1)[1]}"
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from assaylake.operators.normalize import add_load_metadata
 from assaylake.plans import jobs, marts, refresh
+from assaylake.plans import store as store_module
 from assaylake.plans.store import TableStore
 from assaylake.specs import BADGES, POSTS, USERS, VOTES
 
@@ -118,3 +119,48 @@ def test_a_refresh_reads_and_writes_the_slices_it_hits(spark, tmp_path, namespac
     assert len(now.keys() - times.keys()) == 1 and len(now) == len(times)
     ids = spark.createDataFrame([(7,)], "Id long")
     assert "_slice" in plan(store.rows_of_keys("silver.post_hist", ids))
+
+
+def test_changes_are_found_by_one_join_with_the_history(spark, store, monkeypatch):
+    def badges(*data):
+        return add_load_metadata(spark.createDataFrame(list(data), SCHEMAS[BADGES.entity]), TS1)
+
+    def merge(df, ts):
+        return refresh.merge_changes(store, f"silver.{BADGES.table}", df, BADGES, ts)
+
+    merge(badges((1, 5, "x", 1, True, None), (2, None, "x", 1, None, None), (3, 5, None, 2, False, None)), TS1)
+    of, read = TableStore.slices, []
+    monkeypatch.setattr(TableStore, "slices", lambda self, n, numbers: (read.append(n), of(self, n, numbers))[1])
+    changes = merge(badges(
+        (1, 5, "x", 1, True, None), (2, None, "x", 1, False, None), (3, 6, None, 2, False, None),
+        (4, 7, "y", 3, None, None), (None, 8, "z", 1, None, None), (None, 8, "z", 1, None, None)), TS2)
+    assert len(read) == 2  # for the changes, and for the merge
+    columns = ("Id", "UserId", "Name", "Class", "TagBased")
+    assert rows(changes.before, *columns) == [(2, None, "x", 1, None), (3, 5, None, 2, False)]
+    now = rows(store.read(f"silver.{BADGES.table}"), *columns)
+    assert rows(changes.after, *columns) == sorted((r for r in now if r[0] != 1), key=repr) and len(now) == 6
+
+
+def test_sums_are_placed_by_slice_before_they_are_written(spark, tmp_path, namespaces):
+    store = TableStore(spark, f"{tmp_path}/tables", buckets=3)
+    sums = spark.range(300).selectExpr("id as k", "id % 7 as j", "1L as n")
+    store.overwrite("work.some", sums, TS1, "k")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        store.add_sums("work.some", sums, ["k", "j"], TS1)
+    finally:
+        spark.conf.unset(setting)
+    files = [f.parent.name for f in (tmp_path / "tables" / "work").rglob("part-*.parquet")]
+    assert len(files) == len(set(files)) == 3
+    assert store.read("work.some").agg(F.count("k"), F.sum("n")).first()[:] == (300, 600)
+
+
+def test_slices_follow_from_the_size_of_the_files(spark, tmp_path, monkeypatch):
+    spark.range(100_000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    assert store_module.slices_for([table], 8) == 8
+    monkeypatch.setattr(store_module, "SLICE_BYTES", 1 << 14)
+    few = store_module.slices_for([table], 8)
+    monkeypatch.setattr(store_module, "SLICE_BYTES", 1 << 12)
+    assert few > 8 and 3.9 * few < store_module.slices_for([table.limit(0), table], 8) <= 4 * few
