@@ -210,8 +210,9 @@ def _frequent(docs: DataFrame) -> np.ndarray:
             yield batch_of(schema, [seen[often].view(np.int64), n[often]])
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "hash long, n long")
-    rows = counted.groupBy("hash").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT).collect()
-    return np.array([r["hash"] for r in reversed(rows)], np.int64).view(np.uint64)
+    most = counted.groupBy("hash").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT)
+    # as a column of numbers, not as a Python row for each
+    return most.select("hash").toArrow()["hash"].to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 def _marks(hashes: np.ndarray) -> np.ndarray:
@@ -420,8 +421,10 @@ def _linked(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     first, then each bucket with one member at a time, and then every pair in it that is still apart.
     """
     tried = settled(_ring_pairs(classes), "ring")
-    links = _similar(tried, classes, docs)
-    linked, left = settled(components(links), "linked"), shared
+    # each pair has the least class of a group and one other, so the similar ones are stars already
+    stars = _similar(tried, classes, docs)
+    ends = stars.select(F.explode(F.array("a", "b")).alias("node"), F.col("a").alias("component"))
+    linked, left = settled(ends.distinct(), "linked"), shared
     for turn in range(STAR_ROUNDS + 1):
         members = left.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn(
             "component", F.coalesce("component", "id")
@@ -437,8 +440,11 @@ def _linked(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
         pairs = settled(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tried = tried.unionByName(pairs)
-            links = links.unionByName(_similar(pairs, classes, docs))
-            linked = settled(components(links), "linked")
+            found = _similar(pairs, classes, docs)
+            if not found.isEmpty():
+                # what is linked already is a star of its component's least node
+                stars = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                linked = settled(components(stars.unionByName(found)), "linked")
     release(members)
     return linked
 

@@ -275,6 +275,28 @@ def test_near_copies_come_from_the_pigeonring_first_and_are_compared(spark, monk
     assert {r["doc_id"]: r["group_id"] for r in simhash.near_copies(docs).collect()} == {0: 0, 1: 0, 4: 0}
 
 
+def test_frequent_shingles_reach_the_driver_as_a_column(spark, monkeypatch):
+    texts = ["a b c d e f"] * 5 + ["a b c d e g"] * 4 + ["u v w x y z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).coalesce(1)
+    monkeypatch.setattr(type(docs), "collect", None)  # a Python row for each
+    got = simhash._frequent(docs)
+    assert got.dtype == np.uint64
+    assert list(got) == [simhash._near_hashes(w)[1][0] for w in (b"b c d e g", b"b c d e f", b"a b c d e")]
+    assert len(simhash._frequent(docs.limit(0))) == 0
+
+
+def test_similar_pairs_of_the_ring_are_stars_without_a_search(spark, monkeypatch):
+    searched, of = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda links: (searched.append(1), of(links))[1])
+    rng = random.Random(18)
+    draw = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    words, ends = draw(2000), [draw(1), draw(1)]
+    # the third row repeats the id of the second one
+    docs = spark.createDataFrame([(k, " ".join([*words, *ends[k > 0]])) for k in (0, 1, 1)], DOCS)
+    assert {r["doc_id"]: r["group_id"] for r in simhash.near_copies(docs).collect()} == {0: 0, 1: 0}
+    assert len(searched) == 1  # of the fingerprints
+
+
 def test_near_copies_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None, "a"), (2, "", "b"), (3, "one two", "c"), (4, "One  two", "d"), (4, "One  two", "d"), (5, "six", "e"),
