@@ -83,6 +83,38 @@ def test_components(spark, shape):
     assert len(got) == len(nodes)
 
 
+def test_components_of_few_links_take_few_tasks(spark):
+    links = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 200)]
+    df = spark.createDataFrame(links, "a long, b long")
+    held = {"spark.sql.shuffle.partitions": "100", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc = spark.sparkContext
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few", "few links")
+        found = components.components(df)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("few")]
+    tasks = sum(sc.statusTracker().getStageInfo(s).numCompletedTasks for j in jobs for s in set(j.stageIds))
+    # the links are dealt out once, by 100 tasks; the rounds have as many tasks as cores
+    assert 100 <= tasks < 1000
+    assert {tuple(r) for r in found.collect()} == {(k, 0) for k in range(61)} | {(k, 100) for k in range(100, 200)}
+
+
+@pytest.mark.parametrize("few", [0, 7, 1 << 16])
+def test_components_are_the_same_whatever_is_few(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_LINKS", few)
+    rng = random.Random(few)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(35)]
+    got = components.components(spark.createDataFrame(links + links[:9] + [(None, 2)], "a long, b long")).collect()
+    real = [x for x in links if x[0] != x[1]]
+    assert sorted(tuple(r) for r in got) == sorted(union({n for link in real for n in link}, real).items())
+
+
 def test_no_links_no_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
